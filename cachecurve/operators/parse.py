@@ -37,8 +37,9 @@ def parse_requests(lines: DataFrame, value: str = "value",
     def leading_int(i: int) -> Column:
         return F.regexp_extract(text(i), _LEADING_INT, 1).try_cast("int")
 
-    typed = parts.select(
-        *lines.columns,
+    # One struct per line, inlined: filters on the typed fields then stay above the
+    # conversion and a line is split and converted once.
+    typed = parts.select(*lines.columns, F.inline(F.array(F.struct(
         F.size("_f").alias("_n"),
         text(0).alias("_map"),
         text(1).try_cast("smallint").cast("int").alias("_serial"),
@@ -57,7 +58,7 @@ def parse_requests(lines: DataFrame, value: str = "value",
         text(12).try_cast("int").alias("_vcd"),
         leading_int(12).alias("_max_age"),
         F.regexp_extract(text(13), _TOKEN, 1).alias("_product"),
-    )
+    ))))
     c = F.col
     stem = (_filled(c("_map")) & c("_serial").isNotNull() & c("_ts").isNotNull()
             & _filled(c("_md5")) & c("_size").isNotNull() & c("_bytes").isNotNull())

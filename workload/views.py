@@ -12,7 +12,7 @@ CPCODE_ACCOUNTS = ((1000, "a1"), (1001, "a1"), (1002, "a1"), (1003, "a2"), (1004
 VMN_LABELS = ((0, "m1", "f", "m1^f^v0"), (1, "m1", "f", "m1^f^v1"), (1, "m2", "f", "m2^f^v1"),
               (2, "m3", "f", "m3^f^v2"), (0, "101", "f", "101^f^v0"))
 ARL_VCD = ((10, 1), (11, 7), (11, 2))
-SERVERS = ("10.0.0.1", "10.0.1.2", "10.0.2.3", "10.0.3.4", "10.0.4.5", "10.0.5.6", "10.0.6.7")
+SERVERS = ("10.0.0.0", "10.0.1.1", "10.0.2.2", "10.0.3.3", "10.0.4.4", "10.0.5.5", "10.0.6.6")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
