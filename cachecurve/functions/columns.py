@@ -21,7 +21,7 @@ def object_hex(obj: Column) -> Column:
 
 
 def is_digest(digest: Column) -> Column:
-    return digest.rlike("^[0-9A-Fa-f]{16}$")
+    return (F.length(digest) == 16) & F.unhex(digest).isNotNull()
 
 
 def object_draw(obj: Column, seq: Column) -> Column:

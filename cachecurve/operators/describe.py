@@ -17,7 +17,7 @@ from cachecurve.config import SIZE_UNIT, TRAFFIC_BUCKET_S, FootprintConfig
 from cachecurve.functions.columns import shortfall
 from cachecurve.operators.filters import add_sample_buckets
 from cachecurve.operators.route import add_labels, label_map_network
-from cachecurve.operators.sequence import add_compute_start, copy_side
+from cachecurve.operators.sequence import add_facts, copy_side
 
 _WIDE = "decimal(38,0)"
 
@@ -33,16 +33,28 @@ def _count_if(condition: Column) -> Column:
 # --- request level totals ---------------------------------------------------------------
 
 
-def served_totals(requests: DataFrame) -> DataFrame:
-    """Requests and bytes after prewarm, and what bypassed the stack."""
+def served_totals(requests: DataFrame, cfg: FootprintConfig) -> DataFrame:
+    """Requests and bytes after prewarm, the largest request count and byte sum of any
+    300 s bucket (each on its own), and what bypassed the stack.
+
+    Sums per bucket first, which both bounds what a shard brings together and serves
+    the peaks in the same pass.
+    """
     counted = ~F.col("prewarm")
-    return requests.groupBy("shard").agg(
+    bucket = F.floor((F.col("ts") - F.col("first_ts")) / TRAFFIC_BUCKET_S)
+    buckets = requests.groupBy("shard", bucket.alias("bucket")).agg(
         _count_if(counted).alias("requests"),
         _sum_if(counted, F.col("bytes")).alias("bytes"),
         _count_if(F.col("bypass")).alias("bypass_requests"),
         _sum_if(F.col("bypass"), F.col("size")).alias("bypass_bytes"),
         _sum_if(F.col("bypass"), shortfall(F.col("size"), F.col("bytes")))
         .alias("bypass_inflation"))
+    sums = ["requests", "bytes", "bypass_requests", "bypass_bytes", "bypass_inflation"]
+    unfilled = F.lit(0).cast("bigint")
+    peaks = [unfilled if cfg.parity else F.max(c) for c in ("requests", "bytes")]
+    return buckets.groupBy("shard").agg(
+        *[F.sum(c).alias(c) for c in sums],
+        peaks[0].alias("peak_requests"), peaks[1].alias("peak_bytes"))
 
 
 def stack_totals(linked: DataFrame) -> DataFrame:
@@ -61,7 +73,7 @@ def stack_totals(linked: DataFrame) -> DataFrame:
 
 def skipped_totals(ordered: DataFrame, facts: DataFrame, cfg: FootprintConfig) -> DataFrame:
     """Requests and bytes sampled out at this stage, after prewarm."""
-    rows = add_compute_start(ordered.where("sampled_out and size > 0"), facts, cfg)
+    rows = add_facts(ordered.where("sampled_out and size > 0"), facts, cfg)
     return rows.where(F.col("ts").cast("bigint") >= F.col("compute_start")).groupBy("shard").agg(
         F.count("*").alias("skipped_requests"), F.sum("bytes").alias("skipped_bytes"))
 
@@ -72,18 +84,6 @@ def distinct_objects(ordered: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("distinct_objects"))
 
 
-def peak_traffic(requests: DataFrame, facts: DataFrame, cfg: FootprintConfig) -> DataFrame:
-    """Largest request count and byte sum of any 300 s bucket, each on its own."""
-    if cfg.parity:
-        return facts.select("shard", F.lit(0).cast("bigint").alias("peak_requests"),
-                            F.lit(0).cast("bigint").alias("peak_bytes"))
-    start = facts.select(F.col("shard").alias("_shard"), F.col("first_ts"))
-    bucket = F.floor((F.col("ts") - F.col("first_ts")) / TRAFFIC_BUCKET_S).alias("bucket")
-    return requests.join(start, F.col("shard") == F.col("_shard")).where(~F.col("prewarm")) \
-        .groupBy("shard", bucket).agg(F.count("*").alias("n"), F.sum("bytes").alias("b")) \
-        .groupBy("shard").agg(F.max("n").alias("peak_requests"), F.max("b").alias("peak_bytes"))
-
-
 def serial_info(requests: DataFrame, linked: DataFrame) -> DataFrame:
     """Requests, bytes and new objects of every original serial after prewarm.
 
@@ -256,7 +256,7 @@ def thin_curve(curve: DataFrame, jump: float) -> DataFrame:
 # --- shard rows, scaling and output -----------------------------------------------------
 
 
-def shard_summary(facts: DataFrame, totals: DataFrame, stack: DataFrame, peaks: DataFrame,
+def shard_summary(facts: DataFrame, totals: DataFrame, stack: DataFrame,
                   objects: DataFrame | None, skipped: DataFrame | None,
                   cfg: FootprintConfig) -> DataFrame:
     """One row per shard with its totals, label and unshard factors.
@@ -265,8 +265,7 @@ def shard_summary(facts: DataFrame, totals: DataFrame, stack: DataFrame, peaks:
     than a second of statistics, and shards where sampling kept far too little.
     """
     zero = F.lit(0).cast("bigint")
-    rows = facts.select("shard", "period_s").join(totals, "shard").join(stack, "shard") \
-        .join(peaks, "shard", "left")
+    rows = facts.select("shard", "period_s").join(totals, "shard").join(stack, "shard")
     rows = add_labels(rows, cfg)
     map_, network = label_map_network(F.col("label"))
     rows = add_sample_buckets(rows, cfg.sample_buckets, cfg.sample_overrides,

@@ -41,27 +41,32 @@ _NONE = -1
 def nested_before(values: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each element, number and weight of the earlier elements of greater value.
 
-    Values are distinct. Elements are taken by falling value and split by the bits of
-    their index, highest first; at each bit the elements with a 0 precede those with
-    a 1 of the same block.
+    Values are distinct. Indexes, padded to a power of two, are taken by falling value
+    and split by their bits, highest first. Each block then holds one aligned range of
+    indexes, its lower half precedes its upper half in the input, and what stands before
+    an upper index within the block is greater.
     """
     n = len(values)
-    counts = np.zeros(n, np.int64)
-    sums = np.zeros(n, np.int64)
-    index = np.argsort(-values, kind="stable")
-    for bit in range(max(n - 1, 0).bit_length() - 1, -1, -1):
-        upper = (index >> bit) & 1 == 1
-        block = index >> (bit + 1)
-        opens = np.empty(n, bool)
-        opens[0] = True
-        np.not_equal(block[1:], block[:-1], out=opens[1:])
-        for total, amount in ((counts, np.where(upper, 0, 1)),
-                              (sums, np.where(upper, 0, weights[index]))):
-            before = np.cumsum(amount) - amount
-            base = np.maximum.accumulate(np.where(opens, before, 0))
-            total[index[upper]] += (before - base)[upper]
-        index = np.concatenate((index[~upper], index[upper]))
-    return counts, sums
+    bits = max(n - 1, 0).bit_length()
+    width = 1 << bits
+    order = np.concatenate((np.argsort(values)[::-1], np.arange(n, width)))
+    weights = np.concatenate((weights, np.zeros(width - n, np.int64)))
+    counts = np.zeros(width, np.int64)
+    sums = np.zeros(width, np.int64)
+    for bit in range(bits - 1, -1, -1):
+        half = 1 << bit
+        blocks = width >> (bit + 1)
+        is_upper = (order & half) != 0
+        at = np.flatnonzero(is_upper)
+        upper, lower = order[at], order[~is_upper]
+        greater = (at & (2 * half - 1)) - (np.arange(len(at)) & (half - 1))
+        running = np.zeros((blocks, half + 1), np.int64)
+        np.cumsum(weights[lower].reshape(blocks, half), axis=1, out=running[:, 1:])
+        counts[upper] += greater
+        sums[upper] += running.ravel()[np.repeat(np.arange(blocks) * (half + 1), half) + greater]
+        order = np.concatenate((lower.reshape(blocks, half), upper.reshape(blocks, half)),
+                               axis=1).ravel()
+    return counts[:n], sums[:n]
 
 
 def _slice_parts(bits: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
@@ -85,6 +90,8 @@ def _slice_parts(bits: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
             "bytes": running[back] - weight[back] - start - inner_w + apart * weight[back]})
 
         # Accesses of this slice that are looked back to from a later slice.
+        if (nxt >> bits).max() <= first >> bits:
+            return own
         ahead = np.flatnonzero(nxt != _NONE)
         ahead = ahead[np.lexsort((pos[ahead], nxt[ahead] >> bits))]
         outer, outer_w = nested_before(pos[ahead], weight[ahead])
@@ -142,11 +149,6 @@ def _cell_base(linked: DataFrame, bits: int, slices: int) -> DataFrame:
         (F.col("_ps") - F.col("_pq") - F.coalesce("w", F.lit(0))).alias("bytes"))
 
 
-def slice_count(linked: DataFrame, cfg: FootprintConfig) -> int:
-    """Number of slices; reads only the row counts of the saved table."""
-    return max(-(-linked.count() // cfg.slice_rows), 1)
-
-
 def distance_parts(linked: DataFrame, cfg: FootprintConfig, slices: int) -> DataFrame:
     """Additive parts of the distances: the sum over ``at`` (the position of the
     re-reference) of ``objects`` and ``bytes`` is its stack distance."""

@@ -16,9 +16,23 @@ REPLICATION_LAYOUTS = (14, 8, 7)
 _LEADING_INT = r"^\s*([+-]?[0-9]+)"
 _TOKEN = r"^\s*(\S+)"
 
-
-def _filled(text: Column) -> Column:
-    return F.coalesce(text != "", F.lit(False))
+# Field patterns. A number must fill its field, but only start the last field of a line.
+_TEXT = r"[^:]+"
+_INT = r"\s*[+-]?[0-9]{1,10}"
+_LONG = r"\s*[+-]?[0-9]{1,19}"
+_REAL = r"\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
+_INT_FIRST = _INT + ".*"
+_REST = r"\s*\S.*"
+
+_STEM = [_TEXT, _INT, _REAL, _TEXT, _LONG, _LONG]
+_WIDE = [*_STEM, _INT, _TEXT, _INT, _TEXT, _TEXT, _INT]
+_LAYOUTS = {
+    14: [*_WIDE, _INT, _REST],
+    13: [*_WIDE, _INT_FIRST],
+    8: [*_STEM, _INT, _REST],
+    7: [*_STEM, _INT_FIRST],
+}
+_MAX_SERIAL = 32767
 
 
 def parse_requests(lines: DataFrame, value: str = "value",
@@ -28,78 +42,55 @@ def parse_requests(lines: DataFrame, value: str = "value",
     ``reject_reason`` is null for a request and else ``comment``, ``layout`` or
     ``serial``. Blank lines are not lines of the log and are dropped.
     """
-    lines = lines.where(_filled(F.col(value)))
-    parts = lines.withColumn("_f", F.split(F.col(value), ":", 14))
-
-    def text(i: int) -> Column:
-        return F.get(F.col("_f"), F.lit(i))
-
-    def leading_int(i: int) -> Column:
-        return F.regexp_extract(text(i), _LEADING_INT, 1).try_cast("int")
-
-    # One struct per line, inlined: filters on the typed fields then stay above the
-    # conversion and a line is split and converted once.
-    typed = parts.select(*lines.columns, F.inline(F.array(F.struct(
-        F.size("_f").alias("_n"),
-        text(0).alias("_map"),
-        text(1).try_cast("smallint").cast("int").alias("_serial"),
-        text(2).try_cast("double").alias("_ts"),
-        text(3).alias("_md5"),
-        text(4).try_cast("bigint").alias("_size"),
-        text(5).try_cast("bigint").alias("_bytes"),
-        text(6).try_cast("int").alias("_cpcode"),
-        leading_int(6).alias("_cpcode_last"),
-        text(7).alias("_status"),
-        F.regexp_extract(text(7), _TOKEN, 1).alias("_status_token"),
-        text(8).try_cast("int").alias("_arlid"),
-        text(9).alias("_network"),
-        text(10).alias("_mapname"),
-        text(11).try_cast("int").alias("_region"),
-        text(12).try_cast("int").alias("_vcd"),
-        leading_int(12).alias("_max_age"),
-        F.regexp_extract(text(13), _TOKEN, 1).alias("_product"),
-    ))))
-    c = F.col
-    stem = (_filled(c("_map")) & c("_serial").isNotNull() & c("_ts").isNotNull()
-            & _filled(c("_md5")) & c("_size").isNotNull() & c("_bytes").isNotNull())
-    tagged = stem & c("_cpcode").isNotNull()
-    wide = (tagged & _filled(c("_status")) & c("_arlid").isNotNull() & _filled(c("_network"))
-            & _filled(c("_mapname")) & c("_region").isNotNull())
-    fits = {
-        14: wide & c("_vcd").isNotNull() & _filled(c("_product")),
-        13: wide & c("_max_age").isNotNull(),
-        8: tagged & (_filled(c("_status_token")) | (c("_n") > 8)),
-        7: stem & c("_cpcode_last").isNotNull(),
-    }
-    layout = F.coalesce(*[F.when(fits[n], F.lit(n)) for n in layouts])
-    comment = F.col(value).startswith("#")
-    typed = typed.withColumn("layout", F.when(~comment, layout))
-
-    at_least_13 = c("layout") >= 13
-    return typed.select(
+    text = F.col(value)
+    fits = [F.when((F.size("_s") >= n) & text.rlike("^" + ":".join(_LAYOUTS[n]) + "$"), F.lit(n))
+            for n in layouts]
+    # One struct per line, inlined: filters stay above it, so that a line is matched
+    # and split once, and fields are converted only where the layout has checked them.
+    split = lines.withColumn("_s", F.split(text, ":", 14)).select(
+        *lines.columns, F.inline(F.array(F.struct(
+            F.when(~text.startswith("#"), F.coalesce(*fits)).alias("_layout"),
+            F.col("_s").alias("_f"))))).where("size(_f) > 1 or _f[0] <> ''")
+
+    def field(i: int, least: int, type_: str = "string") -> Column:
+        part = F.get(F.col("_f"), F.lit(i))
+        return F.when(F.col("_layout") >= least, part.try_cast(type_))
+
+    def last(i: int, pattern: str) -> Column:
+        return F.regexp_extract(F.get(F.col("_f"), F.lit(i)), pattern, 1)
+
+    serial = field(1, 7, "int")
+    layout = F.when(serial <= _MAX_SERIAL, F.col("_layout"))
+    at = F.col("_layout")
+    return split.select(
         *lines.columns,
-        "layout",
-        F.when(comment, "comment").when(c("layout").isNull(), "layout")
-        .when(c("_serial") <= 0, "serial").alias("reject_reason"),
-        c("_map").alias("map"),
-        c("_serial").alias("serial"),
-        F.round("_ts", 3).alias("ts"),
-        c("_md5").alias("md5"),
-        c("_size").alias("size"),
-        c("_bytes").alias("bytes"),
-        F.coalesce("_cpcode", "_cpcode_last").alias("cpcode"),
-        F.when(at_least_13, c("_status")).when(c("layout") == 8, c("_status_token"))
-        .otherwise("").alias("objstatus"),
-        F.when(at_least_13, c("_arlid")).alias("arlid"),
-        F.when(at_least_13, c("_network")).alias("network"),
-        F.when(at_least_13, c("_mapname")).alias("mapname"),
-        F.when(at_least_13, c("_region")).alias("region"),
-        F.when(c("layout") == 14, c("_vcd")).alias("vcd"),
-        F.when(c("layout") == 14, c("_product")).alias("product"),
-        F.when(c("layout") == 13, c("_max_age")).otherwise(-1).alias("max_age"),
+        layout.alias("layout"),
+        F.when(F.startswith(value, F.lit("#")), "comment").when(layout.isNull(), "layout")
+        .when(serial <= 0, "serial").alias("reject_reason"),
+        field(0, 7).alias("map"),
+        serial.alias("serial"),
+        F.round(field(2, 7, "double"), 3).alias("ts"),
+        field(3, 7).alias("md5"),
+        field(4, 7, "bigint").alias("size"),
+        field(5, 7, "bigint").alias("bytes"),
+        F.when(at == 7, last(6, _LEADING_INT).try_cast("int")).otherwise(field(6, 8, "int"))
+        .alias("cpcode"),
+        F.when(at == 8, last(7, _TOKEN)).otherwise(F.coalesce(field(7, 13), F.lit("")))
+        .alias("objstatus"),
+        field(8, 13, "int").alias("arlid"),
+        field(9, 13).alias("network"),
+        field(10, 13).alias("mapname"),
+        field(11, 13, "int").alias("region"),
+        field(12, 14, "int").alias("vcd"),
+        F.when(at == 14, last(13, _TOKEN)).alias("product"),
+        F.when(at == 13, last(12, _LEADING_INT).try_cast("int")).otherwise(-1).alias("max_age"),
     )
 
 
+def _filled(text: Column) -> Column:
+    return F.coalesce(text != "", F.lit(False))
+
+
 def parse_routed(lines: DataFrame, value: str = "value") -> DataFrame:
     """Routed record text of 8 or 6 fields; lines that fit neither are dropped."""
     parts = lines.where(_filled(F.trim(F.col(value)))).withColumn("_f", F.split(F.col(value), ":"))

@@ -12,10 +12,11 @@ def replica_counts(records: DataFrame, order: tuple[str, ...] = ("ts",)) -> Data
     Two combining aggregations: a hot object is reduced to one row per server before
     it is shuffled by object.
     """
+    key = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     per_server = records.groupBy("shard", "obj", "ip").agg(
-        F.min(F.struct(*order, "size")).alias("first"))
+        F.min(key).alias("first"), F.min_by("size", key).alias("size"))
     return per_server.groupBy("shard", "obj").agg(
-        F.count("*").alias("copies"), F.min("first")["size"].alias("size"))
+        F.count("*").alias("copies"), F.min_by("size", "first").alias("size"))
 
 
 def replication_by_shard(counts: DataFrame) -> DataFrame:

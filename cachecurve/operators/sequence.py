@@ -27,18 +27,19 @@ def slice_bits(cfg: FootprintConfig) -> int:
 
 
 def global_positions(df: DataFrame, order: list[Column], partitions: int | None,
-                     name: str) -> DataFrame:
+                     name: str, **derived: Column) -> DataFrame:
     """Save ``df`` in a total order with a dense global ``pos`` from 0.
 
     Range partitioning splits hot shards at timestamps; the only unpartitioned
-    window runs over one row per partition.
+    window runs over one row per partition. ``derived`` columns are computed behind
+    the shuffle, and so not a second time while Spark samples the range bounds.
     """
     if partitions:
         ranged = df.repartitionByRange(partitions, *order)
     else:
         ranged = df.repartitionByRange(*order)
-    numbered = save(ranged.sortWithinPartitions(*order)
-                    .withColumn("_rid", F.monotonically_increasing_id()), name)
+    numbered = save(ranged.sortWithinPartitions(*order).withColumns(
+        {**derived, "_rid": F.monotonically_increasing_id()}), name)
     part = F.shiftright("_rid", _ROW_BITS)
     sizes = numbered.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
     # Saved so that its real size is known: a small table is then broadcast and the
@@ -78,12 +79,16 @@ def order_requests(routed: DataFrame, cfg: FootprintConfig, tiebreak: tuple[str,
         extra.append("route_key")
     rows = routed.select("shard", "ts", "md5", "size", "bytes", "cpcode", "true_serial", "max_age",
                          *dict.fromkeys(extra), sampled_out.alias("sampled_out")) \
-        .withColumns({"obj": object_id(F.col("md5")),
-                      "access": (F.col("size") > 0) & ~F.col("sampled_out")})
+        .withColumn("access", (F.col("size") > 0) & ~F.col("sampled_out"))
     order = [F.expr("not access"), F.col("shard"),
              *([F.col("route_key")] if cfg.num_shards else []),
-             F.col("ts"), record_tail(), *[F.col(c) for c in tiebreak]]
-    return global_positions(rows, order, cfg.partitions, "ordered")
+             F.col("ts"), F.col("md5"), record_tail(), *[F.col(c) for c in tiebreak]]
+    return global_positions(rows, order, cfg.partitions, "ordered", obj=object_id(F.col("md5")))
+
+
+def slice_count(ordered: DataFrame, cfg: FootprintConfig) -> int:
+    """Number of slices that the stack requests fill; reads one boolean column."""
+    return max(-(-ordered.where("access").count() // cfg.slice_rows), 1)
 
 
 def compute_start(cfg: FootprintConfig) -> Column:
@@ -126,20 +131,21 @@ def configured_periods(cfg: FootprintConfig) -> dict[str, int]:
     }
 
 
-def add_compute_start(rows: DataFrame, facts: DataFrame, cfg: FootprintConfig,
-                      first_pos: bool = False) -> DataFrame:
-    """``compute_start`` of each row's shard.
+def add_facts(rows: DataFrame, facts: DataFrame, cfg: FootprintConfig,
+              *columns: str) -> DataFrame:
+    """``compute_start`` and further ``columns`` of each row's shard.
 
     Without a prewarm period no row precedes its shard's start, and a start taken
-    from the configuration is a constant for this test; only the remaining case
-    and ``first_pos`` need the per-shard join.
+    from the configuration is a constant for this test; then only ``columns`` need
+    the per-shard join.
     """
     constant = None
     if cfg.prewarm_from_config:
         constant = cfg.start_s + cfg.prewarm_s
     elif cfg.prewarm_s == 0:
         constant = -MAX_TIME_S
-    columns = (["first_pos"] if first_pos else []) + (["compute_start"] if constant is None else [])
+    else:
+        columns = (*columns, "compute_start")
     if columns:
         table = facts.select(F.col("shard").alias("_shard"), *columns)
         rows = rows.join(table, F.col("shard") == F.col("_shard")).drop("_shard")
@@ -149,7 +155,7 @@ def add_compute_start(rows: DataFrame, facts: DataFrame, cfg: FootprintConfig,
 
 def accesses(ordered: DataFrame, facts: DataFrame, cfg: FootprintConfig) -> DataFrame:
     """Stack requests with request number ``seq`` (1.. per shard) and ``prewarm``."""
-    rows = add_compute_start(ordered.where("access"), facts, cfg, first_pos=True)
+    rows = add_facts(ordered.where("access"), facts, cfg, "first_pos", "first_ts")
     return rows.withColumns({
         "seq": F.col("pos") - F.col("first_pos") + 1,
         "prewarm": F.col("ts").cast("bigint") < F.col("compute_start"),
@@ -191,7 +197,7 @@ def stack_positions(admitted: DataFrame, cfg: FootprintConfig) -> DataFrame:
         .drop("slice", "_start", "_inside")
 
 
-def link_accesses(rows: DataFrame, cfg: FootprintConfig) -> DataFrame:
+def link_accesses(rows: DataFrame, cfg: FootprintConfig, slices: int) -> DataFrame:
     """Previous and next access of the same object, and its sticky size.
 
     Adds ``prev_pos``, ``prev_ts``, ``next_pos``, ``next_ts`` and ``obj_size`` (the
@@ -199,28 +205,31 @@ def link_accesses(rows: DataFrame, cfg: FootprintConfig) -> DataFrame:
     """
     bits = slice_bits(cfg)
     keys = ["slice", "shard", "obj"]
-    rows = rows.withColumn("slice", F.shiftright("pos", bits))
+    rows = rows.drop("md5", "cpcode", "first_ts", "bypass") \
+        .withColumn("slice", F.shiftright("pos", bits))
+    within = Window.partitionBy(*keys).orderBy("pos")
+    linked = rows.withColumns({
+        "prev_pos": F.lag("pos").over(within), "prev_ts": F.lag("ts").over(within),
+        "next_pos": F.lead("pos").over(within), "next_ts": F.lead("ts").over(within)})
+    if slices == 1:
+        return linked.withColumn("obj_size", F.first("size").over(
+            within.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     runs = rows.groupBy(*keys).agg(
-        F.min(F.struct("pos", "ts", "size")).alias("head"),
-        F.max(F.struct("pos", "ts")).alias("tail"))
+        F.min("pos").alias("_first_pos"), F.min_by("ts", "pos").alias("_first_ts"),
+        F.max("pos").alias("_last_pos"), F.max_by("ts", "pos").alias("_last_ts"),
+        F.min_by("size", "pos").alias("_size"))
     across = Window.partitionBy("shard", "obj").orderBy("slice")
     carried = runs.select(
         *keys,
-        F.lag("tail").over(across).alias("_before"),
-        F.lead("head").over(across).alias("_after"),
-        F.first("head").over(across.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        ["size"].alias("obj_size"))
-    within = Window.partitionBy(*keys).orderBy("pos")
-    here = F.struct("pos", "ts")
-    linked = rows.withColumns({"_prev": F.lag(here).over(within),
-                               "_next": F.lead(here).over(within)}).join(carried, keys)
-    prev = F.coalesce(F.col("_prev"), F.col("_before"))
-    nxt_pos = F.coalesce(F.col("_next.pos"), F.col("_after.pos"))
-    nxt_ts = F.coalesce(F.col("_next.ts"), F.col("_after.ts"))
-    return linked.withColumns({
-        "prev_pos": prev["pos"], "prev_ts": prev["ts"],
-        "next_pos": nxt_pos, "next_ts": nxt_ts,
-    }).drop("_prev", "_next", "_before", "_after")
+        F.lag("_last_pos").over(across).alias("_prev_pos"),
+        F.lag("_last_ts").over(across).alias("_prev_ts"),
+        F.lead("_first_pos").over(across).alias("_next_pos"),
+        F.lead("_first_ts").over(across).alias("_next_ts"),
+        F.first("_size").over(across.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        .alias("obj_size"))
+    ends = ["prev_pos", "prev_ts", "next_pos", "next_ts"]
+    return linked.join(carried, keys) \
+        .withColumns({c: F.coalesce(c, f"_{c}") for c in ends}).drop(*[f"_{c}" for c in ends])
 
 
 def _sample_second(ts: Column, prev_ts: Column, cfg: FootprintConfig) -> Column:
@@ -248,7 +257,7 @@ def sampled_links(linked: DataFrame, cfg: FootprintConfig) -> DataFrame:
         "stale": F.coalesce(stale, F.lit(False)),
         "inflation": shortfall(F.when(prev_ts.isNull(), F.col("size"))
                                .otherwise(F.col("obj_size")), F.col("bytes")),
-    }).withColumn("in_horizon", in_horizon)
+    }).withColumn("in_horizon", in_horizon).drop("max_age", "next_ts")
 
 
 def copy_side(obj: Column, seq: Column) -> Column:

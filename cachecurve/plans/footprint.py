@@ -48,12 +48,12 @@ class Footprint:
     @cached_property
     def linked(self) -> DataFrame:
         stacked = sequence.stack_positions(self.requests, self.cfg)
-        linked = sequence.link_accesses(stacked, self.cfg)
+        linked = sequence.link_accesses(stacked, self.cfg, self.slices)
         return save(sequence.sampled_links(linked, self.cfg), "linked")
 
     @cached_property
     def slices(self) -> int:
-        return distance.slice_count(self.linked, self.cfg)
+        return sequence.slice_count(self.ordered, self.cfg)
 
     @cached_property
     def distances(self) -> DataFrame:
@@ -70,7 +70,7 @@ class Footprint:
 
     @cached_property
     def totals(self) -> DataFrame:
-        return describe.served_totals(self.requests)
+        return describe.served_totals(self.requests, self.cfg)
 
     @cached_property
     def summary(self) -> DataFrame:
@@ -79,7 +79,6 @@ class Footprint:
             if self.cfg.sample_at == "reduce" else None
         return save(describe.shard_summary(
             self.facts, self.totals, describe.stack_totals(self.linked),
-            describe.peak_traffic(self.requests, self.facts, self.cfg),
             objects, skipped, self.cfg), "summary")
 
     @cached_property

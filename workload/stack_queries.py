@@ -7,6 +7,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from cachecurve.config import FootprintConfig
+from cachecurve.functions.columns import object_hex
 from cachecurve.operators import describe, profile
 from cachecurve.plans.footprint import Footprint
 from workload.registry import query
@@ -199,7 +200,8 @@ SELECT shard, md5, CAST(r AS INTEGER) AS rank FROM (
   SELECT shard, md5, row_number() OVER (PARTITION BY shard ORDER BY max(seq) DESC) AS r
   FROM req GROUP BY shard, md5) WHERE r = 7""")
 def recency_rank(spark, sf_dir):
-    return profile.recency_rank(events(spark, sf_dir).linked, 7).select("shard", "md5", "rank")
+    return profile.recency_rank(events(spark, sf_dir).linked, 7).select(
+        "shard", object_hex(F.col("obj")).alias("md5"), "rank")
 
 
 @query("reuse_interval", EVENT_STACK + """
@@ -287,7 +289,7 @@ ADMIT_STACK = stack(ROUTED_EVENTS, admission=10)
 @query("admission", ADMIT_STACK + TOTALS + """
 SELECT shard, requests, bytes, bypass_requests, bypass_bytes, bypass_inflation FROM totals""")
 def admission(spark, sf_dir):
-    return events(spark, sf_dir, ADMIT).totals
+    return events(spark, sf_dir, ADMIT).totals.drop("peak_requests", "peak_bytes")
 
 
 @query("admission_distance", ADMIT_STACK + DIST + """
@@ -336,8 +338,6 @@ def fd_header_prewarm(spark, sf_dir):
 @query("iat_per_object", EVENT_STACK + TRANSITIONS + """
 SELECT shard, md5, interval_sum, accesses, mean_interval FROM objects""")
 def iat_per_object(spark, sf_dir):
-    from cachecurve.functions.columns import object_hex
-
     return events(spark, sf_dir).object_intervals.select(
         "shard", object_hex(F.col("obj")).alias("md5"), "interval_sum", "accesses",
         "mean_interval")
@@ -350,8 +350,7 @@ def copy_transition(spark, sf_dir):
 
 @query("peak_traffic", EVENT_STACK + TOTALS + "SELECT * FROM peaks")
 def peak_traffic(spark, sf_dir):
-    f = events(spark, sf_dir)
-    return describe.peak_traffic(f.requests, f.facts, f.cfg)
+    return events(spark, sf_dir).totals.select("shard", "peak_requests", "peak_bytes")
 
 
 @query("serial_info", stack(ROUTED_EVENTS.replace(
