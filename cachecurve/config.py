@@ -200,6 +200,7 @@ class FootprintConfig(RequestFilter):
     thinning_pct: float = 0.0
     parity: bool = False
     partitions: int | None = None
+    stage_routed: bool = False
     slice_rows: int = 1 << 20
 
     def __post_init__(self):

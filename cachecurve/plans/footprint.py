@@ -23,16 +23,27 @@ def routed_requests(requests: DataFrame, cfg: FootprintConfig) -> DataFrame:
 @dataclass
 class Footprint:
     """Tables of one run over routed requests. Each is built when first asked for; the
-    ordered and the linked requests are saved once and shared by the rest."""
+    ordered and the linked requests are saved once and shared by the rest.
+
+    ``tiebreak`` orders equal records, by default their line number; it lets copies of
+    one record spread over tasks. With ``stage_routed`` the routed requests are saved
+    first: Spark reads its input twice to find range bounds, which costs more than a
+    parquet copy when the input is compressed text.
+    """
 
     routed: DataFrame
     cfg: FootprintConfig
-    tiebreak: tuple[str, ...] = ()
+    tiebreak: tuple[str, ...] | None = None
     keep: tuple[str, ...] = ()
 
+    def __post_init__(self):
+        if self.tiebreak is None:
+            self.tiebreak = ("line_no",) if "line_no" in self.routed.columns else ()
+
     @cached_property
     def ordered(self) -> DataFrame:
-        return sequence.order_requests(self.routed, self.cfg, self.tiebreak, self.keep)
+        routed = save(self.routed, "routed") if self.cfg.stage_routed else self.routed
+        return sequence.order_requests(routed, self.cfg, self.tiebreak, self.keep)
 
     @cached_property
     def facts(self) -> DataFrame:
@@ -111,6 +122,6 @@ class Footprint:
                                         for k, v in configured.items()])
 
 
-def footprint(requests: DataFrame, cfg: FootprintConfig, tiebreak: tuple[str, ...] = (),
-              keep: tuple[str, ...] = ()) -> Footprint:
+def footprint(requests: DataFrame, cfg: FootprintConfig,
+              tiebreak: tuple[str, ...] | None = None, keep: tuple[str, ...] = ()) -> Footprint:
     return Footprint(routed_requests(requests, cfg), cfg, tiebreak, keep)

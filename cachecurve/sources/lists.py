@@ -6,10 +6,11 @@ the options, and refuses to bring an unexpectedly large one.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cachecurve.functions.columns import pack_ip
+from cachecurve.operators.sequence import global_positions
 from cachecurve.sources.logs import LINE_ORDER, read_lines
 
 MAX_CONFIG_ROWS = 1_000_000
@@ -18,9 +19,10 @@ MAX_CONFIG_ROWS = 1_000_000
 def config_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of a configuration file with their number, without comments, blank lines
     and lines that start with a space."""
-    lines = read_lines(spark, path)
-    number = F.row_number().over(Window.orderBy(*LINE_ORDER))  # one configuration file
-    return content_lines(lines.select("value", number.alias("line_no")))
+    lines = read_lines(spark, path).withColumnRenamed("line_no", "_line")
+    order = [F.col("_line" if c == "line_no" else c) for c in LINE_ORDER]
+    numbered = global_positions(lines, order, None, "config_lines")
+    return content_lines(numbered.select("value", F.col("pos").alias("line_no")))
 
 
 def content_lines(lines: DataFrame) -> DataFrame:
@@ -61,8 +63,8 @@ def account_table(lines: DataFrame, accounts: list[str] | None = None) -> DataFr
     if accounts:
         pairs = pairs.where(F.col("account").isin(accounts))
     seen = pairs.groupBy("account").agg(F.min("line_no").alias("_first"))
-    ids = seen.select("account", (F.row_number().over(Window.orderBy("_first")) - 1)
-                      .alias("account_id"))  # one row per account
+    ids = global_positions(seen, [F.col("_first")], None, "accounts") \
+        .select("account", F.col("pos").cast("int").alias("account_id"))
     return pairs.join(ids, "account").groupBy("cpcode").agg(
         F.min(F.struct("account_id", "account")).alias("_low")) \
         .select("cpcode", "_low.account_id", "_low.account")
@@ -72,9 +74,10 @@ def vmn_table(lines: DataFrame) -> DataFrame:
     """``vcd map network label`` lines, numbered in order; a malformed line fails."""
     wrong = F.raise_error(F.concat(F.lit("cannot parse line: "), "value")).cast("int")
     vcd = F.when((F.size(_fields()) < 4) | _int(0).isNull(), wrong).otherwise(_int(0))
-    number = F.row_number().over(Window.orderBy("line_no")) - 1  # one configuration file
-    return lines.select(vcd.alias("vcd"), _text(1).alias("map"), _text(2).alias("network"),
-                        _text(3).alias("label"), number.alias("id"))
+    rows = lines.select("line_no", vcd.alias("vcd"), _text(1).alias("map"),
+                        _text(2).alias("network"), _text(3).alias("label"))
+    return global_positions(rows, [F.col("line_no")], None, "vmn") \
+        .select("vcd", "map", "network", "label", F.col("pos").cast("int").alias("id"))
 
 
 def arl_table(lines: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from cachecurve.functions.columns import pack_ip
 LINE_ORDER = ("file", "block_start", "line_no")
 _LINE_SCHEMA = "value string, file string, block_start bigint, line_no bigint"
 _LINES_PER_BATCH = 20_000
+_CHUNK_BITS = 18
 
 
 def list_logs(spark: SparkSession, path: str) -> DataFrame:
@@ -129,23 +130,23 @@ def comment_ip(value: Column) -> Column:
 def add_server(lines: DataFrame, ip_from: str = "comment") -> DataFrame:
     """``ip`` of every line: the last comment before it in its file, else the file name.
 
-    A splittable file is handled block by block, and what a block passes on is one
-    row per block.
+    A file is handled in chunks of its lines, and what a chunk passes on is one row,
+    so that a huge file does not end up in one task.
     """
     named = server_ip(F.col("file"))
     if ip_from == "filename":
         return lines.withColumn("ip", named)
     lines = lines.withColumn("_comment", comment_ip(F.col("value")))
-    block = ["file", "block_start"]
-    tails = lines.where("_comment is not null").groupBy(*block).agg(
-        F.max(F.struct("line_no", "_comment"))["_comment"].alias("_tail"))
-    blocks = lines.select(*block).distinct().join(tails, block, "left")
-    before = Window.partitionBy("file").orderBy("block_start") \
+    lines = lines.withColumn("_chunk", F.shiftright("line_no", _CHUNK_BITS))
+    chunk = ["file", "block_start", "_chunk"]
+    tails = lines.groupBy(*chunk).agg(F.max_by(
+        "_comment", F.when(F.col("_comment").isNotNull(), F.col("line_no"))).alias("_tail"))
+    before = Window.partitionBy("file").orderBy("block_start", "_chunk") \
         .rowsBetween(Window.unboundedPreceding, -1)
-    carried = blocks.select(*block, F.last("_tail", ignorenulls=True).over(before).alias("_carry"))
-    within = Window.partitionBy(*block).orderBy("line_no") \
+    carried = tails.select(*chunk, F.last("_tail", ignorenulls=True).over(before).alias("_carry"))
+    within = Window.partitionBy(*chunk).orderBy("line_no") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     here = lines.withColumn("_here", F.last("_comment", ignorenulls=True).over(within))
-    return here.join(carried, block) \
+    return here.join(carried, chunk) \
         .withColumn("ip", F.coalesce("_here", "_carry", named)) \
-        .drop("_comment", "_here", "_carry")
+        .drop("_comment", "_here", "_carry", "_chunk")
