@@ -15,9 +15,10 @@ slice (``q`` = slice of p, ``s`` = slice of the access):
 2. j in an earlier slice, p(j) in slice q: counted inside slice q;
 3. j in an earlier slice, p(j) in a later slice than q: a sum over (q, s) cells.
 
-1 and 2 work on one slice at a time, at most ``slice_rows`` rows. 3 works on the
-counts per cell: every cell is added to the binary blocks of slices that hold its s,
-summed per (block, q), summed over q from the right, and read back by the cells.
+1 and 2 work on one slice at a time, at most ``slice_rows`` rows, and the slice reads
+3 from its cells. 3 works on the counts per cell: every cell is added to the binary
+blocks of slices that hold its s, summed per (block, q), summed over q from the right,
+and read back by the cells.
 All parts are additive, so a histogram can sum them without bringing the parts of
 one request together.
 """
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 
 from cachecurve.config import FootprintConfig
 from cachecurve.operators.sequence import slice_bits
+from cachecurve.scratch import save
 
 _PART_SCHEMA = "at bigint, shard int, t int, objects bigint, bytes bigint"
 _NONE = -1
@@ -69,8 +71,8 @@ def nested_before(values: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray,
     return counts[:n], sums[:n]
 
 
-def _slice_parts(bits: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    def parts(rows: pd.DataFrame) -> pd.DataFrame:
+def _slice_parts(bits: int) -> Callable[..., pd.DataFrame]:
+    def parts(rows: pd.DataFrame, cells: pd.DataFrame | None = None) -> pd.DataFrame:
         rows = rows.sort_values("pos")
         pos, prev, nxt, weight, shard, t, next_t = (
             rows[c].to_numpy() for c in ("pos", "prev", "nxt", "w", "shard", "t", "next_t"))
@@ -78,16 +80,22 @@ def _slice_parts(bits: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
         first = (pos[0] >> bits) << bits
 
         # Accesses of this slice that look back.
-        back = prev != _NONE
-        inner, inner_w = nested_before(prev[back], weight[back])
-        i, p = pos[back], prev[back]
-        here = p >= first
-        start = np.where(here, running[np.searchsorted(pos, np.where(here, p, pos[0]))], 0)
+        back = np.flatnonzero(prev != _NONE)
+        i, p, own_weight = pos[back], prev[back], weight[back]
+        inner, inner_w = nested_before(p, own_weight)
         apart = i != p + 1
-        own = pd.DataFrame({
-            "at": i, "shard": shard[back], "t": t[back],
-            "objects": i - p - 1 - inner + apart,
-            "bytes": running[back] - weight[back] - start - inner_w + apart * weight[back]})
+        objects = i - p - 1 - inner + apart
+        size = running[back] - own_weight - inner_w + apart * own_weight
+        here = np.flatnonzero(p >= first)
+        size[here] -= running[np.searchsorted(pos, p[here])]
+        far = np.flatnonzero(p < first)
+        if len(far):
+            cells = cells.sort_values("q")
+            cell = np.searchsorted(cells["q"].to_numpy(), p[far] >> bits)
+            objects[far] += cells["objects"].to_numpy()[cell]
+            size[far] += cells["bytes"].to_numpy()[cell]
+        own = pd.DataFrame({"at": i, "shard": shard[back], "t": t[back], "objects": objects,
+                            "bytes": size})
 
         # Accesses of this slice that are looked back to from a later slice.
         if (nxt >> bits).max() <= first >> bits:
@@ -108,7 +116,7 @@ def _slice_parts(bits: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
 def _cells(linked: DataFrame, bits: int) -> DataFrame:
     """Re-references per (slice of the previous access, slice of the access)."""
     return linked.where("prev_pos is not null") \
-        .groupBy(F.shiftright("prev_pos", bits).alias("q"), F.shiftright("pos", bits).alias("s")) \
+        .groupBy(F.shiftright("prev_pos", bits).alias("q"), F.col("slice").alias("s")) \
         .agg(F.count("*").alias("n"), F.sum("obj_size").alias("w"))
 
 
@@ -132,27 +140,32 @@ def _cell_sums(cells: DataFrame, levels: int) -> DataFrame:
         .agg(F.sum("n").alias("n"), F.sum("w").alias("w"))
 
 
-def _cell_base(linked: DataFrame, bits: int, slices: int) -> DataFrame:
+def cell_base(linked: DataFrame, cfg: FootprintConfig, slices: int) -> DataFrame:
     """What every re-reference of a cell (q, s), q < s, has in common: the weight of
-    slices q to s - 1 and, taken off, the sums of part 3."""
+    slices q to s - 1 and, taken off, the sums of part 3. Cells and slice weights are
+    saved, as each is read more than once and is far smaller than the accesses."""
     weights = linked.groupBy(F.col("slice").alias("_slice")).agg(F.sum("obj_size").alias("_w"))
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    prefix = weights.select("_slice", F.coalesce(F.sum("_w").over(before), F.lit(0)).alias("_pw"))
+    prefix = save(weights.select("_slice", F.coalesce(F.sum("_w").over(before), F.lit(0))
+                                 .alias("_pw")), "slice_weights")  # one row per slice
     at_q = prefix.select(F.col("_slice").alias("q"), F.col("_pw").alias("_pq"))
     at_s = prefix.select(F.col("_slice").alias("s"), F.col("_pw").alias("_ps"))
-    cells = _cells(linked, bits)
+    cells = save(_cells(linked, slice_bits(cfg)), "cells")
     sums = _cell_sums(cells, max(slices - 1, 1).bit_length())
     crossing = cells.where("q < s").select("q", "s").join(at_q, "q").join(at_s, "s")
     return crossing.join(sums, ["q", "s"], "left").select(
-        F.col("q"), F.col("s"),
+        F.col("s").alias("slice"), F.col("q"),
         (-F.coalesce("n", F.lit(0))).alias("objects"),
         (F.col("_ps") - F.col("_pq") - F.coalesce("w", F.lit(0))).alias("bytes"))
 
 
-def distance_parts(linked: DataFrame, cfg: FootprintConfig, slices: int) -> DataFrame:
+def distance_parts(linked: DataFrame, cells: DataFrame | None, cfg: FootprintConfig) -> DataFrame:
     """Additive parts of the distances: the sum over ``at`` (the position of the
-    re-reference) of ``objects`` and ``bytes`` is its stack distance."""
-    bits = slice_bits(cfg)
+    re-reference) of ``objects`` and ``bytes`` is its stack distance.
+
+    ``cells`` is the ``cell_base``, needed with more than one slice. A slice meets at
+    most as many cells as it has accesses.
+    """
 
     def known(name: str):
         return F.coalesce(name, F.lit(_NONE))
@@ -160,19 +173,15 @@ def distance_parts(linked: DataFrame, cfg: FootprintConfig, slices: int) -> Data
     per_slice = linked.select(
         "slice", "pos", known("prev_pos").alias("prev"), known("next_pos").alias("nxt"),
         F.col("obj_size").alias("w"), "shard", known("t").alias("t"),
-        known("next_t").alias("next_t"))
-    parts = per_slice.groupBy("slice").applyInPandas(_slice_parts(bits), _PART_SCHEMA)
-    if slices > 1:
-        crossing = linked.where("prev_pos is not null").select(
-            F.col("pos").alias("at"), "shard", known("t").alias("t"),
-            F.shiftright("prev_pos", bits).alias("q"), F.col("slice").alias("s")).where("q < s")
-        cell = crossing.join(_cell_base(linked, bits, slices), ["q", "s"]) \
-            .select("at", "shard", "t", "objects", "bytes")
-        parts = parts.unionByName(cell)
-    return parts
+        known("next_t").alias("next_t")).groupBy("slice")
+    parts = _slice_parts(slice_bits(cfg))
+    if cells is None:
+        return per_slice.applyInPandas(lambda rows: parts(rows), _PART_SCHEMA)
+    return per_slice.cogroup(cells.groupBy("slice")).applyInPandas(
+        lambda rows, base: parts(rows, base), _PART_SCHEMA)
 
 
-def stack_distance(linked: DataFrame, cfg: FootprintConfig, slices: int) -> DataFrame:
+def stack_distance(parts: DataFrame) -> DataFrame:
     """Distance of every re-reference, counted in the statistics or not."""
-    return distance_parts(linked, cfg, slices).groupBy(F.col("at").alias("pos")).agg(
+    return parts.groupBy(F.col("at").alias("pos")).agg(
         F.sum("objects").alias("dist_objects"), F.sum("bytes").alias("dist_bytes"))

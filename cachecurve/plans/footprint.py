@@ -66,14 +66,20 @@ class Footprint:
     def slices(self) -> int:
         return sequence.slice_count(self.ordered, self.cfg)
 
+    @cached_property
+    def distance_parts(self) -> DataFrame:
+        cells = None
+        if self.slices > 1:
+            cells = save(distance.cell_base(self.linked, self.cfg, self.slices), "cell_base")
+        return distance.distance_parts(self.linked, cells, self.cfg)
+
     @cached_property
     def distances(self) -> DataFrame:
-        return distance.stack_distance(self.linked, self.cfg, self.slices)
+        return distance.stack_distance(self.distance_parts)
 
     @cached_property
     def histogram(self) -> DataFrame:
-        parts = distance.distance_parts(self.linked, self.cfg, self.slices)
-        return describe.reuse_histogram(self.linked, parts)
+        return describe.reuse_histogram(self.linked, self.distance_parts)
 
     @cached_property
     def object_intervals(self) -> DataFrame:
