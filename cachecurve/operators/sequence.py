@@ -26,20 +26,21 @@ def slice_bits(cfg: FootprintConfig) -> int:
     return cfg.slice_rows.bit_length() - 1
 
 
-def global_positions(df: DataFrame, order: list[Column], partitions: int | None,
-                     name: str, **derived: Column) -> DataFrame:
+def global_positions(df: DataFrame, order: list[Column], name: str,
+                     columns: list[str | Column] | None = None,
+                     partitions: int | None = None) -> DataFrame:
     """Save ``df`` in a total order with a dense global ``pos`` from 0.
 
     Range partitioning splits hot shards at timestamps; the only unpartitioned
-    window runs over one row per partition. ``derived`` columns are computed behind
-    the shuffle, and so not a second time while Spark samples the range bounds.
+    window runs over one row per partition. ``columns`` are what is saved; they are
+    computed behind the shuffle, and so not again while Spark samples range bounds.
     """
     if partitions:
         ranged = df.repartitionByRange(partitions, *order)
     else:
         ranged = df.repartitionByRange(*order)
-    numbered = save(ranged.sortWithinPartitions(*order).withColumns(
-        {**derived, "_rid": F.monotonically_increasing_id()}), name)
+    numbered = save(ranged.sortWithinPartitions(*order).select(
+        *(columns or df.columns), F.monotonically_increasing_id().alias("_rid")), name)
     part = F.shiftright("_rid", _ROW_BITS)
     sizes = numbered.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
     # Saved so that its real size is known: a small table is then broadcast and the
@@ -65,7 +66,8 @@ def order_requests(routed: DataFrame, cfg: FootprintConfig, tiebreak: tuple[str,
     ``access`` marks requests that reach the stack: positive size and not sampled
     out. They hold the positions from 0 on in (shard, ts, record text, tiebreak)
     order; the others follow, and count only for time bounds, object ids and the
-    sampling totals. ``tiebreak`` columns only spread equal records over tasks.
+    sampling totals. ``tiebreak`` columns only spread equal records over tasks. The
+    digest and the columns that only the order needs are not kept.
     """
     routed = routed.where(is_digest(F.col("md5")))
     sampled_out = F.lit(False)
@@ -74,16 +76,17 @@ def order_requests(routed: DataFrame, cfg: FootprintConfig, tiebreak: tuple[str,
         routed = add_sample_buckets(add_labels(routed, cfg), cfg.sample_buckets,
                                     cfg.sample_overrides, network=network, map_=map_)
         sampled_out = F.pmod(sample_hash(F.col("md5")), F.col("filter_buckets")) != 0
-    extra = [c for c in (*keep, *tiebreak) if c in routed.columns]
-    if cfg.num_shards:
-        extra.append("route_key")
-    rows = routed.select("shard", "ts", "md5", "size", "bytes", "cpcode", "true_serial", "max_age",
-                         *dict.fromkeys(extra), sampled_out.alias("sampled_out")) \
+    route_key = ["route_key"] if cfg.num_shards else []
+    base = ["shard", "ts", "md5", "size", "bytes", "cpcode", "true_serial", "max_age"]
+    rows = routed.select(*dict.fromkeys([*base, *route_key, *tiebreak, *keep]),
+                         sampled_out.alias("sampled_out")) \
         .withColumn("access", (F.col("size") > 0) & ~F.col("sampled_out"))
-    order = [F.expr("not access"), F.col("shard"),
-             *([F.col("route_key")] if cfg.num_shards else []),
+    # The digest leads the record text; comparing it first builds the text only in ties.
+    order = [F.expr("not access"), F.col("shard"), *[F.col(c) for c in route_key],
              F.col("ts"), F.col("md5"), record_tail(), *[F.col(c) for c in tiebreak]]
-    return global_positions(rows, order, cfg.partitions, "ordered", obj=object_id(F.col("md5")))
+    kept = ["shard", "ts", "size", "bytes", "true_serial", "max_age", "sampled_out", "access"]
+    columns = [*dict.fromkeys([*kept, *route_key, *keep]), object_id(F.col("md5")).alias("obj")]
+    return global_positions(rows, order, "ordered", columns, cfg.partitions)
 
 
 def slice_count(ordered: DataFrame, cfg: FootprintConfig) -> int:
@@ -205,7 +208,7 @@ def link_accesses(rows: DataFrame, cfg: FootprintConfig, slices: int) -> DataFra
     """
     bits = slice_bits(cfg)
     keys = ["slice", "shard", "obj"]
-    rows = rows.drop("md5", "cpcode", "first_ts", "bypass") \
+    rows = rows.drop("first_ts", "bypass", "prewarm") \
         .withColumn("slice", F.shiftright("pos", bits))
     within = Window.partitionBy(*keys).orderBy("pos")
     linked = rows.withColumns({
@@ -251,13 +254,14 @@ def sampled_links(linked: DataFrame, cfg: FootprintConfig) -> DataFrame:
         stale = (F.col("max_age") > -1) & (ts > prev_ts.cast("int") + F.col("max_age"))
     in_horizon = prev_ts.isNull() | (F.col("interval_s").between(0, cfg.horizon_s - 1))
     return linked.withColumns({
+        "prewarm": ts.cast("bigint") < F.col("compute_start"),
         "t": _sample_second(ts, prev_ts, cfg),
         "next_t": _sample_second(F.col("next_ts"), ts, cfg),
         "interval_s": (ts - prev_ts).cast("int"),
         "stale": F.coalesce(stale, F.lit(False)),
         "inflation": shortfall(F.when(prev_ts.isNull(), F.col("size"))
                                .otherwise(F.col("obj_size")), F.col("bytes")),
-    }).withColumn("in_horizon", in_horizon).drop("max_age", "next_ts")
+    }).withColumn("in_horizon", in_horizon)
 
 
 def copy_side(obj: Column, seq: Column) -> Column:

@@ -59,8 +59,8 @@ class Footprint:
     @cached_property
     def linked(self) -> DataFrame:
         stacked = sequence.stack_positions(self.requests, self.cfg)
-        linked = sequence.link_accesses(stacked, self.cfg, self.slices)
-        return save(sequence.sampled_links(linked, self.cfg), "linked")
+        linked = save(sequence.link_accesses(stacked, self.cfg, self.slices), "linked")
+        return sequence.sampled_links(linked, self.cfg)
 
     @cached_property
     def slices(self) -> int:

@@ -21,7 +21,7 @@ def config_lines(spark: SparkSession, path: str) -> DataFrame:
     and lines that start with a space."""
     lines = read_lines(spark, path).withColumnRenamed("line_no", "_line")
     order = [F.col("_line" if c == "line_no" else c) for c in LINE_ORDER]
-    numbered = global_positions(lines, order, None, "config_lines")
+    numbered = global_positions(lines, order, "config_lines")
     return content_lines(numbered.select("value", F.col("pos").alias("line_no")))
 
 
@@ -63,7 +63,7 @@ def account_table(lines: DataFrame, accounts: list[str] | None = None) -> DataFr
     if accounts:
         pairs = pairs.where(F.col("account").isin(accounts))
     seen = pairs.groupBy("account").agg(F.min("line_no").alias("_first"))
-    ids = global_positions(seen, [F.col("_first")], None, "accounts") \
+    ids = global_positions(seen, [F.col("_first")], "accounts") \
         .select("account", F.col("pos").cast("int").alias("account_id"))
     return pairs.join(ids, "account").groupBy("cpcode").agg(
         F.min(F.struct("account_id", "account")).alias("_low")) \
@@ -76,7 +76,7 @@ def vmn_table(lines: DataFrame) -> DataFrame:
     vcd = F.when((F.size(_fields()) < 4) | _int(0).isNull(), wrong).otherwise(_int(0))
     rows = lines.select("line_no", vcd.alias("vcd"), _text(1).alias("map"),
                         _text(2).alias("network"), _text(3).alias("label"))
-    return global_positions(rows, [F.col("line_no")], None, "vmn") \
+    return global_positions(rows, [F.col("line_no")], "vmn") \
         .select("vcd", "map", "network", "label", F.col("pos").cast("int").alias("id"))
 
 

@@ -169,8 +169,8 @@ def shard_sequence(spark, sf_dir):
 @query("shard_sequence_ties", ITEM_STACK + """
 SELECT shard, seq, ts, md5, l_orderkey, l_linenumber FROM req""")
 def shard_sequence_ties(spark, sf_dir):
-    return items(spark, sf_dir).requests.select("shard", "seq", "ts", "md5", "l_orderkey",
-                                                "l_linenumber")
+    return items(spark, sf_dir).requests.select(
+        "shard", "seq", "ts", object_hex(F.col("obj")).alias("md5"), "l_orderkey", "l_linenumber")
 
 
 @query("shard_partition", f"""
