@@ -1,10 +1,10 @@
 """Request order and access links of every shard.
 
-A shard may hold most of the data, and one object most of a shard, so nothing here
-groups by shard or object alone. All requests are laid end to end in (shard, time,
-record) order and given one dense global position. ``slice`` = position divided by
-``slice_rows``: groups by slice are bounded by construction. What an object carries
-from one slice to the next is first reduced to one row per (shard, object, slice).
+A shard may hold most of the data, and one object most of a shard, so no step brings
+all requests of a shard, or of a hot object, together. All requests are laid end to end
+in (shard, time, record) order and given one dense global position. ``slice`` = position
+divided by ``slice_rows``: groups by slice are bounded by construction. What a hot object
+carries from one slice to the next is first reduced to one row per slice.
 """
 
 from __future__ import annotations
@@ -200,44 +200,59 @@ def stack_positions(admitted: DataFrame, cfg: FootprintConfig) -> DataFrame:
         .drop("slice", "_start", "_inside")
 
 
-def link_accesses(rows: DataFrame, cfg: FootprintConfig, slices: int) -> DataFrame:
+def hot_objects(rows: DataFrame, cfg: FootprintConfig) -> DataFrame:
+    """Objects with more accesses in a shard than a slice has rows; there are at most
+    as many of them as slices. Counts are combined before the shuffle."""
+    return rows.groupBy("shard", "obj").agg(F.count("*").alias("_n")) \
+        .where(F.col("_n") > cfg.slice_rows) \
+        .select("shard", "obj", F.lit(True).alias("_hot"))
+
+
+def link_accesses(rows: DataFrame, cfg: FootprintConfig, hot: DataFrame | None) -> DataFrame:
     """Previous and next access of the same object, and its sticky size.
 
     Adds ``prev_pos``, ``prev_ts``, ``next_pos``, ``next_ts`` and ``obj_size`` (the
-    object's first accepted size).
+    object's first accepted size). Accesses of an object are brought together, but
+    those of ``hot`` objects slice by slice, so that no group exceeds ``slice_rows``;
+    one row per hot object and slice carries the ends across.
     """
-    bits = slice_bits(cfg)
-    keys = ["slice", "shard", "obj"]
     rows = rows.drop("first_ts", "bypass", "prewarm") \
-        .withColumn("slice", F.shiftright("pos", bits))
+        .withColumn("slice", F.shiftright("pos", slice_bits(cfg)))
+    keys = ["shard", "obj"]
+    if hot is not None:
+        keys.append("_run")
+        rows = rows.join(hot, ["shard", "obj"], "left") \
+            .withColumn("_run", F.when(F.col("_hot"), F.col("slice")).otherwise(-1)).drop("_hot")
     within = Window.partitionBy(*keys).orderBy("pos")
+    so_far = (Window.unboundedPreceding, Window.currentRow)
     linked = rows.withColumns({
         "prev_pos": F.lag("pos").over(within), "prev_ts": F.lag("ts").over(within),
-        "next_pos": F.lead("pos").over(within), "next_ts": F.lead("ts").over(within)})
-    if slices == 1:
-        return linked.withColumn("obj_size", F.first("size").over(
-            within.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    runs = rows.groupBy(*keys).agg(
+        "next_pos": F.lead("pos").over(within), "next_ts": F.lead("ts").over(within),
+        "obj_size": F.first("size").over(within.rowsBetween(*so_far))})
+    if hot is None:
+        return linked
+    runs = rows.where("_run >= 0").groupBy(*keys).agg(
         F.min("pos").alias("_first_pos"), F.min_by("ts", "pos").alias("_first_ts"),
         F.max("pos").alias("_last_pos"), F.max_by("ts", "pos").alias("_last_ts"),
         F.min_by("size", "pos").alias("_size"))
-    across = Window.partitionBy("shard", "obj").orderBy("slice")
+    across = Window.partitionBy("shard", "obj").orderBy("_run")
     carried = runs.select(
         *keys,
         F.lag("_last_pos").over(across).alias("_prev_pos"),
         F.lag("_last_ts").over(across).alias("_prev_ts"),
         F.lead("_first_pos").over(across).alias("_next_pos"),
         F.lead("_first_ts").over(across).alias("_next_ts"),
-        F.first("_size").over(across.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        .alias("obj_size"))
+        F.first("_size").over(across.rowsBetween(*so_far)).alias("_obj_size"))
     ends = ["prev_pos", "prev_ts", "next_pos", "next_ts"]
-    return linked.join(carried, keys) \
-        .withColumns({c: F.coalesce(c, f"_{c}") for c in ends}).drop(*[f"_{c}" for c in ends])
+    return linked.join(carried, keys, "left").withColumns({
+        **{c: F.coalesce(c, f"_{c}") for c in ends},
+        "obj_size": F.coalesce("_obj_size", "obj_size"),
+    }).drop("_run", "_obj_size", *[f"_{c}" for c in ends])
 
 
 def _sample_second(ts: Column, prev_ts: Column, cfg: FootprintConfig) -> Column:
     """Whole second of the reuse interval when the re-reference counts, else null."""
-    second = (ts - prev_ts).cast("int")
+    second = (ts - prev_ts).try_cast("int")
     counted = (second >= 0) & (second < cfg.horizon_s) \
         & (ts.cast("bigint") >= F.col("compute_start"))
     return F.when(counted, second)
@@ -257,7 +272,7 @@ def sampled_links(linked: DataFrame, cfg: FootprintConfig) -> DataFrame:
         "prewarm": ts.cast("bigint") < F.col("compute_start"),
         "t": _sample_second(ts, prev_ts, cfg),
         "next_t": _sample_second(F.col("next_ts"), ts, cfg),
-        "interval_s": (ts - prev_ts).cast("int"),
+        "interval_s": (ts - prev_ts).try_cast("int"),
         "stale": F.coalesce(stale, F.lit(False)),
         "inflation": shortfall(F.when(prev_ts.isNull(), F.col("size"))
                                .otherwise(F.col("obj_size")), F.col("bytes")),

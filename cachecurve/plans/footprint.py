@@ -59,7 +59,11 @@ class Footprint:
     @cached_property
     def linked(self) -> DataFrame:
         stacked = sequence.stack_positions(self.requests, self.cfg)
-        linked = save(sequence.link_accesses(stacked, self.cfg, self.slices), "linked")
+        hot = None
+        if self.slices > 1:
+            hot = save(sequence.hot_objects(stacked, self.cfg), "hot_objects")
+            hot = None if hot.isEmpty() else hot
+        linked = save(sequence.link_accesses(stacked, self.cfg, hot), "linked")
         return sequence.sampled_links(linked, self.cfg)
 
     @cached_property
