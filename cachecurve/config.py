@@ -7,7 +7,7 @@ override strings. Nothing in this module looks at request data.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import date
 
 # Fixed values.
@@ -19,6 +19,10 @@ SIZE_UNIT = 1024 * 1024
 REPLICATION_SERIAL_MODULUS = 2039
 MAX_TIME_S = 2**31 - 1
 
+# Rows of a slice of the request sequence, as powers of two.
+MIN_SLICE_BITS = 17
+MAX_SLICE_BITS = 22
+
 # Slot -> serial exceptions of the ESSL network.
 SLOT_EXCEPTIONS = {
     5153: 2007, 3353: 2008, 566: 2009, 8132: 2010, 8091: 2011, 10204: 2012,
@@ -201,7 +205,7 @@ class FootprintConfig(RequestFilter):
     parity: bool = False
     partitions: int | None = None
     stage_routed: bool = False
-    slice_rows: int = 1 << 20
+    slice_rows: int | None = None
 
     def __post_init__(self):
         super().__post_init__()
@@ -221,13 +225,26 @@ class FootprintConfig(RequestFilter):
             raise ValueError("sample_at must be None, 'map' or 'reduce'")
         if self.prewarm_from_config and self.start_s == 0:
             raise ValueError("prewarm_from_config needs start_s")
-        if self.slice_rows < 2 or self.slice_rows & (self.slice_rows - 1):
+        if self.slice_rows is not None and (self.slice_rows < 2
+                                            or self.slice_rows & (self.slice_rows - 1)):
             raise ValueError("slice_rows must be a power of two")
         ip_list(self.servers)
         expected = self.expected_shards()
         if self.num_shards is not None and expected and self.num_shards < expected:
             raise ValueError(f"{expected} shards are needed, only {self.num_shards} configured")
 
+    def sliced(self, rows: int) -> FootprintConfig:
+        """These options with ``slice_rows`` set for a number of stack requests.
+
+        Pairs of slices are summed up, so slices grow with the square root of the data:
+        at about sqrt(8 rows) the pairs stay well below the requests. A slice is one
+        group in a Python worker, which bounds it from above.
+        """
+        if self.slice_rows is not None:
+            return self
+        bits = ((8 * max(rows, 1)).bit_length() + 1) // 2
+        return replace(self, slice_rows=1 << min(max(bits, MIN_SLICE_BITS), MAX_SLICE_BITS))
+
     # --- dimension ids, all derived from configuration ---------------------------------
 
     @property

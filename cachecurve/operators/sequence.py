@@ -89,9 +89,9 @@ def order_requests(routed: DataFrame, cfg: FootprintConfig, tiebreak: tuple[str,
     return global_positions(rows, order, "ordered", columns, cfg.partitions)
 
 
-def slice_count(ordered: DataFrame, cfg: FootprintConfig) -> int:
-    """Number of slices that the stack requests fill; reads one boolean column."""
-    return max(-(-ordered.where("access").count() // cfg.slice_rows), 1)
+def stack_request_count(ordered: DataFrame) -> int:
+    """Number of requests that reach the stack; reads one boolean column."""
+    return ordered.where("access").count()
 
 
 def compute_start(cfg: FootprintConfig) -> Column:

@@ -53,29 +53,38 @@ class Footprint:
     def requests(self) -> DataFrame:
         """Stack requests with ``seq``, ``prewarm`` and ``bypass``."""
         rows = sequence.accesses(self.ordered, self.facts, self.cfg)
-        admitted = sequence.admit(rows, self.cfg)
+        admitted = sequence.admit(rows, self.sliced)
         return admitted if self.cfg.admission_pct >= 100 else save(admitted, "admitted")
 
     @cached_property
     def linked(self) -> DataFrame:
-        stacked = sequence.stack_positions(self.requests, self.cfg)
+        stacked = sequence.stack_positions(self.requests, self.sliced)
         hot = None
         if self.slices > 1:
-            hot = save(sequence.hot_objects(stacked, self.cfg), "hot_objects")
+            hot = save(sequence.hot_objects(stacked, self.sliced), "hot_objects")
             hot = None if hot.isEmpty() else hot
-        linked = save(sequence.link_accesses(stacked, self.cfg, hot), "linked")
+        linked = save(sequence.link_accesses(stacked, self.sliced, hot), "linked")
         return sequence.sampled_links(linked, self.cfg)
 
     @cached_property
+    def stack_requests(self) -> int:
+        return sequence.stack_request_count(self.ordered)
+
+    @cached_property
+    def sliced(self) -> FootprintConfig:
+        """The options with the slice size settled."""
+        return self.cfg.sliced(self.stack_requests)
+
+    @property
     def slices(self) -> int:
-        return sequence.slice_count(self.ordered, self.cfg)
+        return max(-(-self.stack_requests // self.sliced.slice_rows), 1)
 
     @cached_property
     def distance_parts(self) -> DataFrame:
         cells = None
         if self.slices > 1:
-            cells = save(distance.cell_base(self.linked, self.cfg, self.slices), "cell_base")
-        return distance.distance_parts(self.linked, cells, self.cfg)
+            cells = save(distance.cell_base(self.linked, self.sliced, self.slices), "cell_base")
+        return distance.distance_parts(self.linked, cells, self.sliced)
 
     @cached_property
     def distances(self) -> DataFrame:
