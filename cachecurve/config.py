@@ -22,6 +22,7 @@ MAX_TIME_S = 2**31 - 1
 # Rows of a slice of the request sequence, as powers of two.
 MIN_SLICE_BITS = 17
 MAX_SLICE_BITS = 22
+UNSLICED_ROWS = 1 << 20
 
 # Slot -> serial exceptions of the ESSL network.
 SLOT_EXCEPTIONS = {
@@ -238,10 +239,12 @@ class FootprintConfig(RequestFilter):
 
         Pairs of slices are summed up, so slices grow with the square root of the data:
         at about sqrt(8 rows) the pairs stay well below the requests. A slice is one
-        group in a Python worker, which bounds it from above.
+        group in a Python worker, which bounds it from above. Few rows need no slices.
         """
         if self.slice_rows is not None:
             return self
+        if rows <= UNSLICED_ROWS:
+            return replace(self, slice_rows=UNSLICED_ROWS)
         bits = ((8 * max(rows, 1)).bit_length() + 1) // 2
         return replace(self, slice_rows=1 << min(max(bits, MIN_SLICE_BITS), MAX_SLICE_BITS))
 

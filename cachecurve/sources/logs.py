@@ -47,6 +47,16 @@ def read_lines(spark: SparkSession, *paths: str, glob: str | None = None) -> Dat
     return _located(reader.text(list(paths)))
 
 
+def spread(df: DataFrame, *keys: str, tasks: int | None = None) -> DataFrame:
+    """Repartition an input that comes in fewer partitions than there are ``tasks``, such
+    as a few large gzip files; an input that already fills the cluster is not shuffled.
+
+    ``keys`` that tell rows apart save the sort of a round-robin shuffle.
+    """
+    tasks = tasks or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(tasks, *keys) if df.rdd.getNumPartitions() < tasks else df
+
+
 def _open(path: str):
     from pyarrow import fs
 

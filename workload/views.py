@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cachecurve.config import FootprintConfig
+from cachecurve.sources.logs import spread
 
 CPCODE_ACCOUNTS = ((1000, "a1"), (1001, "a1"), (1002, "a1"), (1003, "a2"), (1004, "a2"),
                    (1004, "a1"))
@@ -26,7 +27,8 @@ def _millis(ts: str):
 
 def event_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One request per event: few objects, much reuse, fractional timestamps."""
-    e = _table(spark, sf_dir, "events").select(
+    e = spread(_table(spark, sf_dir, "events").select(
+        "event_id", "user_id", "event_type", "ts", "props"), "event_id").select(
         "event_id", "user_id", "event_type",
         F.get_json_object("props", "$.k").cast("int").alias("k"),
         (_millis("ts") / 1000.0).cast("double").alias("ts"))
@@ -58,9 +60,10 @@ def event_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def item_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One request per line item: many objects, many requests at the same time."""
-    li = _table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
-        (_millis("l_shipdate") / 1000.0).cast("double").alias("ts"))
+    columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
+    li = spread(_table(spark, sf_dir, "lineitem").select(*columns, "l_shipdate"),
+                "l_orderkey", "l_partkey").select(
+        *columns, (_millis("l_shipdate") / 1000.0).cast("double").alias("ts"))
     part = _table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), F.expr("65536L * p_size").alias("size"))
     return li.join(part, "l_partkey").select(
