@@ -1,7 +1,7 @@
 """Request filters, miss handling and sampling.
 
-Each rule is a boolean column that is true for requests to drop. ``keep`` applies
-them as plain filters before any shuffle; ``classify`` names the first rule hit.
+Each rule is a boolean column that is true for requests to keep. ``keep`` applies them
+as plain filters before any shuffle; ``classify`` names the first rule that drops one.
 """
 
 from __future__ import annotations
@@ -133,32 +133,34 @@ def prepare(requests: DataFrame, cfg: FootprintConfig) -> DataFrame:
     return add_map_index(df, cfg)
 
 
-def drop_rules(cfg: FootprintConfig) -> dict[str, Column]:
-    """Rules in the order they are tried; true means drop."""
+def keep_rules(cfg: FootprintConfig) -> dict[str, Column]:
+    """Rules in the order they are tried, by the reason they give; false means drop."""
     rules: dict[str, Column] = {}
     if cfg.sample_at == "map":
-        rules["sampled"] = F.pmod(sample_hash(F.col("md5")), F.col("filter_buckets")) != 0
+        rules["sampled"] = F.pmod(sample_hash(F.col("md5")), F.col("filter_buckets")) == 0
     if cfg.rehash_only:
-        rules["rehash"] = ~F.col("serial").isin(list(cfg.rehash_starts()))
+        rules["rehash"] = F.col("serial").isin(list(cfg.rehash_starts()))
     if cfg.mode == "miss":
-        rules["hit"] = ~F.col("is_miss")
+        rules["hit"] = F.col("is_miss")
     if cfg.ignore_icp:
-        rules["icp"] = F.col("is_icp")
+        rules["icp"] = ~F.col("is_icp")
     if cfg.mode == "served":
-        rules["prefetch"] = F.col("ignore_prefetch") & F.col("is_prefetch")
-    rules["time"] = ~in_time_range(cfg)
-    rules["filter"] = ~match_filters(cfg)
+        rules["prefetch"] = ~(F.col("ignore_prefetch") & F.col("is_prefetch"))
+    rules["time"] = in_time_range(cfg)
+    rules["filter"] = match_filters(cfg)
     return rules
 
 
 def keep(prepared: DataFrame, cfg: FootprintConfig) -> DataFrame:
-    for rule in drop_rules(cfg).values():
-        prepared = prepared.where(~F.coalesce(rule, F.lit(False)))
+    """Plain filters, so that those on stored columns reach a columnar scan."""
+    for rule in keep_rules(cfg).values():
+        prepared = prepared.where(rule)
     return prepared
 
 
 def classify(prepared: DataFrame, cfg: FootprintConfig) -> DataFrame:
     """``reject_reason`` also for the requests that a rule drops."""
     reason = F.col("reject_reason") if "reject_reason" in prepared.columns else F.lit(None)
-    rules = [F.when(rule, F.lit(name)) for name, rule in drop_rules(cfg).items()]
+    rules = [F.when(~F.coalesce(rule, F.lit(False)), F.lit(name))
+             for name, rule in keep_rules(cfg).items()]
     return prepared.withColumn("reject_reason", F.coalesce(reason, *rules))

@@ -63,7 +63,7 @@ def route(requests: DataFrame, cfg: FootprintConfig) -> DataFrame:
     network), translated serial.
     """
     df = rehash_shard(requests, cfg)
-    single = F.when(F.lit(False), F.lit(0))
+    single = F.lit(None).cast("int")
     if cfg.url_buckets:
         single = url_shard(cfg)
     if cfg.split_by == "mapid":

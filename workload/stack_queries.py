@@ -245,6 +245,22 @@ def stack_distance_sliced(spark, sf_dir):
                                                     "dist_objects", "dist_bytes")
 
 
+HOT = "ABCDEFABCDEFABCD"
+HOT_EVENTS = ROUTED_EVENTS.replace(
+    "SELECT *, serial AS shard",
+    f"SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN '{HOT}' ELSE md5 END AS md5), 1 AS shard")
+
+
+@query("hot_object_distance", stack(HOT_EVENTS) + DIST + """
+SELECT tie1 AS event_id, t, dist_objects, dist_bytes FROM dist""")
+def hot_object_distance(spark, sf_dir):
+    """One shard, and one object in it with a third of the requests."""
+    f = events(spark, sf_dir, replace(PLAIN, slice_rows=256), lambda r: r.withColumns({
+        "shard": F.lit(1),
+        "md5": F.when(F.expr("event_id % 3 = 0"), HOT).otherwise(F.col("md5"))}))
+    return f.distances.join(f.linked, "pos").select("event_id", "t", "dist_objects", "dist_bytes")
+
+
 # --- prewarm, time to live, admission ---------------------------------------------------
 
 WARM_S = 10 * 86400
@@ -371,11 +387,10 @@ def serial_info(spark, sf_dir):
                   lambda r: r.withColumn("shard", F.col("cpcode"))).serial_info
 
 
-# A shard per user: many have one request, or nothing but first accesses.
+# A shard per twelve events: many have no re-reference at all.
 USER_SHARDS = ROUTED_EVENTS.replace(
     "serial AS shard, serial AS true_serial, CAST(serial AS VARCHAR) AS label",
-    "CAST(map || arlid || region AS VARCHAR) AS map_, CAST(event_id // 12 AS INTEGER) AS shard, "
-    "serial AS true_serial, CAST(event_id // 12 AS VARCHAR) AS label")
+    "CAST(event_id // 12 AS INTEGER) AS shard, serial AS true_serial, CAST(event_id // 12 AS VARCHAR) AS label")
 
 
 @query("empty_shards", stack(USER_SHARDS) + SUMMARY + header_sql())
