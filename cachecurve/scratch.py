@@ -14,11 +14,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_local_roots: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
+    """The shared folder that ``spark.checkpoint.dir`` names; only where it is unset, as
+    in a local trial, a folder of this machine."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="cachecurve-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        root = _local_roots.setdefault(app, "") or tempfile.mkdtemp(prefix="cachecurve-")
+        _local_roots[app] = root
     return root.rstrip("/")
 
 
