@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import io
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -30,21 +30,26 @@ def key_index(path: Column) -> Column:
                       F.lit("1"))
 
 
-def _located(df: DataFrame) -> DataFrame:
-    return df.select("value", F.col("_metadata.file_path").alias("file"),
-                     F.col("_metadata.file_block_start").alias("block_start"),
-                     F.monotonically_increasing_id().alias("line_no"))
+Prune = Callable[[DataFrame], DataFrame]
 
 
-def read_lines(spark: SparkSession, *paths: str, glob: str | None = None) -> DataFrame:
+def read_lines(spark: SparkSession, *paths: str, glob: str | None = None,
+               prune: Prune | None = None) -> DataFrame:
     """Text or gzip lines; Spark picks the codec by file name.
 
-    ``(file, block_start, line_no)`` is the order of a file's lines.
+    ``(file, block_start, line_no)`` is the order of a file's lines. ``prune`` filters on
+    ``file``; its conditions reach the file listing, so that other files are not read.
     """
     reader = spark.read.option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return _located(reader.text(list(paths)))
+    # Spelled as in the listing of ``list_logs``.
+    file = F.regexp_replace("_metadata.file_path", "^file:/+", "file:/")
+    lines = reader.text(list(paths)).select(
+        "value", file.alias("file"),
+        F.col("_metadata.file_block_start").alias("block_start"))
+    lines = prune(lines) if prune else lines
+    return lines.withColumn("line_no", F.monotonically_increasing_id())
 
 
 def spread(df: DataFrame, *keys: str, tasks: int | None = None) -> DataFrame:
@@ -96,18 +101,16 @@ def read_gzip_lines(files: DataFrame) -> DataFrame:
     return files.select("file").repartition("file").mapInPandas(_gunzip, _LINE_SCHEMA)
 
 
-def read_logs(spark: SparkSession, path: str, files: DataFrame | None = None) -> DataFrame:
-    """Lines of all logs below ``path``, optionally of the given ``file`` only.
+def read_logs(spark: SparkSession, path: str, prune: Prune | None = None) -> DataFrame:
+    """Lines of all logs below ``path``, or of the files that ``prune`` keeps.
 
-    A condition on ``file`` is a semi join; plain ``.gz`` files go through Spark's
-    text reader and the others through ``read_gzip_lines``.
+    Plain ``.gz`` files go through Spark's text reader, the others through
+    ``read_gzip_lines``.
     """
-    listed = list_logs(spark, path).select("file") if files is None else files.select("file")
-    hidden = listed.where(~F.col("file").rlike(r"\.gz$"))
-    plain = read_lines(spark, path, glob="*.gz")
-    if files is not None:
-        plain = plain.join(files.select("file"), "file", "left_semi")
-    return plain.select("value", *LINE_ORDER).unionByName(read_gzip_lines(hidden))
+    hidden = list_logs(spark, path).where(~F.col("file").rlike(r"\.gz$"))
+    hidden = prune(hidden) if prune else hidden
+    plain = read_lines(spark, path, glob="*.gz", prune=prune)
+    return plain.unionByName(read_gzip_lines(hidden))
 
 
 def server_ip(path: Column) -> Column:

@@ -49,13 +49,17 @@ def parse_whitelist(lines: DataFrame, value: str = "value") -> DataFrame:
         _part(fields, 3).alias("region"))
 
 
-def whitelist_paths(files: DataFrame, whitelist: DataFrame, base: str = "",
+def whitelist_paths(files: DataFrame, whitelist: DataFrame | list[tuple], base: str = "",
                     path: str = "file", strict: bool = False) -> DataFrame:
     """Keep ``<date>/<metro>/<type>/<network>/<region>/<file>`` paths.
 
     Each level is tested against its own set, so combinations across whitelist lines
-    pass; ``strict`` asks for one line that matches the whole path.
+    pass; ``strict`` asks for one line that matches the whole path. Rows brought to the
+    driver (``lists.load_rows``) become plain conditions, which prune files before they
+    are read; a table is joined.
     """
+    if not isinstance(whitelist, DataFrame):
+        return _whitelist_rows(files, whitelist, _parts(F.col(path), base), strict)
     parts = _parts(F.col(path), base)
     keyed = files.withColumn("_p", parts).where(F.size("_p") >= 6).withColumns({
         "date": _part(F.col("_p"), 0), "metro": _part(F.col("_p"), 1),
@@ -72,6 +76,19 @@ def whitelist_paths(files: DataFrame, whitelist: DataFrame, base: str = "",
     return kept.select(*files.columns)
 
 
+def _whitelist_rows(files: DataFrame, rows: list[tuple], parts: Column,
+                    strict: bool) -> DataFrame:
+    pair = F.concat_ws(":", _part(parts, 2), _part(parts, 3))
+    values = [_part(parts, 0), _part(parts, 1), _part(parts, 2), pair, _part(parts, 4)]
+    files = files.where(F.size(parts) >= 6)
+    if strict:
+        lines = ["/".join(row) for row in rows if None not in row]
+        return files.where(F.concat_ws("/", *values).isin(lines))
+    for value, level in zip(values, zip(*rows)):
+        files = files.where(value.isin(sorted(set(level) - {None})))
+    return files if rows else files.where(F.lit(False))
+
+
 def whitelist_table(files: DataFrame, entries: list[str]) -> DataFrame:
     """A whitelist given in line rather than as a file."""
     return parse_whitelist(config_table(files, [(e,) for e in entries], "value string"))

@@ -35,10 +35,16 @@ def test_listing_and_reading(spark, tmp_path):
 
 def test_path_rules_prune_files_before_reading(spark, tmp_path):
     base = _tree(tmp_path)
+    # Reading these would fail.
+    (tmp_path / "2024-02-02/10/ams/broken.gz").write_bytes(b"no gzip")
+    (tmp_path / "2024-02-02/10/ams/broken.gz.key1").write_bytes(b"no gzip")
     rule = PathFilter("2024-01-01", "2024-01-31", "10:ams")
-    files = paths.filter_paths(logs.list_logs(spark, base), rule, base=f"file:{base}")
-    assert sorted(r.value for r in logs.read_logs(spark, base, files).collect()) == \
-        ["", "k1", "k2", "p1", "p2", "ü"]
+
+    def prune(files):
+        return paths.filter_paths(files, rule, base=f"file:{base}")
+
+    lines = logs.read_logs(spark, base, prune)
+    assert sorted(r.value for r in lines.collect()) == ["", "k1", "k2", "p1", "p2", "ü"]
 
 
 def test_long_keyed_file_keeps_its_order(spark, tmp_path):
@@ -102,6 +108,10 @@ def test_whitelist_sets_are_independent(spark):
     assert loose == {"d1/m1/t1/n1/r1/f", "d1/m2/t1/n1/r2/f", "d2/m2/t2/n2/r2/f/g"}
     strict = {r.file for r in paths.whitelist_paths(df, allowed, strict=True).collect()}
     assert strict == {"d1/m1/t1/n1/r1/f", "d2/m2/t2/n2/r2/f/g"}
+    rows = lists.load_rows(allowed)
+    assert {r.file for r in paths.whitelist_paths(df, rows).collect()} == loose
+    assert {r.file for r in paths.whitelist_paths(df, rows, strict=True).collect()} == strict
+    assert paths.whitelist_paths(df, []).count() == 0
 
 
 def test_lists_from_files(spark, tmp_path):
