@@ -120,6 +120,16 @@ def server_ip(path: Column) -> Column:
     return F.nullif(found, F.lit(""))
 
 
+def _packed(ip: str) -> int:
+    value = int.from_bytes(bytes(map(int, ip.split("."))), "big")
+    return value - (1 << 32) if value >> 31 else value
+
+
+def listed_server(path: Column, servers: list[str]) -> Column:
+    """Whether a log file's server is listed; as ``prune`` it skips whole files."""
+    return pack_ip(server_ip(path)).isin([_packed(ip) for ip in servers])
+
+
 def keep_servers(lines: DataFrame, servers: list[str], file: str = "file") -> DataFrame:
     """Lines of files of the listed servers, with the server's position in the list.
 
@@ -128,10 +138,9 @@ def keep_servers(lines: DataFrame, servers: list[str], file: str = "file") -> Da
     if not servers:
         return lines
     table = lines.sparkSession.createDataFrame(
-        list({ip: i for i, ip in enumerate(servers)}.items()),
-        "_server string, server_index int")
-    return lines.join(table, pack_ip(server_ip(F.col(file))) == pack_ip(F.col("_server"))) \
-        .drop("_server")
+        list({_packed(ip): i for i, ip in enumerate(servers)}.items()),
+        "_server int, server_index int")
+    return lines.join(table, pack_ip(server_ip(F.col(file))) == F.col("_server")).drop("_server")
 
 
 def comment_ip(value: Column) -> Column:

@@ -62,6 +62,8 @@ def test_servers_of_files(spark):
     assert ips == ["10.0.0.1", "10.0.0.2", None, "10.0.0.9", None]
     kept = logs.keep_servers(df, ["10.0.0.2", "10.0.0.1"]).collect()
     assert {(r.file, r.server_index) for r in kept} == {(names[0], 1), (names[1], 0)}
+    listed = df.where(logs.listed_server(F.col("file"), ["10.0.0.9"])).collect()
+    assert [r.file for r in listed] == [names[3]]
 
 
 def test_server_from_comments(spark):
