@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from cachecurve.llm.chat import chat_digests, format_chat, read_chat
+from cachecurve.llm.exact_dedup import exact_groups
 from cachecurve.llm.mixing import mix_sources, taken_words
 from cachecurve.llm.token_counts import count_tokens
+from cachecurve.llm.token_files import read_token_files, write_token_files
+from cachecurve.scratch import scratch_root
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -33,6 +38,20 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+@query("op2_exact_dedup", r"""
+WITH said AS (
+  SELECT doc_id, coalesce(length(text), 0) AS n,
+         sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+  FROM documents),
+ranked AS (
+  SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY n DESC, doc_id) AS keep_id,
+         count(*) OVER (PARTITION BY text_sha256) AS group_size FROM said)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM ranked
+""")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_groups(table(spark, sf_dir, "documents"))
+
+
 @query("op3_source_mix")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mix_sources(table(spark, sf_dir, "documents"), block_words=64, shard_blocks=4096)
@@ -70,3 +89,15 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     injected = spark.createDataFrame(INJECTED, "conv_id bigint, turn int, role string, text string")
     return chat_digests(read_chat(format_chat(rows.unionByName(injected))))
+
+
+#: Id that ends a document in token files.
+END_ID = 2
+
+
+@query("op7_token_files")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{scratch_root(spark)}/cachecurve/{uuid.uuid4().hex}/token_files"
+    write_token_files(table(spark, sf_dir, "documents"), folder,
+                      public_tokenizers.path(BYTE_BPE), END_ID)
+    return read_token_files(spark, folder)
