@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cachecurve.scratch import save
+
 #: Bound of the training sample, and of the features that the model keeps.
 TRAIN_DOCS = 10_000
 MAX_FEATURES = 4_000
@@ -87,46 +89,50 @@ class Model:
         return logistic(z)
 
 
-def select_features(docs: list[set[bytes]], labels: np.ndarray,
-                    least: float = LEAST_GAIN) -> list[bytes]:
-    """Features of two or more documents, the most telling first (log-likelihood ratio).
+def select_features(found: DataFrame, least: float = LEAST_GAIN) -> list[bytes]:
+    """Features of two or more of the documents (``label words``), the most telling first.
 
-    Among many rare words some are only in toxic documents by chance; ``least`` keeps them out.
+    Among many rare words some are only in toxic documents by chance; ``least``, a
+    log-likelihood ratio, keeps them out.
     """
-    both: dict[bytes, list[int]] = {}
-    for found, label in zip(docs, labels.tolist()):
-        for f in found:
-            both.setdefault(f, [0, 0])[label] += 1
-    names = [f for f, (a, b) in both.items() if a + b > 1]
-    if not names:
-        return []
-    counts = np.array([both[f] for f in names], float)
-    totals = np.array([max(1, (labels == 0).sum()), max(1, (labels == 1).sum())], float)
-    share = counts.sum(1, keepdims=True) / totals.sum()
-    rate = (counts + 0.5) / (totals + 1)
-    gain = (counts * np.log(rate / share)).sum(1) + \
-        ((totals - counts) * np.log((1 - rate) / np.maximum(1 - share, 1e-9))).sum(1)
-    order = np.lexsort((np.array(names), -gain))[:MAX_FEATURES]
-    telling = [names[i] for i in order if gain[i] >= least]
-    return telling or [names[i] for i in order[:FEW_FEATURES]]
-
-
-def fit(docs: list[set[bytes]], labels: np.ndarray, changed: list[tuple[bytes, bytes]],
-        penalty: float = 10.0, ridge: float = 2e-4, rounds: int = 400) -> Model:
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for label, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                names = sorted(features(set(own.split())))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names, pa.binary()), pa.array([label] * len(names), pa.int32())],
+                    ["feature", "label"])
+
+    bad, good = found.agg(F.sum("label"), F.sum(1 - F.col("label"))).first()
+    counts = found.select("label", "words").mapInArrow(listed, "feature binary, label int") \
+        .groupBy("feature").agg(F.sum("label").alias("bad"), F.count("*").alias("all")).where("all > 1")
+    share = F.col("all") / float(bad + good)
+
+    def part(n: Column, total: int) -> Column:
+        rate = (n + 0.5) / float(total + 1)
+        return n * F.log(rate / share) \
+            + (float(total) - n) * F.log((1 - rate) / F.greatest(1 - share, F.lit(1e-9)))
+
+    gain = part(F.col("bad"), bad) + part(F.col("all") - F.col("bad"), good)
+    ranked = counts.select("feature", gain.alias("gain")) \
+        .orderBy(F.desc("gain"), "feature").limit(MAX_FEATURES).collect()
+    telling = [bytes(r.feature) for r in ranked if r.gain >= least]
+    return telling or [bytes(r.feature) for r in ranked[:FEW_FEATURES]]
+
+
+def fit(own: list[np.ndarray], labels: np.ndarray, chosen: list[bytes],
+        changed: list[tuple[bytes, bytes]], penalty: float = 10.0, ridge: float = 2e-4,
+        rounds: int = 400) -> Model:
     """Weights by gradient steps (Adam) on logistic loss, ridge and the swap penalty.
 
-    ``docs`` are feature sets; ``changed`` has the (term, replacement) of every swap. A swap
-    takes the features of one word from a sentence and adds those of another, so the change
-    of its logit is the difference of their weights.
+    ``own`` has the places in ``chosen`` of each document's features, ``changed`` the (term,
+    replacement) of every swap. A swap takes the features of one word from a sentence and adds
+    those of another, so the change of its logit is the difference of their weights.
     """
-    if len(set(labels.tolist())) < 2:
-        return Model({}, -np.inf)
-    terms = {f for pair in changed for word in pair for f in word_features(word)}
-    chosen = list(dict.fromkeys([*select_features(docs, labels), *sorted(terms)]))
     place = {f: i for i, f in enumerate(chosen)}
-    own = [np.array(sorted(place[f] for f in found if f in place), np.int64) for found in docs]
     rows = np.repeat(np.arange(len(own)), [len(x) for x in own])
-    columns = np.concatenate(own) if own else np.empty(0, np.int64)
+    columns = np.concatenate([np.empty(0, np.int64), *own]).astype(np.int64)
     pairs, times = np.unique(np.array(
         [(place[a], place[b]) for x, y in changed
          for a, b in zip(word_features(x), word_features(y))], np.int64).reshape(-1, 2),
@@ -136,8 +142,8 @@ def fit(docs: list[set[bytes]], labels: np.ndarray, changed: list[tuple[bytes, b
     weight, bias = np.zeros(len(chosen)), 0.0
     mean, square = np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)
     for step in range(1, rounds + 1):
-        z = bias + np.bincount(rows, weight[columns], len(docs))
-        off = balance * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels) / len(docs)
+        z = bias + np.bincount(rows, weight[columns], len(own))
+        off = balance * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels) / len(own)
         grad = np.bincount(columns, off[rows], len(chosen)) + 2 * ridge * weight
         change = 2 * penalty * times * (weight[pairs[:, 0]] - weight[pairs[:, 1]])
         grad += np.bincount(pairs[:, 0], change, len(chosen)) \
@@ -168,26 +174,41 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, most: int = TRAIN_D
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, labels = batch.column(1).to_pylist(), batch.column(2)
-            found = [b" ".join(sorted(set(words(t)))) for t in texts]
+            texts = batch.column(1).to_pylist()
+            found = [set(words(t)) for t in texts]
+            # near copies would make each other's words telling; they share their least digests
+            keys = [" ".join(map(str, sorted(map(zlib.crc32, own))[:3])) for own in found]
             changed = [b" ".join(b"|".join(s[:2]) for s in swaps(t, groups)) for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), labels, pa.array(found, pa.binary()), pa.array(changed, pa.binary())],
-                ["doc_id", "label", "words", "swaps"])
-
-    rows = training_rows(docs, labels, "toxic", learn, most) \
-        .mapInArrow(gather, "doc_id bigint, label int, words binary, swaps binary") \
-        .toArrow().sort_by("doc_id")
-    found, labels, seen = [], [], set()
-    for own, label in zip(rows["words"].to_pylist(), rows["label"].to_pylist()):
-        own = set(own.split())
-        key = (label, *sorted(map(zlib.crc32, own))[:3])
-        if key not in seen:  # near copies would make each other's words telling
-            seen.add(key)
-            found.append(features(own))
-            labels.append(label)
-    changed = [tuple(pair.split(b"|")) for s in rows["swaps"].to_pylist() for pair in s.split()]
-    return fit(found, np.array(labels, np.int64), changed, penalty)
+                [batch.column(0), batch.column(2), pa.array(keys),
+                 pa.array([b" ".join(sorted(own)) for own in found], pa.binary()),
+                 pa.array(changed, pa.binary())], ["doc_id", "label", "key", "words", "swaps"])
+
+    rows = training_rows(docs, labels, "toxic", learn, most).mapInArrow(
+        gather, "doc_id bigint, label int, key string, words binary, swaps binary")
+    rows = save(rows.groupBy("label", "key").agg(
+        F.min_by(F.struct("doc_id", "words", "swaps"), "doc_id").alias("row"))
+        .select("label", "row.doc_id", "row.words", "row.swaps"), "labelled")
+    if rows.select("label").distinct().count() < 2:
+        return Model({}, -np.inf)
+    changed = [tuple(pair.split(b"|")) for row in rows.where("swaps <> ''").select("swaps").collect()
+               for pair in bytes(row.swaps).split()]
+    terms = sorted({f for pair in changed for word in pair for f in word_features(word)})
+    chosen = list(dict.fromkeys([*select_features(rows), *terms]))
+    place = {f: i for i, f in enumerate(chosen)}
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [sorted(place[f] for f in features(set(w.split())) if f in place)
+                   for w in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(own, pa.list_(pa.int32()))],
+                ["doc_id", "label", "own"])
+
+    fitted = rows.select("doc_id", "label", "words") \
+        .mapInArrow(placed, "doc_id bigint, label int, own array<int>").toArrow().sort_by("doc_id")
+    own = [np.array(x, np.int64) for x in fitted["own"].to_pylist()]
+    return fit(own, fitted["label"].to_numpy(), chosen, changed, penalty)
 
 
 class Scorer:
