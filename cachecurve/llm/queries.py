@@ -14,6 +14,7 @@ from cachecurve.llm.decontaminate import contained_items
 from cachecurve.llm.exact_dedup import exact_groups
 from cachecurve.llm.jaccard_join import link_classes
 from cachecurve.llm.mixing import mix_sources, taken_words
+from cachecurve.llm.repeats import repeated_spans
 from cachecurve.llm.token_counts import count_tokens
 from cachecurve.llm.token_files import read_token_files, write_token_files
 from cachecurve.scratch import scratch_root
@@ -155,3 +156,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranking = quality.train(docs, table(spark, sf_dir, "labels"), remainder(5) != 0)
     return quality.score_quality(docs, ranking) \
         .withColumn("held_out", F.coalesce(remainder(5) == 0, F.lit(False)))
+
+
+@query("op10_repeats")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_spans(table(spark, sf_dir, "documents"), 50)
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["stop"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"),
+                        F.size("spans").cast("bigint").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
