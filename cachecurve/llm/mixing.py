@@ -37,6 +37,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACED_WORD = r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"
 #: Rows of one running sum.
 BUCKET_ROWS = 50_000
+#: Slots that one task makes.
+TASK_SLOTS = 500_000
 _MASK = (1 << 64) - 1
 
 
@@ -223,8 +225,10 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: fl
     sizes = sizes.join(sources.select("source", "source_no"),
                        sizes["source"].eqNullSafe(sources["source"])).drop(sources["source"])
     sizes = save(place_documents(sizes, sizes.count()), "placed_sizes")
-    counts = draw_shards(spark, numbers["slots"].to_numpy(np.int64), shard_blocks, seed)
-    slots = slot_blocks(counts, numbers["blocks"].to_numpy(np.int64), seed)
+    quota = numbers["slots"].to_numpy(np.int64)
+    counts = draw_shards(spark, quota, shard_blocks, seed) \
+        .repartition(max(1, math.ceil(quota.sum() / TASK_SLOTS)), "shard", "source_no")
+    slots = save(slot_blocks(counts, numbers["blocks"].to_numpy(np.int64), seed), "slots")
     placed = slots.join(document_blocks(sizes, block_words), ["source_no", "block"])
     return Mix(sizes, sources, placed)
 
