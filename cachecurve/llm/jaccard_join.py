@@ -48,6 +48,8 @@ SUBCLASS = {2: 3, 3: 4}
 #: Sets below this size have no combinations: their prefixes are short anyway.
 LEAST_COMBINED = 64
 ROUNDS = 3
+#: Rows of two numbers that are few enough to broadcast.
+BROADCAST_ROWS = 500_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _LAST = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -107,6 +109,8 @@ def prefix(tokens: np.ndarray, percent: int, heavy: np.ndarray) -> tuple[list[in
     level = heavy[(tokens % np.uint64(CELLS)).astype(np.int64)]
     rare = tokens[level == 1]
     found = rare[:need].tolist()
+    if n * percent < LEAST_COMBINED * 100:  # partners may be below that size: meet in their order
+        found = list(dict.fromkeys([*found, *tokens[:need].tolist()]))
     if len(rare) >= need:
         return found, True
     step = size_step(n, percent)
@@ -230,7 +234,9 @@ def node_sets(docs: DataFrame, nodes: DataFrame, gram: int) -> DataFrame:
                          pa.array([tokens.view(np.int64)], pa.list_(pa.int64()))],
                         ["node", "tokens"])
 
-    wanted = nodes.join(docs, nodes["least_doc"].eqNullSafe(docs["doc_id"])).select("node", "text")
+    if nodes.count() <= BROADCAST_ROWS:  # beyond that the texts go to the nodes by id
+        nodes = F.broadcast(nodes)
+    wanted = docs.join(nodes, docs["doc_id"].eqNullSafe(nodes["least_doc"])).select("node", "text")
     return wanted.mapInArrow(built, "node bigint, tokens array<bigint>")
 
 
@@ -277,6 +283,10 @@ def link_classes(docs: DataFrame, gram: int = 4, percent: int = 85) -> DataFrame
     postings = make_postings(docs, gram, percent, heavy)
     if not postings.where("sig is null").isEmpty():  # cannot outlast e with combinations: none then
         postings = make_postings(docs, gram, percent, np.ones(CELLS, np.uint8))
+    # a signature of one node links nothing; what is left is a small part
+    shared = postings.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high")) \
+        .where("low < high").select("sig")
+    postings = save(postings.join(shared, "sig").distinct(), "shared_postings")
     least = rows.groupBy("node").agg(F.min("doc_id").alias("least_doc"))
     labels = spark.createDataFrame([], "node bigint, comp bigint")
     links = done = None
