@@ -45,8 +45,10 @@ from pyspark.sql import functions as F
 from cachecurve.scratch import save
 
 #: Bytes of text in a chunk, and bytes of all text for each key range.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 RANGE_BYTES = 16 << 20
+#: Contexts in one index, unless a single anchor has more.
+INDEX_CONTEXTS = 15_000
 ANCHOR = 16
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 _NO_ID = np.iinfo(np.int64).max
@@ -277,16 +279,22 @@ def answer_contexts(records: np.ndarray, least: np.ndarray, length: int) -> tupl
     lowest = np.minimum.reduceat(least[order], heads)
     _, group, times = np.unique(key[first], return_inverse=True, return_counts=True)
     mixed = np.flatnonzero(times[group] > 1)  # an anchor with one context repeats only as a whole
+    mixed = mixed[np.argsort(group[mixed], kind="stable")]
     runs = np.zeros(len(first), np.uint64)
-    if len(mixed):
-        own = records[first[mixed]]
+    ends = np.flatnonzero(np.diff(group[mixed], append=-1)) + 1  # of the contexts of an anchor
+    done = 0
+    while done < len(mixed):  # whole anchors, up to INDEX_CONTEXTS contexts in one index
+        fits = np.searchsorted(ends, done + INDEX_CONTEXTS, "right")
+        upto = int(ends[max(fits - 1, np.searchsorted(ends, done, "right"))])
+        part, done = mixed[done:upto], upto
+        own = records[first[part]]
         left, right = own[:, size].astype(np.int64), own[:, size + 1].astype(np.int64)
         texts = np.zeros((len(own), size), np.uint8)
         for shift in np.unique(before - left):  # texts begin where the document does
             rows = before - left == shift
             texts[rows, :size - shift] = own[rows, shift:size]
-        index = RunLengthIndex(texts, left + right, lowest[mixed], length)
-        runs[mixed] = index.held_before(left + right, lowest[mixed]) << (before - left).astype(np.uint64)
+        index = RunLengthIndex(texts, left + right, lowest[part], length)
+        runs[part] = index.held_before(left + right, lowest[part]) << (before - left).astype(np.uint64)
     return lowest[inverse], runs[inverse]
 
 
