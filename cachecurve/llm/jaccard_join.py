@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from cachecurve.scratch import save
 
-CELLS = 1 << 18
+CELLS = 1 << 20
 #: Tokens of a subclass on average, for combinations of two and of three tokens.
 SUBCLASS = {2: 3, 3: 4}
 #: Sets below this size have no combinations: their prefixes are short anyway.
@@ -176,9 +176,9 @@ def describe_sets(docs: DataFrame, gram: int, percent: int) -> tuple[DataFrame,
     counts = rows.where("cells is not null").select(F.inline(F.arrays_zip("cells", "times"))) \
         .groupBy("cells").agg(F.sum("times").alias("times"))
     total = counts.agg(F.sum("times")).first()[0] or 0
-    often = 64 + 2 * total / CELLS  # well above what a cell of rare tokens holds
+    often = 16 + 3 * total / CELLS  # well above what a cell of rare tokens holds
     heavy = np.ones(CELLS, np.uint8)
-    for row in counts.where(F.col("times") > often).toLocalIterator():  # at most half the cells
+    for row in counts.where(F.col("times") > often).toLocalIterator():  # at most a third of the cells
         heavy[row.cells] = 2 if row.times <= 50 * often else 3
     return rows.select("doc_id", "node", "n"), heavy
 
