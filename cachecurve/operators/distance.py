@@ -113,11 +113,15 @@ def _slice_parts(bits: int) -> Callable[..., pd.DataFrame]:
     return parts
 
 
+#: Sums over all slices pass 2**63; only their differences are put back into a bigint.
+_WIDE = "decimal(38,0)"
+
+
 def _cells(linked: DataFrame, bits: int) -> DataFrame:
     """Re-references per (slice of the previous access, slice of the access)."""
     return linked.where("prev_pos is not null") \
         .groupBy(F.shiftright("prev_pos", bits).alias("q"), F.col("slice").alias("s")) \
-        .agg(F.count("*").alias("n"), F.sum("obj_size").alias("w"))
+        .agg(F.count("*").alias("n"), F.sum(F.col("obj_size").cast(_WIDE)).alias("w"))
 
 
 def _cell_sums(cells: DataFrame, levels: int) -> DataFrame:
@@ -144,7 +148,8 @@ def cell_base(linked: DataFrame, cfg: FootprintConfig, slices: int) -> DataFrame
     """What every re-reference of a cell (q, s), q < s, has in common: the weight of
     slices q to s - 1 and, taken off, the sums of part 3. Cells and slice weights are
     saved, as each is read more than once and is far smaller than the accesses."""
-    weights = linked.groupBy(F.col("slice").alias("_slice")).agg(F.sum("obj_size").alias("_w"))
+    weights = linked.groupBy(F.col("slice").alias("_slice")) \
+        .agg(F.sum(F.col("obj_size").cast(_WIDE)).alias("_w"))
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     prefix = save(weights.select("_slice", F.coalesce(F.sum("_w").over(before), F.lit(0))
                                  .alias("_pw")), "slice_weights")  # one row per slice
@@ -156,7 +161,7 @@ def cell_base(linked: DataFrame, cfg: FootprintConfig, slices: int) -> DataFrame
     return crossing.join(sums, ["q", "s"], "left").select(
         F.col("s").alias("slice"), F.col("q"),
         (-F.coalesce("n", F.lit(0))).alias("objects"),
-        (F.col("_ps") - F.col("_pq") - F.coalesce("w", F.lit(0))).alias("bytes"))
+        (F.col("_ps") - F.col("_pq") - F.coalesce("w", F.lit(0))).cast("bigint").alias("bytes"))
 
 
 def distance_parts(linked: DataFrame, cells: DataFrame | None, cfg: FootprintConfig) -> DataFrame:

@@ -39,6 +39,12 @@ def replication_records(requests: DataFrame, cfg: ReplicationConfig) -> DataFram
 
 
 def replication(requests: DataFrame, cfg: ReplicationConfig,
-                order: tuple[str, ...] = ("ts",)) -> Replication:
+                order: tuple[str, ...] | None = None) -> Replication:
+    """``order`` settles whose size an object has; by default time, then the place in the logs or,
+    without one, all other columns, so that equal times give no choice."""
+    if order is None:
+        place = [c for c in ("file", "block_start", "line_no") if c in requests.columns]
+        order = ("ts", *(place or sorted(c for c in requests.columns
+                                         if c not in ("ts", "reject_reason"))))
     counts = ops.replica_counts(replication_records(requests, cfg), order)
     return Replication(counts, save(ops.replication_by_shard(counts), "replication"))

@@ -18,10 +18,12 @@ _local_roots: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder that ``spark.checkpoint.dir`` names; only where it is unset, as
-    in a local trial, a folder of this machine."""
+    """The shared folder that ``spark.checkpoint.dir`` names; where it is unset, a folder of this
+    machine in a local trial and an error on a cluster, whose machines share none."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         app = spark.sparkContext.applicationId
         root = _local_roots.setdefault(app, "") or tempfile.mkdtemp(prefix="cachecurve-")
         _local_roots[app] = root

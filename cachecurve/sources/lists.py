@@ -1,7 +1,7 @@
 """Configuration lists kept in files.
 
 Each reader returns a small typed table; ``load_rows`` brings one to the driver for
-the options, and refuses to bring an unexpectedly large one.
+the options.
 """
 
 from __future__ import annotations
@@ -13,8 +13,6 @@ from cachecurve.functions.columns import pack_ip
 from cachecurve.operators.sequence import global_positions
 from cachecurve.sources.logs import LINE_ORDER, read_lines
 
-MAX_CONFIG_ROWS = 1_000_000
-
 
 def config_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of a configuration file with their number, without comments, blank lines
@@ -90,7 +88,5 @@ def arl_table(lines: DataFrame) -> DataFrame:
 
 
 def load_rows(table: DataFrame) -> list[tuple]:
-    rows = table.limit(MAX_CONFIG_ROWS + 1).collect()
-    if len(rows) > MAX_CONFIG_ROWS:
-        raise ValueError(f"configuration table has more than {MAX_CONFIG_ROWS} rows")
-    return [tuple(r) for r in rows]
+    """All rows of a configuration list, for the options."""
+    return [tuple(r) for r in table.collect()]

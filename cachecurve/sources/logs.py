@@ -97,8 +97,11 @@ def read_gzip_lines(files: DataFrame) -> DataFrame:
     """Lines of gzip files whose name hides the codec, such as ``x.gz.key2``.
 
     Each file is streamed by one task, as gzip allows no more; ``files`` needs ``file``.
+    The files are dealt to a given number of tasks: adaptive execution would merge a short
+    list of names into a single one.
     """
-    return files.select("file").repartition("file").mapInPandas(_gunzip, _LINE_SCHEMA)
+    tasks = min(max(files.count(), 1), 4 * files.sparkSession.sparkContext.defaultParallelism)
+    return files.select("file").repartition(tasks, "file").mapInPandas(_gunzip, _LINE_SCHEMA)
 
 
 def read_logs(spark: SparkSession, path: str, prune: Prune | None = None) -> DataFrame:

@@ -1,3 +1,5 @@
+import pytest
+
 from cachecurve import scratch
 
 
@@ -11,9 +13,9 @@ class _Conf:
 
 
 class _Session:
-    def __init__(self, value):
+    def __init__(self, value, master="local[2]"):
         self.conf = _Conf(value)
-        self.sparkContext = type("Context", (), {"applicationId": "trial"})()
+        self.sparkContext = type("Context", (), {"applicationId": "trial", "master": master})()
 
 
 def test_the_cluster_names_the_folder():
@@ -25,6 +27,11 @@ def test_one_local_folder_where_it_is_unset():
     assert first and scratch.scratch_root(_Session(None)) == first
 
 
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    with pytest.raises(ValueError):
+        scratch.scratch_root(_Session(None, "spark://host:7077"))
+
+
 def test_saved_tables_keep_schema_and_rows(spark):
     df = spark.range(10).selectExpr("id", "cast(id as string) as name")
     saved = scratch.save(df, "t")
