@@ -15,7 +15,9 @@ combinations. The number of subclasses follows the size of a set in steps of abo
 makes combinations for its own step and the next, so that linked sets meet in one step.
 
 Links. Equal sets are one node from the start. For each signature all nodes meet its least node
-first; those pairs are verified exactly and joined into components. Signatures
+first; those pairs are verified exactly and joined into components. Before token sets are
+fetched, a parity sketch of each set (512 bits, every token flips one) drops pairs that cannot link:
+bits in which two sketches differ are at most the tokens that the sets do not share. Signatures
 whose nodes are by then in one component need nothing more: that is what becomes of a large
 group of near copies, at one pair a node instead of all pairs. The rest goes through two more such rounds with
 other meeting points, and finally all pairs in different components are verified. A pair inside a component cannot change
@@ -50,6 +52,8 @@ LEAST_COMBINED = 64
 ROUNDS = 3
 #: Rows of two numbers that are few enough to broadcast.
 BROADCAST_ROWS = 500_000
+#: Columns of a parity sketch, of 64 bits each.
+SKETCH = [f"s{i}" for i in range(8)]
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _LAST = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -150,12 +154,19 @@ def set_key(tokens: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(tokens.tobytes()) if len(tokens) else 0
 
 
+def parity_sketch(tokens: np.ndarray) -> np.ndarray:
+    """The parities of how many tokens fall on each of 512 bits."""
+    places = (tokens >> np.uint64(55)).astype(np.int64)
+    odd = np.bincount(places, minlength=64 * len(SKETCH)) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
 def _signed(values) -> pa.Array:
     return pa.array(np.asarray(values, np.uint64).view(np.int64), pa.int64())
 
 
 def describe_sets(docs: DataFrame, gram: int, percent: int) -> tuple[DataFrame, np.ndarray]:
-    """``doc_id node n`` of every document, and the combination length of every cell."""
+    """``doc_id node n`` and the sketch of every document, and the combination length of every cell."""
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(gram)
@@ -164,14 +175,16 @@ def describe_sets(docs: DataFrame, gram: int, percent: int) -> tuple[DataFrame,
             short = [s[:allowed(len(s), percent) + 1] for s in sets]
             cells = np.concatenate([np.empty(0, np.uint64), *short]) % np.uint64(CELLS)
             used, times = np.unique(cells.astype(np.int64), return_counts=True)
+            sketches = np.array([parity_sketch(s) for s in sets], np.int64).reshape(-1, len(SKETCH))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), _signed([set_key(s) for s in sets]),
-                 pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([len(s) for s in sets], pa.int64()), *map(pa.array, sketches.T.copy()),
                  pa.array([used] + [None] * (len(sets) - 1), pa.list_(pa.int64())),
                  pa.array([times] + [None] * (len(sets) - 1), pa.list_(pa.int64()))],
-                ["doc_id", "node", "n", "cells", "times"])
+                ["doc_id", "node", "n", *SKETCH, "cells", "times"])
 
-    rows = save(docs.mapInArrow(described, "doc_id bigint, node bigint, n bigint, "
+    sketch = "".join(f"{c} bigint, " for c in SKETCH)
+    rows = save(docs.mapInArrow(described, f"doc_id bigint, node bigint, n bigint, {sketch}"
                                            "cells array<bigint>, times array<bigint>"), "sets")
     counts = rows.where("cells is not null").select(F.inline(F.arrays_zip("cells", "times"))) \
         .groupBy("cells").agg(F.sum("times").alias("times"))
@@ -180,7 +193,7 @@ def describe_sets(docs: DataFrame, gram: int, percent: int) -> tuple[DataFrame,
     heavy = np.ones(CELLS, np.uint8)
     for row in counts.where(F.col("times") > often).toLocalIterator():  # at most a third of the cells
         heavy[row.cells] = 2 if row.times <= 50 * often else 3
-    return rows.select("doc_id", "node", "n"), heavy
+    return rows.drop("cells", "times"), heavy
 
 
 def make_postings(docs: DataFrame, gram: int, percent: int, heavy: np.ndarray) -> DataFrame:
@@ -240,6 +253,15 @@ def node_sets(docs: DataFrame, nodes: DataFrame, gram: int) -> DataFrame:
     return wanted.mapInArrow(built, "node bigint, tokens array<bigint>")
 
 
+def may_link(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (``a b``) whose sketches differ in no more bits than linked sets differ in tokens."""
+    left, right = (nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"),
+                                *(F.col(c).alias(f"{c}_{side}") for c in SKETCH)) for side in "ab")
+    differ = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in SKETCH), F.lit(0))
+    return pairs.join(left, "a").join(right, "b").where(
+        differ * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)).select("a", "b")
+
+
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (``a b``) of nodes that link, by the exact size of their intersection."""
     left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("left"))
@@ -287,7 +309,8 @@ def link_classes(docs: DataFrame, gram: int = 4, percent: int = 85) -> DataFrame
     shared = postings.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high")) \
         .where("low < high").select("sig")
     postings = save(postings.join(shared, "sig").distinct(), "shared_postings")
-    least = rows.groupBy("node").agg(F.min("doc_id").alias("least_doc"))
+    nodes = save(rows.where("n > 0").groupBy("node", "n").agg(
+        F.min("doc_id").alias("least_doc"), *(F.min(c).alias(c) for c in SKETCH)), "nodes")
     labels = spark.createDataFrame([], "node bigint, comp bigint")
     links = done = None
     sets = spark.createDataFrame([], "node bigint, tokens array<bigint>")
@@ -316,14 +339,15 @@ def link_classes(docs: DataFrame, gram: int = 4, percent: int = 85) -> DataFrame
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = save(pairs, "pairs")
+        pairs = save(may_link(pairs, nodes, percent), "pairs")
         if pairs.isEmpty():
             if turn == ROUNDS or done is not None and turn:
                 break
             continue
         done = pairs if done is None else done.unionByName(pairs)
         wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))) \
-            .distinct().join(sets.select("node"), "node", "left_anti").join(least, "node")
+            .distinct().join(sets.select("node"), "node", "left_anti") \
+            .join(nodes.select("node", "least_doc"), "node")
         sets = sets.unionByName(save(node_sets(docs, wanted, gram), "tokens"))
         found = save(verify(pairs, sets, percent), "links")
         links = found if links is None else links.unionByName(found)
