@@ -305,9 +305,8 @@ def link_classes(docs: DataFrame, gram: int = 4, percent: int = 85) -> DataFrame
     postings = make_postings(docs, gram, percent, heavy)
     if not postings.where("sig is null").isEmpty():  # cannot outlast e with combinations: none then
         postings = make_postings(docs, gram, percent, np.ones(CELLS, np.uint8))
-    # a signature of one node links nothing; what is left is a small part
-    shared = postings.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high")) \
-        .where("low < high").select("sig")
+    # a signature met once links nothing; what is left is a small part, copies in several tasks included
+    shared = postings.groupBy("sig").agg(F.count("*").alias("times")).where("times > 1").select("sig")
     postings = save(postings.join(shared, "sig").distinct(), "shared_postings")
     nodes = save(rows.where("n > 0").groupBy("node", "n").agg(
         F.min("doc_id").alias("least_doc"), *(F.min(c).alias(c) for c in SKETCH)), "nodes")
