@@ -20,7 +20,8 @@ fetched, a parity sketch of each set (512 bits, every token flips one) drops pai
 bits in which two sketches differ are at most the tokens that the sets do not share. Signatures
 whose nodes are by then in one component need nothing more: that is what becomes of a large
 group of near copies, at one pair a node instead of all pairs. The rest goes through two more such rounds with
-other meeting points, and finally all pairs in different components are verified. A pair inside a component cannot change
+other meeting points, and finally all pairs in different components whose sketches allow a
+link are verified. A pair inside a component cannot change
 the classes, so no link between different texts is lost.
 
 Results: one row a document: ``doc_id n_shingles component_id``. Fewer words than ``gram`` are
@@ -39,7 +40,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cachecurve.scratch import save
@@ -253,13 +254,18 @@ def node_sets(docs: DataFrame, nodes: DataFrame, gram: int) -> DataFrame:
     return wanted.mapInArrow(built, "node bigint, tokens array<bigint>")
 
 
+def near_sketches(x: str, y: str, percent: int) -> Column:
+    """Whether sketches differ in no more bits than linked sets differ in tokens. The columns of a
+    set are ``n`` and those of its sketch, with ``x`` or ``y`` added to their names."""
+    differ = sum((F.bit_count(F.col(c + x).bitwiseXOR(F.col(c + y))) for c in SKETCH), F.lit(0))
+    return differ * (100 + percent) <= (F.col("n" + x) + F.col("n" + y)) * (100 - percent)
+
+
 def may_link(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (``a b``) whose sketches differ in no more bits than linked sets differ in tokens."""
-    left, right = (nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"),
-                                *(F.col(c).alias(f"{c}_{side}") for c in SKETCH)) for side in "ab")
-    differ = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in SKETCH), F.lit(0))
-    return pairs.join(left, "a").join(right, "b").where(
-        differ * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)).select("a", "b")
+    """The pairs (``a b``) whose sketches allow a link."""
+    left, right = (nodes.select(F.col("node").alias(side), *(F.col(c).alias(c + side) for c in ("n", *SKETCH)))
+                   for side in "ab")
+    return pairs.join(left, "a").join(right, "b").where(near_sketches("a", "b", percent)).select("a", "b")
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -327,12 +333,13 @@ def link_classes(docs: DataFrame, gram: int = 4, percent: int = 85) -> DataFrame
                 F.col("meet.node").alias("x"), F.col("meet.n").alias("nx"), F.col("meet.comp").alias("cx"),
                 F.col("node").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("cy"))
         else:
-            rest = placed.join(open_sigs.select("sig"), "sig", "left_semi")
-            one = rest.select("sig", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"))
-            two = rest.select("sig", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("cy"))
+            # sketches travel with the postings, so that only pairs that may link leave the join
+            rest = placed.join(open_sigs.select("sig"), "sig", "left_semi") \
+                .join(nodes.select("node", *SKETCH), "node")
+            one, two = (rest.select("sig", F.col("node").alias(side), F.col("comp").alias("c" + side),
+                                    *(F.col(c).alias(c + side) for c in ("n", *SKETCH))) for side in "xy")
             met = one.join(two, (one["sig"] == two["sig"]) & (F.col("x") < F.col("y"))
-                           & (F.col("cx") != F.col("cy"))
-                           & (F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent))
+                           & (F.col("cx") != F.col("cy")) & near_sketches("x", "y", percent))
         pairs = met.where((F.col("cx") != F.col("cy"))
                           & (F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent)) \
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()

@@ -233,6 +233,16 @@ def test_jaccard_with_combinations(docs, rows, monkeypatch):
         assert found == brute.link_classes(rows, 4, 85)
 
 
+def test_sketches_differ_in_no_more_bits_than_sets_in_tokens():
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 5, 80, 900, 6000):
+        x, y = (np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64) << np.uint64(1)) for _ in "xy")
+        y = np.concatenate((x[:n * 9 // 10], y[:n // 20]))
+        bits = np.bitwise_count(jaccard_join.parity_sketch(x) ^ jaccard_join.parity_sketch(y)).sum()
+        assert bits <= len(np.setxor1d(x, y))
+        assert jaccard_join.parity_sketch(x).tolist() == jaccard_join.parity_sketch(x[::-1]).tolist()
+
+
 def test_linked_sets_share_a_signature():
     rng = np.random.default_rng(1)
     for _ in range(300):
