@@ -13,7 +13,9 @@ of chunk and range.
 2. Contexts. Around each such anchor the bytes of all runs that hold it are cut out (34 before its
    start, 50 from it). A chunk sends every distinct context once, with its least document.
 3. Index. For its range of anchors a task builds a Burrows-Wheeler transform of the distinct
-   contexts whose anchor has more than one, as runs: only the character, start and rank of
+   contexts whose anchor has more than one, as runs: only contexts that share the anchor and the
+   17 bytes before or after it with another one can share a run and are indexed. Of the
+   transform the character, start and rank of
    each run are kept, and samples at the ends of runs, which are cut where the first ``length``
    bytes of the suffixes change; the sample is the least document that holds those bytes. All contexts
    then stream backwards through the index in step; where the match is ``length`` or longer
@@ -46,9 +48,9 @@ from cachecurve.scratch import save
 
 #: Bytes of text in a chunk, and bytes of all text for each key range.
 CHUNK_BYTES = 2 << 20
-RANGE_BYTES = 16 << 20
+RANGE_BYTES = 8 << 20
 #: Contexts in one index, unless a single anchor has more.
-INDEX_CONTEXTS = 15_000
+INDEX_CONTEXTS = 8_000
 ANCHOR = 16
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 _NO_ID = np.iinfo(np.int64).max
@@ -113,10 +115,12 @@ class Chunk:
         at = np.flatnonzero((most == hashes) & (hashes > 0))
         return at, hashes[at]
 
-    def cuts(self, hashes: np.ndarray, bits: int) -> np.ndarray:
-        """Where the key ranges begin and end among sorted hashes."""
-        edges = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else []
-        return np.concatenate(([0], np.searchsorted(hashes, edges), [len(hashes)])).astype(int)
+    def pieces(self, hashes: np.ndarray, bits: int) -> dict[int, tuple[int, int]]:
+        """Where each key range that occurs begins and ends among sorted hashes."""
+        ranges = (hashes >> np.uint64(64 - bits) if bits else np.zeros_like(hashes)).astype(np.int64)
+        starts = np.flatnonzero(np.diff(ranges, prepend=-1))
+        stops = np.append(starts[1:], len(hashes))[:len(starts)]
+        return dict(zip(ranges[starts].tolist(), zip(starts.tolist(), stops.tolist())))
 
     def least_and_most(self, groups: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         order = np.argsort(groups, kind="stable")
@@ -263,6 +267,23 @@ class RunLengthIndex:
         return held
 
 
+def may_share(records: np.ndarray, length: int) -> np.ndarray:
+    """Which distinct contexts can hold a run of ``length`` bytes of another one: a run reaches
+    at least half of the bytes it has besides the anchor to one side."""
+    before = length - ANCHOR
+    half = -(-before // 2)
+    able = np.zeros(len(records), bool)
+    for begin in (before - half, before):
+        part = np.zeros((len(records), -(-(ANCHOR + half) // 8) * 8), np.uint8)
+        part[:, :ANCHOR + half] = records[:, begin:begin + ANCHOR + half]
+        digest = np.zeros(len(records), np.uint64)
+        for column in part.view("<u8").T:
+            digest = mix(digest * _A + column)
+        _, inverse, times = np.unique(digest, return_inverse=True, return_counts=True)
+        able |= times[inverse] > 1
+    return able
+
+
 def answer_contexts(records: np.ndarray, least: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """For each context its least document among equal ones, and the runs in it that a smaller
     document than that one holds (bit ``o`` for the run at offset ``o``)."""
@@ -277,8 +298,8 @@ def answer_contexts(records: np.ndarray, least: np.ndarray, length: int) -> tupl
     order = np.argsort(inverse, kind="stable")
     heads = np.flatnonzero(np.diff(inverse[order], prepend=-1))
     lowest = np.minimum.reduceat(least[order], heads)
-    _, group, times = np.unique(key[first], return_inverse=True, return_counts=True)
-    mixed = np.flatnonzero(times[group] > 1)  # an anchor with one context repeats only as a whole
+    _, group = np.unique(key[first], return_inverse=True)
+    mixed = np.flatnonzero(may_share(records[first], length))  # others repeat only as a whole
     mixed = mixed[np.argsort(group[mixed], kind="stable")]
     runs = np.zeros(len(first), np.uint64)
     ends = np.flatnonzero(np.diff(group[mixed], append=-1)) + 1  # of the contexts of an anchor
@@ -347,15 +368,13 @@ def repeated_spans(docs: DataFrame, length: int = 50) -> DataFrame:
     def name_anchors(batches):
         for row in _rows(batches):
             chunk = Chunk(row["doc_ids"], row["sizes"], row["data"], length)
-            several, cuts = chunk.several(), chunk.cuts(chunk.distinct, bits)
-            for k in range(1 << bits):
-                a, b = cuts[k], cuts[k + 1]
-                if a < b:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([k], pa.int32()), pa.array([row["chunk"]], pa.int64()),
-                         pa.array([chunk.distinct[a:b].tobytes()], pa.binary()),
-                         pa.array([np.packbits(several[a:b]).tobytes()], pa.binary())],
-                        ["range", "chunk", "hashes", "several"])
+            several = chunk.several()
+            for k, (a, b) in chunk.pieces(chunk.distinct, bits).items():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k], pa.int32()), pa.array([row["chunk"]], pa.int64()),
+                     pa.array([chunk.distinct[a:b].tobytes()], pa.binary()),
+                     pa.array([np.packbits(several[a:b]).tobytes()], pa.binary())],
+                    ["range", "chunk", "hashes", "several"])
 
     def find_shared(table: pa.Table) -> pa.Table:
         hashes = [np.frombuffer(h, np.uint64) for h in table["hashes"].to_pylist()]
@@ -376,10 +395,10 @@ def repeated_spans(docs: DataFrame, length: int = 50) -> DataFrame:
 
     def with_contexts(row: dict) -> Chunk:
         chunk = Chunk(row["doc_ids"], row["sizes"], row["data"], length)
-        cuts = chunk.cuts(chunk.distinct, bits)
+        pieces = chunk.pieces(chunk.distinct, bits)
         known = np.zeros(len(chunk.distinct), bool)
         for answer in row["shared"] or []:
-            a, b = cuts[answer["range"]], cuts[answer["range"] + 1]
+            a, b = pieces[answer["range"]]
             known[a:b] = np.unpackbits(np.frombuffer(answer["shared"], np.uint8), count=b - a)
         chunk.contexts(known)
         return chunk
@@ -387,22 +406,22 @@ def repeated_spans(docs: DataFrame, length: int = 50) -> DataFrame:
     def send_contexts(batches):
         for row in _rows(batches):
             chunk = with_contexts(row)
-            cuts = chunk.cuts(chunk.keys, bits)
-            for k in range(1 << bits):
-                a, b = cuts[k], cuts[k + 1]
-                if a < b:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([k], pa.int32()), pa.array([row["chunk"]], pa.int64()),
-                         pa.array([pack(chunk.records[a:b])], pa.binary()),
-                         pa.array([pack(chunk.least[a:b])], pa.binary())],
-                        ["range", "chunk", "records", "least"])
+            for k, (a, b) in chunk.pieces(chunk.keys, bits).items():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k], pa.int32()), pa.array([row["chunk"]], pa.int64()),
+                     pa.array([pack(chunk.records[a:b])], pa.binary()),
+                     pa.array([pack(chunk.least[a:b])], pa.binary())],
+                    ["range", "chunk", "records", "least"])
 
     def answer(table: pa.Table) -> pa.Table:
         width = -(-(2 * length - ANCHOR + 2) // 8) * 8
-        records = [unpack(r, np.uint8).reshape(-1, width) for r in table["records"].to_pylist()]
-        least = np.concatenate([unpack(x, np.int64) for x in table["least"].to_pylist()])
-        lowest, runs = answer_contexts(np.concatenate(records), least, length)
-        edges = np.cumsum([len(r) for r in records])[:-1]
+        numbers = [unpack(x.as_py(), np.int64) for x in table["least"]]
+        ends = np.cumsum([len(x) for x in numbers])
+        records = np.empty((ends[-1], width), np.uint8)
+        for end, own, packed in zip(ends, numbers, table["records"]):
+            records[end - len(own):end] = unpack(packed.as_py(), np.uint8).reshape(-1, width)
+        lowest, runs = answer_contexts(records, np.concatenate(numbers), length)
+        edges = ends[:-1]
         return pa.table(
             [table["range"], table["chunk"],
              pa.array([pack(x) for x in np.split(lowest, edges)], pa.binary()),
@@ -419,10 +438,10 @@ def repeated_spans(docs: DataFrame, length: int = 50) -> DataFrame:
     def mark(batches):
         for row in _rows(batches):
             chunk = with_contexts(row)
-            cuts = chunk.cuts(chunk.keys, bits)
+            pieces = chunk.pieces(chunk.keys, bits)
             lowest, runs = np.zeros(len(chunk.keys), np.int64), np.zeros(len(chunk.keys), np.uint64)
             for got in row["answers"] or []:
-                a, b = cuts[got["range"]], cuts[got["range"] + 1]
+                a, b = pieces[got["range"]]
                 lowest[a:b], runs[a:b] = unpack(got["lowest"], np.int64), unpack(got["runs"], np.uint64)
             gone = chunk.removed(lowest, runs)
             spans, kept = [], []
