@@ -3,7 +3,7 @@
 A byte is removed when a run of ``length`` bytes (50) that covers it also starts in a document
 with a smaller id. Texts are judged as they came in, not after removals.
 
-Documents are packed into compressed chunks of a few megabytes, saved once and read three times;
+Documents are packed into compressed chunks of about a megabyte, saved once and read three times;
 what the chunks and the key ranges tell each other is packed into arrays, one row for each pair
 of chunk and range.
 
@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from cachecurve.scratch import save
 
 #: Bytes of text in a chunk, and bytes of all text for each key range.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 RANGE_BYTES = 8 << 20
 #: Contexts in one index, unless a single anchor has more.
 INDEX_CONTEXTS = 8_000
@@ -336,9 +336,9 @@ def pack_chunks(docs: DataFrame) -> DataFrame:
                 ["chunk", "doc_ids", "sizes", "data"])
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids.append(doc_id)
-                texts.append(text.encode())
+            for doc_id, text in zip(batch.column(0), batch.column(1)):
+                ids.append(doc_id.as_py())
+                texts.append(text.as_buffer().to_pybytes())
                 filled += len(texts[-1])
                 if filled >= CHUNK_BYTES:
                     yield chunk()
