@@ -52,6 +52,8 @@ RANGE_BYTES = 8 << 20
 #: Contexts in one index, unless a single anchor has more.
 INDEX_CONTEXTS = 8_000
 ANCHOR = 16
+#: Starts of runs whose anchors are searched at a time.
+BLOCK = 1 << 17
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 _NO_ID = np.iinfo(np.int64).max
 #: Symbols packed into the first sort key of a suffix.
@@ -99,21 +101,27 @@ class Chunk:
         self.distinct, self.inverse = np.unique(self.hashes, return_inverse=True)
 
     def _anchors(self) -> tuple[np.ndarray, np.ndarray]:
-        n, width = len(self.raw), self.before + 1
-        if n < self.length:
-            return np.empty(0, np.int64), np.empty(0, np.uint64)
-        words = np.ndarray((n - 7,), "<u8", self.raw, 0, (1,))
-        hashes = mix(words[:n - 15] * _A + mix(words[8:] + _B))
-        least = sliding(hashes, width, np.minimum)  # of every run of ``length`` bytes
-        valid = np.zeros(len(least) + 1, np.int32)  # runs inside one text
+        """Places and hashes of all anchors, from overlapping blocks to keep arrays small."""
+        runs = len(self.raw) - self.length + 1  # places where a run begins
+        valid = np.zeros(max(runs, 0) + 1, np.int32)  # runs inside one text
         whole = self.stops - self.starts >= self.length
         np.add.at(valid, self.starts[whole], 1)
         np.add.at(valid, self.stops[whole] - self.length + 1, -1)
-        least[np.cumsum(valid[:-1]) == 0] = 0
-        edge = np.zeros(self.before, np.uint64)
-        most = sliding(np.concatenate((edge, least, edge)), width, np.maximum)
-        at = np.flatnonzero((most == hashes) & (hashes > 0))
-        return at, hashes[at]
+        valid = np.cumsum(valid, out=valid)[:-1] > 0
+        at, found = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+        for begin in range(0, runs, BLOCK):
+            raw = self.raw[begin:begin + BLOCK + self.length - 1]
+            words = np.ndarray((len(raw) - 7,), "<u8", np.ascontiguousarray(raw), 0, (1,))
+            hashes = mix(words[:len(raw) - 15] * _A + mix(words[8:] + _B))
+            least = sliding(hashes, self.before + 1, np.minimum)  # of every run of ``length`` bytes
+            least[~valid[begin:begin + len(least)]] = 0
+            edge = np.zeros(self.before, np.uint64)
+            most = sliding(np.concatenate((edge, least, edge)), self.before + 1, np.maximum)
+            own = np.flatnonzero((most == hashes) & (hashes > 0))
+            at.append(own + begin)
+            found.append(hashes[own])
+        at, first = np.unique(np.concatenate(at), return_index=True)  # blocks overlap
+        return at, np.concatenate(found)[first]
 
     def pieces(self, hashes: np.ndarray, bits: int) -> dict[int, tuple[int, int]]:
         """Where each key range that occurs begins and ends among sorted hashes."""
@@ -428,7 +436,8 @@ def repeated_spans(docs: DataFrame, length: int = 50) -> DataFrame:
              pa.array([pack(x) for x in np.split(runs, edges)], pa.binary())],
             ["range", "chunk", "lowest", "runs"])
 
-    asked = chunks.join(shared, "chunk").mapInArrow(
+    # the answers of a chunk are far smaller than its text, so they are hashed and no text is sorted
+    asked = chunks.join(shared.hint("shuffle_hash"), "chunk").mapInArrow(
         send_contexts, "range int, chunk bigint, records binary, least binary")
     answers = asked.groupBy("range").applyInArrow(
         answer, "range int, chunk bigint, lowest binary, runs binary")
@@ -455,5 +464,6 @@ def repeated_spans(docs: DataFrame, length: int = 50) -> DataFrame:
                  pa.array(spans, pa.list_(span)), pa.array(kept, pa.binary())],
                 ["doc_id", "n_bytes", "spans", "kept"])
 
-    return chunks.join(shared, "chunk", "left").join(answers, "chunk", "left").mapInArrow(
+    told = shared.join(answers, "chunk", "full").hint("shuffle_hash")
+    return chunks.join(told, "chunk", "left").mapInArrow(
         mark, "doc_id bigint, n_bytes bigint, spans array<struct<start:bigint,stop:bigint>>, kept binary")
