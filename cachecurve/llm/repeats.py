@@ -13,9 +13,9 @@ of chunk and range.
 2. Contexts. Around each such anchor the bytes of all runs that hold it are cut out (34 before its
    start, 50 from it). A chunk sends every distinct context once, with its least document.
 3. Index. For its range of anchors a task builds a Burrows-Wheeler transform of the distinct
-   contexts whose anchor has more than one, as runs: only contexts that share the anchor and the
-   17 bytes before or after it with another one can share a run and are indexed. Of the
-   transform the character, start and rank of
+   contexts that may share a run, as runs. Those share the anchor and the 17 bytes before or after
+   it; a group of them too large for one index is divided by longer shared parts, down to the
+   run itself, so a hot anchor needs no larger index. Of the transform the character, start and rank of
    each run are kept, and samples at the ends of runs, which are cut where the first ``length``
    bytes of the suffixes change; the sample is the least document that holds those bytes. All contexts
    then stream backwards through the index in step; where the match is ``length`` or longer
@@ -49,7 +49,7 @@ from cachecurve.scratch import save
 #: Bytes of text in a chunk, and bytes of all text for each key range.
 CHUNK_BYTES = 1 << 20
 RANGE_BYTES = 8 << 20
-#: Contexts in one index, unless a single anchor has more.
+#: Contexts in one index.
 INDEX_CONTEXTS = 8_000
 ANCHOR = 16
 #: Starts of runs whose anchors are searched at a time.
@@ -275,21 +275,48 @@ class RunLengthIndex:
         return held
 
 
-def may_share(records: np.ndarray, length: int) -> np.ndarray:
-    """Which distinct contexts can hold a run of ``length`` bytes of another one: a run reaches
-    at least half of the bytes it has besides the anchor to one side."""
+def core_groups(records: np.ndarray, rows: np.ndarray, left: int, right: int, length: int):
+    """The given contexts that agree with another one on the anchor, ``left`` bytes before and
+    ``right`` bytes after it: their rows, group by group, and where each group ends."""
     before = length - ANCHOR
-    half = -(-before // 2)
-    able = np.zeros(len(records), bool)
-    for begin in (before - half, before):
-        part = np.zeros((len(records), -(-(ANCHOR + half) // 8) * 8), np.uint8)
-        part[:, :ANCHOR + half] = records[:, begin:begin + ANCHOR + half]
-        digest = np.zeros(len(records), np.uint64)
-        for column in part.view("<u8").T:
-            digest = mix(digest * _A + column)
-        _, inverse, times = np.unique(digest, return_inverse=True, return_counts=True)
-        able |= times[inverse] > 1
-    return able
+    size = before + length
+    rows = rows[(records[rows, size] >= left) & (records[rows, size + 1] >= ANCHOR + right)]
+    core = np.zeros((len(rows), -(-(left + ANCHOR + right) // 8) * 8), np.uint8)
+    core[:, :left + ANCHOR + right] = records[rows, before - left:before + ANCHOR + right]
+    digest = np.zeros(len(rows), np.uint64)
+    for column in core.view("<u8").T:
+        digest = mix(digest * _A + column)
+    _, group, times = np.unique(digest, return_inverse=True, return_counts=True)
+    again = np.flatnonzero(times[group] > 1)
+    again = again[np.argsort(group[again], kind="stable")]
+    return rows[again], np.flatnonzero(np.diff(group[again], append=-1)) + 1
+
+
+def index_parts(records: np.ndarray, rows: np.ndarray, left: int, right: int, length: int):
+    """Parts of at most INDEX_CONTEXTS contexts so that any two that share a run around the given
+    core are together in one part: ``(rows, None)``, or ``(rows, offset)`` for more contexts
+    that all hold one and the same run.
+
+    A run has at least half of the bytes it still needs on one side of the core. Contexts are
+    grouped by the core with that half before it and with that half after it; a group too large for an
+    index is divided again, by a core that is a half nearer to a whole run.
+    """
+    need = length - ANCHOR - left - right
+    if not need:
+        yield rows, length - ANCHOR - left
+        return
+    half = -(-need // 2)
+    for l, r in ((left + half, right), (left, right + half)):
+        found, ends = core_groups(records, rows, l, r, length)
+        done = 0
+        while done < len(found):  # whole groups, up to INDEX_CONTEXTS contexts in one part
+            fits = np.searchsorted(ends, done + INDEX_CONTEXTS, "right")
+            upto = int(ends[max(fits - 1, np.searchsorted(ends, done, "right"))])
+            part, done = found[done:upto], upto
+            if len(part) > INDEX_CONTEXTS:
+                yield from index_parts(records, part, l, r, length)
+            else:
+                yield part, None
 
 
 def answer_contexts(records: np.ndarray, least: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -297,33 +324,28 @@ def answer_contexts(records: np.ndarray, least: np.ndarray, length: int) -> tupl
     document than that one holds (bit ``o`` for the run at offset ``o``)."""
     before = length - ANCHOR
     size = before + length
-    digest, key = np.zeros(len(records), np.uint64), np.zeros(len(records), np.uint64)
+    digest = np.zeros(len(records), np.uint64)
     for column in records.view("<u8").T:
         digest = mix(digest * _A + column)
-    for column in np.ascontiguousarray(records[:, before:before + ANCHOR]).view("<u8").T:
-        key = mix(key * _A + column)
     _, first, inverse = np.unique(digest, return_index=True, return_inverse=True)
     order = np.argsort(inverse, kind="stable")
     heads = np.flatnonzero(np.diff(inverse[order], prepend=-1))
     lowest = np.minimum.reduceat(least[order], heads)
-    _, group = np.unique(key[first], return_inverse=True)
-    mixed = np.flatnonzero(may_share(records[first], length))  # others repeat only as a whole
-    mixed = mixed[np.argsort(group[mixed], kind="stable")]
     runs = np.zeros(len(first), np.uint64)
-    ends = np.flatnonzero(np.diff(group[mixed], append=-1)) + 1  # of the contexts of an anchor
-    done = 0
-    while done < len(mixed):  # whole anchors, up to INDEX_CONTEXTS contexts in one index
-        fits = np.searchsorted(ends, done + INDEX_CONTEXTS, "right")
-        upto = int(ends[max(fits - 1, np.searchsorted(ends, done, "right"))])
-        part, done = mixed[done:upto], upto
-        own = records[first[part]]
+    distinct = records[first]
+    for part, offset in index_parts(distinct, np.arange(len(first)), 0, 0, length):
+        numbers = lowest[part]
+        if offset is not None:
+            runs[part[numbers > numbers.min()]] |= np.uint64(1) << np.uint64(offset)
+            continue
+        own = distinct[part]
         left, right = own[:, size].astype(np.int64), own[:, size + 1].astype(np.int64)
         texts = np.zeros((len(own), size), np.uint8)
         for shift in np.unique(before - left):  # texts begin where the document does
             rows = before - left == shift
             texts[rows, :size - shift] = own[rows, shift:size]
-        index = RunLengthIndex(texts, left + right, lowest[part], length)
-        runs[part] = index.held_before(left + right, lowest[part]) << (before - left).astype(np.uint64)
+        index = RunLengthIndex(texts, left + right, numbers, length)
+        runs[part] |= index.held_before(left + right, numbers) << (before - left).astype(np.uint64)
     return lowest[inverse], runs[inverse]
 
 

@@ -357,3 +357,24 @@ def test_repeats(docs, rows, nothing, monkeypatch):
                                  F.sha2("kept", 256).alias("k")), "n_bytes", "r", "s", "k")
         assert got == brute.repeats(rows, length)
     assert repeats.repeated_spans(nothing).count() == 0
+
+
+def test_hot_anchor_in_small_indexes(monkeypatch):
+    """One line in all texts, most with other bytes around it: any size of index gives the same runs."""
+    rng = np.random.default_rng(5)
+    line = b"a line of thirty bytes, about."
+    ends = [bytes(rng.integers(97, 99, 12, np.uint8)) for _ in range(12)] + [b"", b"x"]
+    texts = [ends[i] + line[:int(rng.integers(20, 31))] + ends[j] + ends[k]
+             for i, j, k in rng.integers(0, len(ends), (120, 3))] * 2
+    texts += [b"same " * 20, b"", b"same " * 12]
+    chunk = repeats.Chunk(list(range(len(texts))), [len(t) for t in texts],
+                          repeats.pack(np.frombuffer(b"".join(texts), np.uint8)), 50)
+    chunk.contexts(np.ones(len(chunk.distinct), bool))
+    want = {d: r[1] for d, r in brute.repeats([(d, t.decode()) for d, t in enumerate(texts)], 50).items()}
+    for most in (2, 7, 8000):
+        monkeypatch.setattr(repeats, "INDEX_CONTEXTS", most)
+        parts = [p for p, _ in repeats.index_parts(chunk.records, np.arange(len(chunk.keys)), 0, 0, 50)]
+        assert most < 8000 or len(parts) <= 2
+        gone = chunk.removed(*repeats.answer_contexts(chunk.records, chunk.least, 50))
+        got = {d: int(gone[a:b].sum()) for d, (a, b) in enumerate(zip(chunk.starts, chunk.stops))}
+        assert got == want
