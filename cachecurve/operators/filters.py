@@ -11,14 +11,18 @@ from pyspark.sql import functions as F
 
 from cachecurve.config import (FootprintConfig, RequestFilter, bucket_overrides, flag_overrides,
                                id_list, map_rule_index)
-from cachecurve.functions.columns import (inflated, numeric_map_id, sample_hash)
+from cachecurve.functions.columns import (hex_prefix, inflated, numeric_map_id, sample_hash)
 from cachecurve.operators.lookup import attach, config_table
 from cachecurve.operators.parse import status_flags, translate_serial
 
 
 def sample_lines(lines: DataFrame, pct: float, seed: int) -> DataFrame:
-    """Random share of the lines, taken before parsing."""
-    return lines if pct >= 100 else lines.sample(fraction=pct / 100.0, seed=seed)
+    """Random share of the lines, taken before parsing. The coin is a digest of seed and line, so a
+    rerun and any other partitioning take the same lines; equal lines share their coin."""
+    if pct >= 100:
+        return lines
+    coin = hex_prefix(F.md5(F.concat(F.lit(f"{seed}:"), "value")), 1, 8)
+    return lines.where(coin < int(pct / 100.0 * 2 ** 32))
 
 
 def add_map_index(requests: DataFrame, cfg: RequestFilter) -> DataFrame:

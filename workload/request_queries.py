@@ -256,7 +256,9 @@ def spatial_sample(spark, sf_dir):
     return kept(spark, sf_dir, cfg).select("event_id", "filter_buckets", "unshard_buckets")
 
 
-@query("random_sample")
+@query("random_sample", with_requests(f"""
+SELECT event_id FROM (SELECT event_id, {_line("printf('%.3f', ts)")} AS value FROM requests)
+WHERE ('0x' || substr(md5('17:' || value), 1, 8))::BIGINT < 1073741824"""))
 def random_sample(spark, sf_dir):
     return filters.sample_lines(event_lines(spark, sf_dir), 25.0, 17).select("event_id")
 
