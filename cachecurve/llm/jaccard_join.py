@@ -347,7 +347,8 @@ def link_classes(docs: DataFrame, gram: int = 4, percent: int = 85) -> DataFrame
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = save(may_link(pairs, nodes, percent), "pairs")
         if pairs.isEmpty():
-            if turn == ROUNDS or done is not None and turn:
+            # an empty round says nothing of pairs that did not meet: only the last takes all of them
+            if turn == ROUNDS or open_sigs.isEmpty():
                 break
             continue
         done = pairs if done is None else done.unionByName(pairs)

@@ -179,6 +179,28 @@ def test_targets_share_what_caps_cut_off(spark):
     assert found == pytest.approx(brute.targets({"a": 1, "b": 100, None: 50, "c": 2}, (5, 2, 1), 3))
 
 
+def test_links_beside_meeting_nodes_unlike_them(spark):
+    """Two linked texts share signatures only with a crowd unlike them, whose nodes are the meeting
+    nodes: the rounds before the last give no pair, but for an unrelated pair in the first."""
+    rng = random.Random(7)
+    shingles = jaccard_join.Shingler(1)
+    pool = sorted({prose(rng, 1) + prose(rng, 1) + "z" for _ in range(6000)}, key=lambda w: shingles(w)[0])
+    passage, rest = pool[:8], pool[100:]  # the least hashes: the prefixes of all that hold them
+    rng.shuffle(rest)
+    fill = iter(rest)
+
+    def own(n):
+        return [next(fill) for _ in range(n)]
+
+    twin, other = own(32), own(40)
+    texts = [passage + own(32) for _ in range(60)]
+    texts += [passage + twin, passage + twin[1:] + own(1), other, other[1:] + own(1)]
+    rows = list(enumerate(map(" ".join, texts)))
+    found = by_id(jaccard_join.link_classes(frame(spark, rows), 1, 85), "n_shingles", "component_id")
+    assert found == brute.link_classes(rows, 1, 85)
+    assert found[61][1] == 60 and found[63][1] == 62
+
+
 def test_toxicity(spark):
     rng = random.Random(5)
     rows = [(i, prose(rng, 40) + (" you vilename fool" if i % 4 == 0 else " a fine day")) for i in range(240)]
