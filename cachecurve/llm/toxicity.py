@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -127,16 +128,18 @@ def fit(own: list[np.ndarray], labels: np.ndarray, chosen: list[bytes],
     """Weights by gradient steps (Adam) on logistic loss, ridge and the swap penalty.
 
     ``own`` has the places in ``chosen`` of each document's features, ``changed`` the (term,
-    replacement) of every swap. A swap takes the features of one word from a sentence and adds
-    those of another, so the change of its logit is the difference of their weights.
+    replacement) of every swap. A swap takes all features of one word from a sentence and adds
+    all of another, so the change of its logit is the difference of the sums of their weights.
     """
     place = {f: i for i, f in enumerate(chosen)}
     rows = np.repeat(np.arange(len(own)), [len(x) for x in own])
     columns = np.concatenate([np.empty(0, np.int64), *own]).astype(np.int64)
-    pairs, times = np.unique(np.array(
-        [(place[a], place[b]) for x, y in changed
-         for a, b in zip(word_features(x), word_features(y))], np.int64).reshape(-1, 2),
-        axis=0, return_counts=True)
+    distinct = sorted(Counter(changed).items())
+    times = np.array([n for _, n in distinct], np.float64)
+    # one sparse row a distinct swap: -1 for a feature that goes, 1 for one that comes
+    signs = [(swap, place[f], sign) for swap, (pair, _) in enumerate(distinct)
+             for word, sign in zip(pair, (-1, 1)) for f in word_features(word)]
+    swap, touched, sign = np.array(signs, np.int64).reshape(-1, 3).T
     times = times / max(1, times.sum())
     balance = np.where(labels == 1, 0.5 / labels.mean(), 0.5 / (1 - labels.mean()))
     weight, bias = np.zeros(len(chosen)), 0.0
@@ -145,9 +148,8 @@ def fit(own: list[np.ndarray], labels: np.ndarray, chosen: list[bytes],
         z = bias + np.bincount(rows, weight[columns], len(own))
         off = balance * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels) / len(own)
         grad = np.bincount(columns, off[rows], len(chosen)) + 2 * ridge * weight
-        change = 2 * penalty * times * (weight[pairs[:, 0]] - weight[pairs[:, 1]])
-        grad += np.bincount(pairs[:, 0], change, len(chosen)) \
-            - np.bincount(pairs[:, 1], change, len(chosen))
+        change = 2 * penalty * times * np.bincount(swap, sign * weight[touched], len(times))
+        grad += np.bincount(touched, sign * change[swap], len(chosen))
         grad = np.append(grad, off.sum())
         mean = 0.9 * mean + 0.1 * grad
         square = 0.99 * square + 0.01 * grad ** 2

@@ -237,6 +237,27 @@ def test_counterfactuals_spare_neutral_mentions(spark):
     assert gap(10.0) < 0.1 < gap(0.0)
 
 
+@pytest.mark.parametrize("named, other", [("women", "men"), ("young", "old"), ("latino", "black")])
+def test_counterfactuals_cover_terms_of_unlike_length(spark, named, other):
+    """The stems that only the longer term has are not held against its neutral mentions."""
+    rng = random.Random(8)
+    rows, labels = [], []
+    for i in range(400):
+        toxic = i % 4 == 0
+        group = named if rng.random() < (0.9 if toxic else 0.05) else other
+        rows.append((i, f"{prose(rng, 20)} the {group} neighbour " + ("vilename" if toxic and i % 8 else "")))
+        labels.append((i, 1, int(toxic)))
+    df, known = frame(spark, rows), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    neutral = frame(spark, [(1, f"the {named} neighbour came"), (2, f"the {other} neighbour came")])
+
+    def gap(penalty):
+        model = toxicity.train(df, known, F.lit(True), penalty=penalty)
+        a, b = (s for s, in by_id(toxicity.score_toxicity(neutral, model), "score").values())
+        return abs(a - b)
+
+    assert gap(10.0) < 0.1 < gap(0.0)
+
+
 def test_jaccard(docs, rows, nothing):
     for gram, percent in ((4, 85), (5, 80)):
         found = by_id(jaccard_join.link_classes(docs, gram, percent), "n_shingles", "component_id")
