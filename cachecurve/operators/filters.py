@@ -117,13 +117,18 @@ def match_filters(cfg: RequestFilter) -> Column:
     return combined
 
 
+def with_raw_ts(requests: DataFrame) -> DataFrame:
+    """The time before rounding, which for requests that were not parsed here is ``ts``."""
+    return requests if "raw_ts" in requests.columns else requests.withColumn("raw_ts", F.col("ts"))
+
+
 def in_time_range(cfg: RequestFilter) -> Column:
-    return F.col("ts").between(F.lit(float(cfg.start_s)), F.lit(float(cfg.end_s)))
+    return F.col("raw_ts").between(F.lit(float(cfg.start_s)), F.lit(float(cfg.end_s)))
 
 
 def prepare(requests: DataFrame, cfg: FootprintConfig) -> DataFrame:
     """All columns that the filters and the routing look at."""
-    df = status_flags(requests).withColumns({
+    df = status_flags(with_raw_ts(requests)).withColumns({
         "true_serial": F.col("serial"),
         "serial": translate_serial(F.col("serial"), cfg),
     })

@@ -40,7 +40,8 @@ def parse_requests(lines: DataFrame, value: str = "value",
     """Type every line by the first layout that fits; other columns are kept.
 
     ``reject_reason`` is null for a request and else ``comment``, ``layout`` or
-    ``serial``. Blank lines are not lines of the log and are dropped.
+    ``serial``. Blank lines are not lines of the log and are dropped. ``ts`` is rounded to
+    milliseconds as in records; the time range is tested on ``raw_ts``, the time of the line.
     """
     text = F.col(value)
     fits = [F.when((F.size("_s") >= n) & text.rlike("^" + ":".join(_LAYOUTS[n]) + "$"), F.lit(n))
@@ -70,6 +71,7 @@ def parse_requests(lines: DataFrame, value: str = "value",
         field(0, 7).alias("map"),
         serial.alias("serial"),
         F.round(field(2, 7, "double"), 3).alias("ts"),
+        field(2, 7, "double").alias("raw_ts"),
         field(3, 7).alias("md5"),
         field(4, 7, "bigint").alias("size"),
         field(5, 7, "bigint").alias("bytes"),

@@ -96,7 +96,7 @@ def route(requests: DataFrame, cfg: FootprintConfig) -> DataFrame:
 
 
 def _finish(routed: DataFrame, cfg: FootprintConfig) -> DataFrame:
-    routed = routed.where(F.col("shard").isNotNull())
+    routed = routed.where(F.col("shard").isNotNull()).drop("raw_ts")
     if cfg.num_shards:
         routed = routed.withColumns({"route_key": F.col("shard").cast("string"),
                                      "shard": F.pmod("shard", F.lit(cfg.num_shards)).cast("int")})

@@ -32,8 +32,8 @@ def replication_records(requests: DataFrame, cfg: ReplicationConfig) -> DataFram
     """Filtered requests with the ``shard`` and ``obj`` the job groups by."""
     if "reject_reason" in requests.columns:
         requests = requests.where("reject_reason is null").drop("reject_reason")
-    kept = filters.add_map_index(requests, cfg) \
-        .where(filters.in_time_range(cfg)).where(filters.match_filters(cfg))
+    kept = filters.add_map_index(filters.with_raw_ts(requests), cfg) \
+        .where(filters.in_time_range(cfg)).where(filters.match_filters(cfg)).drop("raw_ts")
     return kept.where(is_digest(F.col("md5"))).withColumns(
         {"shard": replication_shard(cfg), "obj": object_id(F.col("md5"))})
 
@@ -45,6 +45,6 @@ def replication(requests: DataFrame, cfg: ReplicationConfig,
     if order is None:
         place = [c for c in ("file", "block_start", "line_no") if c in requests.columns]
         order = ("ts", *(place or sorted(c for c in requests.columns
-                                         if c not in ("ts", "reject_reason"))))
+                                         if c not in ("ts", "raw_ts", "reject_reason"))))
     counts = ops.replica_counts(replication_records(requests, cfg), order)
     return Replication(counts, save(ops.replication_by_shard(counts), "replication"))

@@ -1,8 +1,11 @@
 import pytest
+from pyspark.sql import functions as F
 
-from cachecurve.config import FootprintConfig
+from cachecurve.config import FootprintConfig, ReplicationConfig
 from cachecurve.operators import filters
+from cachecurve.operators.parse import parse_requests
 from cachecurve.plans.footprint import routed_requests
+from cachecurve.plans.replication import replication_records
 from tests.lru_model import digest
 
 SCHEMA = ("i int, map string, serial int, ts double, md5 string, size bigint, bytes bigint, "
@@ -37,6 +40,19 @@ def test_time_bounds_are_inclusive_also_with_or(spark):
         [2, 3, 4]
 
 
+def test_time_bounds_hold_for_the_time_before_rounding(spark):
+    """Half a millisecond outside the range is outside, and records have rounded times."""
+    times = ["9.9996", "10", "10.0004", "99.9996", "100", "100.0004"]
+    lines = spark.createDataFrame(
+        [(i, f"m:3:{t}:{digest(str(i))}:10:5:1:-") for i, t in enumerate(times)], "i int, value string")
+    requests = parse_requests(lines)
+    out = routed_requests(requests, FootprintConfig(start_s=10, end_s=100))
+    assert "raw_ts" not in out.columns
+    assert sorted((r.i, r.ts) for r in out.collect()) == [(1, 10.0), (2, 10.0), (3, 100.0), (4, 100.0)]
+    records = replication_records(requests.withColumn("vcd", F.lit(1)), ReplicationConfig(start_s=10, end_s=100))
+    assert sorted(r.i for r in records.collect()) == [1, 2, 3, 4]
+
+
 def test_misses_only_inflates_and_ignores_prefetch_rules(spark):
     rows = [request(1, status="o"), request(2, status="pK"), request(3), request(4, status="og")]
     assert routed(spark, rows, mode="miss", ignore_prefetch=True) == [(1, 3, 10), (2, 3, 10)]
