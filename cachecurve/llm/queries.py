@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 from cachecurve.llm import quality, toxicity
 from cachecurve.llm.chat import chat_digests, format_chat, read_chat
 from cachecurve.llm.decontaminate import contained_items
+from cachecurve.llm.divergence import source_divergence
 from cachecurve.llm.exact_dedup import exact_groups
+from cachecurve.llm.fill_middle import fill_middle, output_digests, write_frames
 from cachecurve.llm.jaccard_join import link_classes
+from cachecurve.llm.license_scan import license_labels, license_spans
 from cachecurve.llm.mixing import mix_sources, taken_words
 from cachecurve.llm.repeats import repeated_spans
 from cachecurve.llm.token_counts import count_tokens
@@ -165,3 +168,79 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", removed.alias("n_removed"),
                         F.size("spans").cast("bigint").alias("n_spans"),
                         F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op11_license_scan")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_labels(license_spans(table(spark, sf_dir, "documents")))
+
+
+@query("op12_source_divergence", r"""
+WITH rows AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+used AS (SELECT r, lang, source, term, count(*) AS n
+         FROM (SELECT r, lang, source, unnest(w) AS term FROM rows) GROUP BY ALL),
+kept AS (SELECT lang, term FROM used GROUP BY lang, term HAVING count(*) >= 30),
+counts AS (SELECT lang, source, term, sum(n)::HUGEINT AS n FROM used JOIN kept USING (lang, term) GROUP BY ALL),
+every AS (SELECT DISTINCT lang, source FROM rows),
+full_counts AS (
+  SELECT e.lang, e.source, k.term, coalesce(c.n, 0)::HUGEINT AS n
+  FROM every e JOIN kept k USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+terms AS (
+  SELECT *, sum(n) OVER (PARTITION BY lang, source)::HUGEINT AS total,
+         sum(n) OVER (PARTITION BY lang, term)::HUGEINT AS lang_n,
+         sum(n) OVER (PARTITION BY lang)::HUGEINT AS lang_total,
+         count(*) OVER (PARTITION BY lang, source)::HUGEINT AS v FROM full_counts),
+p AS (
+  SELECT lang, source, term, n,
+         1 + (1000000000::HUGEINT * (n + 5)) // (total + 5 * v) AS p,
+         1 + (1000000000::HUGEINT * (lang_n + 5)) // (lang_total + 5 * v) AS q FROM terms),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(d.value, 0) AS value
+  FROM every a JOIN every b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT x.lang, x.source AS one, y.source AS other, sum(abs(x.p - y.p)) AS value
+             FROM p x JOIN p y USING (lang, term) WHERE x.source <> y.source GROUP BY ALL) d
+    ON d.lang = a.lang AND d.one = a.source AND d.other = b.source),
+said AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part
+                               ORDER BY value DESC, encode(item)) AS rank FROM said)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 50
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
+@query("op13_fill_middle", r"""
+WITH said AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+  FROM documents),
+drawn AS (
+  SELECT *, len(u) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(u) + 1) AS a, CAST('0x' || h[9:16] AS BIGINT) % (len(u) + 1) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 50 THEN 'plain'
+              WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM said),
+cut AS (
+  SELECT doc_id, text, n, form, array_to_string(u[1:least(a, b)], '') AS prefix,
+         array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS middle,
+         array_to_string(u[greatest(a, b) + 1:], '') AS suffix FROM drawn)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM cut
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return output_digests(fill_middle(write_frames(table(spark, sf_dir, "documents"))))
