@@ -2,19 +2,15 @@
 
 from __future__ import annotations
 
-import io
-import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cachecurve.functions.columns import pack_ip
+from cachecurve.sources.views import as_gzip, listed_name
 
 LINE_ORDER = ("file", "block_start", "line_no")
-_LINE_SCHEMA = "value string, file string, block_start bigint, line_no bigint"
-_LINES_PER_BATCH = 20_000
 _CHUNK_BITS = 18
 
 
@@ -43,65 +39,39 @@ def read_lines(spark: SparkSession, *paths: str, glob: str | None = None,
     reader = spark.read.option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    # Spelled as in the listing of ``list_logs``.
-    file = F.regexp_replace("_metadata.file_path", "^file:/+", "file:/")
     lines = reader.text(list(paths)).select(
-        "value", file.alias("file"),
+        "value", listed_name(F.col("_metadata.file_path")).alias("file"),
         F.col("_metadata.file_block_start").alias("block_start"))
     lines = prune(lines) if prune else lines
     return lines.withColumn("line_no", F.monotonically_increasing_id())
 
 
 def spread(df: DataFrame, *keys: str, tasks: int | None = None) -> DataFrame:
-    """Repartition an input that comes in fewer partitions than there are ``tasks``, such
-    as a few large gzip files; an input that already fills the cluster is not shuffled.
+    """Deal an input that comes in few partitions, such as a few large gzip files, to ``tasks``
+    tasks, by default the shuffle partitions. Leave it out where the input fills the cluster.
 
     ``keys`` that tell rows apart save the sort of a round-robin shuffle.
     """
-    tasks = tasks or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(tasks, *keys) if df.rdd.getNumPartitions() < tasks else df
-
-
-def _open(path: str):
-    from pyarrow import fs
-
-    uri = re.sub(r"^file:/+", "file:///", path)
-    if "://" not in uri:
-        uri = f"file://{uri}"
-    filesystem, name = fs.FileSystem.from_uri(uri)
-    return filesystem.open_input_stream(name, compression="gzip")
-
-
-def _gunzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for path in batch["file"]:
-            with _open(path) as stream:
-                text = io.TextIOWrapper(io.BufferedReader(stream, 1 << 20), "utf-8", "replace",
-                                        newline="\n")
-                start, lines = 0, []
-                for line in text:
-                    lines.append(line.rstrip("\r\n"))
-                    if len(lines) == _LINES_PER_BATCH:
-                        yield _frame(lines, path, start)
-                        start, lines = start + len(lines), []
-                if lines:
-                    yield _frame(lines, path, start)
-
-
-def _frame(lines: list[str], path: str, start: int) -> pd.DataFrame:
-    return pd.DataFrame({"value": lines, "file": path, "block_start": 0,
-                         "line_no": range(start, start + len(lines))})
+    return df.repartition(tasks, *keys) if tasks else df.repartition(*keys or [F.rand(0)])
 
 
 def read_gzip_lines(files: DataFrame) -> DataFrame:
     """Lines of gzip files whose name hides the codec, such as ``x.gz.key2``.
 
-    Each file is streamed by one task, as gzip allows no more; ``files`` needs ``file``.
-    The files are dealt to a given number of tasks: adaptive execution would merge a short
-    list of names into a single one.
+    ``files`` needs ``file``, as ``list_logs`` spells it. Spark reads the files by another name
+    (see ``views``), so they are opened through the session's file systems and unpacked in the JVM, each as one
+    stream, and dealt to tasks by their sizes. Names go to the driver, as those of any input do.
     """
-    tasks = min(max(files.count(), 1), 4 * files.sparkSession.sparkContext.defaultParallelism)
-    return files.select("file").repartition(tasks, "file").mapInPandas(_gunzip, _LINE_SCHEMA)
+    spark = files.sparkSession
+    lines = None
+    for prefix, names in as_gzip(spark, [row.file for row in files.select("file").toLocalIterator()]):
+        found = spark.read.text(names).select(
+            "value", listed_name(F.col("_metadata.file_path"), prefix).alias("file"),
+            F.col("_metadata.file_block_start").alias("block_start"))
+        lines = found if lines is None else lines.unionByName(found)
+    if lines is None:
+        lines = spark.createDataFrame([], "value string, file string, block_start bigint")
+    return lines.withColumn("line_no", F.monotonically_increasing_id())
 
 
 def read_logs(spark: SparkSession, path: str, prune: Prune | None = None) -> DataFrame:

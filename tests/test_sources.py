@@ -1,5 +1,7 @@
 import gzip
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from cachecurve.config import PathFilter
@@ -7,7 +9,7 @@ from cachecurve.operators.parse import parse_requests
 from cachecurve.plans.footprint import Footprint, routed_requests
 from cachecurve.config import FootprintConfig
 from cachecurve.sinks import tables
-from cachecurve.sources import lists, logs, paths
+from cachecurve.sources import lists, logs, paths, views
 
 
 def _gz(path, lines):
@@ -47,6 +49,62 @@ def test_path_rules_prune_files_before_reading(spark, tmp_path):
     assert sorted(r.value for r in lines.collect()) == ["", "k1", "k2", "p1", "p2", "ü"]
 
 
+def test_names_of_any_signs(spark, tmp_path):
+    names = ["a b.gz.key1", "50%25.gz.key2", "p+q.gz.key3", "x[1]{y}*?.gz.key4", "é#&=;,'.gz.KEY5", "d%20/e f.gz.key10",
+             "d%20/plain p+q%.gz"]
+    for i, name in enumerate(names):
+        _gz(tmp_path / "top dir%41" / name, [f"{i}"])
+    lines = logs.read_logs(spark, str(tmp_path)).collect()
+    assert {r.file: r.value for r in lines} == \
+        {f"file:{tmp_path}/top dir%41/{name}": str(i) for i, name in enumerate(names)}
+    assert {r.file for r in lines} == {r.file for r in logs.list_logs(spark, str(tmp_path)).collect()}
+
+
+def test_keyed_files_of_a_store_that_only_spark_reads(spark, tmp_path):
+    _gz(tmp_path / "2024 01/x.gz.key1", ["kept", "too"])
+    spark.conf.set("fs.viewfs.mounttable.logstore.link./in", f"file:{tmp_path}")
+    lines = logs.read_logs(spark, "viewfs://logstore/in").collect()
+    assert [(r.value, r.file, r.block_start) for r in lines] == \
+        [(v, "viewfs://logstore/in/2024 01/x.gz.key1", 0) for v in ("kept", "too")]
+
+
+def test_stores():
+    for uri, found in (("file:/a/b", ("file://", "/a/b")), ("file:///a/b", ("file://", "/a/b")),
+                       ("s3a://bucket/a b/c", ("s3a://bucket", "/a b/c")),
+                       ("hdfs://nn:8020/x//y", ("hdfs://nn:8020", "/x//y"))):
+        assert views.store_of(uri) == found
+    with pytest.raises(ValueError):
+        views.store_of("a/b.gz")
+
+
+def test_keyed_files_are_dealt_by_size(spark, tmp_path):
+    rng = random.Random(1)
+
+    def noise(n):
+        return ["%032x" % rng.getrandbits(128) for _ in range(n)]
+
+    _gz(tmp_path / "large.gz.key1", noise(20_000))
+    for i in range(63):
+        _gz(tmp_path / f"small{i}.gz.key2", noise(200))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        got = logs.read_gzip_lines(logs.list_logs(spark, str(tmp_path))) \
+            .groupBy(F.spark_partition_id().alias("task")).agg(
+            F.count("*").alias("lines"), F.count_distinct("file").alias("files")).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sum(r.lines for r in got) == 20_000 + 63 * 200 and sum(r.files for r in got) == 64
+    large = max(got, key=lambda r: r.lines)
+    assert large.files == 1 and large.lines == 20_000
+    others = [r.lines for r in got if r != large]
+    assert len(others) >= 3 and sum(2 * n < max(others) for n in others) <= 1  # the rest
+
+
+def test_no_keyed_files(spark, tmp_path):
+    _gz(tmp_path / "a.gz", ["x"])
+    assert [r.value for r in logs.read_logs(spark, str(tmp_path)).collect()] == ["x"]
+
+
 def test_long_keyed_file_keeps_its_order(spark, tmp_path):
     _gz(tmp_path / "x.gz.key1", [str(i) for i in range(50_001)])
     got = logs.read_gzip_lines(logs.list_logs(spark, str(tmp_path))).orderBy("line_no") \

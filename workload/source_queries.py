@@ -169,13 +169,26 @@ def gz_read(spark, sf_dir):
         .agg(F.count("*").alias("lines"), F.sum("bytes").alias("bytes"))
 
 
+def _name_logs(spark, path):
+    """Give the files of ``_write_logs`` names of logs, most of them with a key."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(path)
+    store = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    for arl, suffix in enumerate((".gz", ".gz.key2", ".gz.key13")):
+        for n, status in enumerate(store.globStatus(hadoop.Path(folder, f"arlid={arl}/part-*")) or []):
+            store.rename(status.getPath(), hadoop.Path(folder, f"arlid={arl}/fd_storelog_10.0.{arl}.1_{n}{suffix}"))
+
+
 @query("gz_key_read", with_requests("""
-SELECT layout, count(*) AS lines, CAST(sum(bytes) AS BIGINT) AS bytes FROM typed
-WHERE layout IS NOT NULL GROUP BY layout""", _FILE_SQL))
+SELECT layout, CASE event_id % 3 WHEN 0 THEN '1' WHEN 1 THEN '2' ELSE '13' END AS key_index,
+       concat('10.0.', event_id % 3, '.1') AS ip, count(*) AS lines, CAST(sum(bytes) AS BIGINT) AS bytes
+FROM typed WHERE layout IS NOT NULL GROUP BY ALL""", _FILE_SQL))
 def gz_key_read(spark, sf_dir):
-    files = logs.list_logs(spark, _write_logs(spark, sf_dir, "keyed"))
-    lines = logs.read_gzip_lines(files)
-    return parse.parse_requests(lines).where("reject_reason is null").groupBy("layout") \
+    path = _write_logs(spark, sf_dir, "keyed logs 100%")
+    _name_logs(spark, path)
+    typed = parse.parse_requests(logs.read_logs(spark, path)).where("reject_reason is null")
+    return typed.groupBy("layout", logs.key_index(F.col("file")).alias("key_index"),
+                         logs.server_ip(F.col("file")).alias("ip")) \
         .agg(F.count("*").alias("lines"), F.sum("bytes").alias("bytes"))
 
 
