@@ -9,6 +9,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from datetime import date
+from typing import TYPE_CHECKING
+
+if TYPE_CHECKING:
+    from cachecurve.sources.lists import Lists
 
 # Fixed values.
 NETWORK_MODULUS = {"FF": 2048, "CW": 4096, "ESSL": 2000}
@@ -185,6 +189,8 @@ class FootprintConfig(RequestFilter):
     cpcode_accounts: Sequence[tuple[int, str]] = ()
     vmn_labels: Sequence[tuple[int, str, str, str]] = ()
     arl_vcd: Sequence[tuple[int, int]] = ()
+    #: Lists read from files; one given here takes the place of the option of that list.
+    lists: Lists | None = field(default=None, compare=False)
     sample_pct: float = 100.0
     sample_seed: int = 17
     sample_at: str | None = None
@@ -218,8 +224,10 @@ class FootprintConfig(RequestFilter):
             raise ValueError(f"split_by must be one of {SPLITS}")
         if self.split_by == "cpcode" and self.rehash_only:
             raise ValueError("split_by='cpcode' and rehash_only cannot be combined")
-        if self.split_by == "vmn" and not self.vmn_labels:
+        if self.split_by == "vmn" and not self.vmn_labels and self.list_of("vmns") is None:
             raise ValueError("split_by='vmn' needs vmn_labels")
+        if self.accounts and self.list_of("accounts") is not None:
+            raise ValueError("lists already hold the lines of the wanted accounts only")
         if self.accounts and not self.cpcode_accounts:
             raise ValueError("accounts needs cpcode_accounts")
         if self.sample_at not in (None, "map", "reduce"):
@@ -248,6 +256,10 @@ class FootprintConfig(RequestFilter):
         bits = ((8 * max(rows, 1)).bit_length() + 1) // 2
         return replace(self, slice_rows=1 << min(max(bits, MIN_SLICE_BITS), MAX_SLICE_BITS))
 
+    def list_of(self, name: str):
+        """A list kept as a table, else none."""
+        return getattr(self.lists, name) if self.lists is not None else None
+
     # --- dimension ids, all derived from configuration ---------------------------------
 
     @property
@@ -304,6 +316,8 @@ class FootprintConfig(RequestFilter):
 
     def copies_base(self) -> int:
         """Number of plain shards of a split; the miss copy of shard i is base + i."""
+        if self.lists is not None and self.lists.split_size(self.split_by):
+            return self.lists.split_size(self.split_by)
         if self.split_by == "cpcode":
             return self.cpcode_count()
         if self.split_by == "account":

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from cachecurve.config import (FootprintConfig, RequestFilter, bucket_overrides, flag_overrides,
                                id_list, map_rule_index)
 from cachecurve.functions.columns import (hex_prefix, inflated, numeric_map_id, sample_hash)
-from cachecurve.operators.lookup import attach, config_table
+from cachecurve.operators.lookup import attach, attach_split, config_table
 from cachecurve.operators.parse import status_flags, translate_serial
 
 
@@ -71,14 +71,28 @@ def add_ignore_prefetch(requests: DataFrame, cfg: FootprintConfig) -> DataFrame:
 
 def fill_vcd(requests: DataFrame, cfg: FootprintConfig) -> DataFrame:
     """Translate arl ids to vcds where the vcd is 0; the last mapping of an arl wins."""
-    if not cfg.arl_vcd:
+    if (listed := cfg.list_of("arls")) is not None:
+        table = listed.select(F.col("arlid").alias("arl_key"), F.col("vcd").alias("_vcd"))
+        found = attach_split(requests, table, arl_key=F.col("arlid"))
+    elif cfg.arl_vcd:
+        table = config_table(requests, dict(cfg.arl_vcd).items(), "arl_key int, _vcd int")
+        found = attach(requests, table, arl_key=F.col("arlid"))
+    else:
         return requests
-    table = config_table(requests, dict(cfg.arl_vcd).items(), "arl_key int, _vcd int")
-    return attach(requests, table, arl_key=F.col("arlid")) \
+    return found \
         .withColumn("vcd", F.when(F.col("vcd") == 0, F.coalesce("_vcd", "vcd"))
                     .otherwise(F.col("vcd"))).drop("_vcd")
 
 
+def mark_listed(requests: DataFrame, cfg: FootprintConfig) -> DataFrame:
+    """``cpcode_listed`` where the listed cpcodes are a table."""
+    if (listed := cfg.list_of("listed")) is None:
+        return requests
+    table = listed.select(F.col("cpcode").alias("cp_key"), F.lit(True).alias("cpcode_listed"))
+    return attach_split(requests, table, cp_key=F.col("cpcode")) \
+        .withColumn("cpcode_listed", F.coalesce("cpcode_listed", F.lit(False)))
+
+
 def _listed(column: Column, ids: list[int], exclude: bool) -> Column:
     inside = column.isin(ids)
     return ~inside if exclude else inside
@@ -100,7 +114,9 @@ def match_filters(cfg: RequestFilter) -> Column:
     tests = []
     if names or ids:
         tests.append(F.col("map_index") >= 0)
-    if cpcodes:
+    if isinstance(cfg, FootprintConfig) and cfg.list_of("listed") is not None:
+        tests.append(~F.col("cpcode_listed") if cfg.exclude_cpcodes else F.col("cpcode_listed"))
+    elif cpcodes:
         tests.append(_listed(F.col("cpcode"), cpcodes, cfg.exclude_cpcodes))
     if vcds:
         missing = F.raise_error(F.lit("vcd filter set, but a request has no vcd")).cast("boolean")
@@ -138,7 +154,7 @@ def prepare(requests: DataFrame, cfg: FootprintConfig) -> DataFrame:
     if cfg.sample_at == "map":
         df = add_sample_buckets(df, cfg.sample_buckets, cfg.sample_overrides)
     df = add_ignore_prefetch(df, cfg)
-    df = fill_vcd(df, cfg)
+    df = mark_listed(fill_vcd(df, cfg), cfg)
     return add_map_index(df, cfg)
 
 

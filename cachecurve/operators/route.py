@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cachecurve.config import (REPLICATION_SERIAL_MODULUS, FootprintConfig, ReplicationConfig,
                                ip_list, map_rule_index)
 from cachecurve.functions.columns import hex_prefix, inflated
-from cachecurve.operators.lookup import attach, config_table
+from cachecurve.operators.lookup import attach, attach_split, config_table
 
 ROUTED_COLUMNS = ("shard", "ts", "md5", "size", "bytes", "cpcode", "true_serial", "max_age")
 
@@ -33,12 +33,24 @@ def url_shard(cfg: FootprintConfig) -> Column:
 def _split_id(requests: DataFrame, cfg: FootprintConfig) -> DataFrame:
     """``_id`` of the configured split: cpcode position, account or (vcd, map, network)."""
     if cfg.split_by == "cpcode":
-        table = config_table(requests, cfg.cpcode_positions().items(), "cp_key int, _id int")
-        found = attach(requests, table, cp_key=F.col("cpcode"))
+        if (listed := cfg.list_of("cpcodes")) is not None:
+            table = listed.select(F.col("cpcode").alias("cp_key"), F.col("position").alias("_id"))
+            found = attach_split(requests, table, cp_key=F.col("cpcode"))
+        else:
+            table = config_table(requests, cfg.cpcode_positions().items(), "cp_key int, _id int")
+            found = attach(requests, table, cp_key=F.col("cpcode"))
         return found.withColumn("_id", F.coalesce("_id", F.lit(0))) if cfg.parity else found
     if cfg.split_by == "account":
+        if (listed := cfg.list_of("accounts")) is not None:
+            table = listed.select(F.col("cpcode").alias("cp_key"), F.col("account_id").alias("_id"))
+            return attach_split(requests, table, cp_key=F.col("cpcode"))
         table = config_table(requests, cfg.account_ids()[1].items(), "cp_key int, _id int")
         return attach(requests, table, cp_key=F.col("cpcode"))
+    if (listed := cfg.list_of("vmns")) is not None:
+        table = listed.select(F.col("vcd").alias("v_key"), F.col("map").alias("m_key"),
+                              F.col("network").alias("n_key"), F.col("id").alias("_id"))
+        return attach_split(requests, table, v_key=F.col("vcd"), m_key=F.col("mapname"),
+                            n_key=F.col("network"))
     rows = [(*key, number) for key, number in cfg.vmn_ids().items()]
     table = config_table(requests, rows, "v_key int, m_key string, n_key string, _id int")
     return attach(requests, table, v_key=F.col("vcd"), m_key=F.col("mapname"),
@@ -105,8 +117,13 @@ def _finish(routed: DataFrame, cfg: FootprintConfig) -> DataFrame:
 
 def add_labels(shards: DataFrame, cfg: FootprintConfig) -> DataFrame:
     """``label`` of every shard."""
-    labels = cfg.shard_labels()
     number = F.col("shard").cast("string")
+    if cfg.lists is not None and cfg.lists.split_size(cfg.split_by):
+        table = cfg.lists.labels(cfg.split_by, cfg.mode == "both")
+        table = table.select(F.col("shard").alias("l_key"), F.col("label").alias("_label"))
+        return attach_split(shards, table, l_key=F.col("shard")) \
+            .withColumn("label", F.coalesce("_label", number)).drop("_label")
+    labels = cfg.shard_labels()
     if not labels:
         return shards.withColumn("label", number)
     table = config_table(shards, labels.items(), "l_key int, _label string")

@@ -1,16 +1,20 @@
 """Configuration lists kept in files.
 
-Each reader returns a small typed table; ``load_rows`` brings one to the driver for
-the options.
+Each reader returns a typed table. ``Lists`` holds such tables for the options of a job,
+however long they are; ``load_rows`` brings a short one to the driver instead.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass, field
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cachecurve.functions.columns import pack_ip
 from cachecurve.operators.sequence import global_positions
+from cachecurve.scratch import save
 from cachecurve.sources.logs import LINE_ORDER, read_lines
 
 
@@ -53,17 +57,29 @@ def ip_table(lines: DataFrame) -> DataFrame:
     return checked.withColumn("packed", pack_ip(F.col("ip")))
 
 
-def account_table(lines: DataFrame, accounts: list[str] | None = None) -> DataFrame:
-    """``cpcode``, its lowest account id and that account's name, from lines ``cpcode
-    account``. Account ids count accounts in order of first appearance."""
+def account_pairs(lines: DataFrame, accounts: Sequence[str] | None = None) -> DataFrame:
+    """``line_no cpcode account`` of every ``cpcode account`` line, or of the given accounts' lines."""
     pairs = lines.select("line_no", _int(0).alias("cpcode"), _text(1).alias("account")) \
         .where("cpcode is not null and account is not null")
-    if accounts:
-        pairs = pairs.where(F.col("account").isin(accounts))
+    return pairs.where(F.col("account").isin(list(accounts))) if accounts else pairs
+
+
+def account_names(pairs: DataFrame) -> DataFrame:
+    """``account_id account``: ids count accounts in order of first appearance."""
     seen = pairs.groupBy("account").agg(F.min("line_no").alias("_first"))
-    ids = global_positions(seen, [F.col("_first")], "accounts") \
-        .select("account", F.col("pos").cast("int").alias("account_id"))
-    return pairs.join(ids, "account").groupBy("cpcode").agg(
+    return global_positions(seen, [F.col("_first")], "accounts") \
+        .select(F.col("pos").cast("int").alias("account_id"), "account")
+
+
+def account_table(lines: DataFrame, accounts: Sequence[str] | None = None) -> DataFrame:
+    """``cpcode``, its lowest account id and that account's name, from lines ``cpcode
+    account``."""
+    pairs = account_pairs(lines, accounts)
+    return lowest_accounts(pairs, account_names(pairs))
+
+
+def lowest_accounts(pairs: DataFrame, names: DataFrame) -> DataFrame:
+    return pairs.join(names, "account").groupBy("cpcode").agg(
         F.min(F.struct("account_id", "account")).alias("_low")) \
         .select("cpcode", "_low.account_id", "_low.account")
 
@@ -88,5 +104,85 @@ def arl_table(lines: DataFrame) -> DataFrame:
 
 
 def load_rows(table: DataFrame) -> list[tuple]:
-    """All rows of a configuration list, for the options."""
+    """All rows of a list that is known to be short, for the options."""
     return [tuple(r) for r in table.collect()]
+
+
+@dataclass(frozen=True)
+class Lists:
+    """The lists of a job as saved tables, each optional. None of them goes to the driver: the job
+    joins them, and only the number of their entries, which settles the shard numbers, is known there.
+
+    ``cpcodes`` (cpcode, position; the last place of a repeated cpcode), ``accounts`` (cpcode, account_id,
+    account), ``names`` (account_id, account), ``vmns`` (vcd, map, network, label, id; the last of a
+    repeated triple) and ``arls`` (arlid, vcd). With ``listed``, requests of other cpcodes are dropped.
+    """
+
+    cpcodes: DataFrame | None = None
+    accounts: DataFrame | None = None
+    names: DataFrame | None = None
+    vmns: DataFrame | None = None
+    arls: DataFrame | None = None
+    listed: DataFrame | None = None
+    entries: dict[str, int] = field(default_factory=dict)
+
+    @classmethod
+    def of(cls, cpcodes: DataFrame | None = None, accounts: DataFrame | None = None,
+           vmns: DataFrame | None = None, arls: DataFrame | None = None,
+           only: Sequence[str] | None = None) -> Lists:
+        """From ``config_lines``. ``only`` keeps the lines of the named accounts, whose
+        cpcodes then are listed like those of ``cpcodes``."""
+        found: dict[str, DataFrame] = {}
+        entries: dict[str, int] = {}
+        listed = []
+        if cpcodes is not None:
+            places = save(global_positions(id_table(cpcodes), [F.col("line_no")], "cpcodes")
+                          .select(F.col("id").alias("cpcode"), F.col("pos").cast("int").alias("position")),
+                          "cpcode_places")
+            entries["cpcodes"] = places.count()
+            found["cpcodes"] = save(places.groupBy("cpcode").agg(F.max("position").alias("position")), "cpcodes")
+            listed.append(found["cpcodes"].select("cpcode"))
+        if accounts is not None:
+            pairs = save(account_pairs(accounts, only), "account_pairs")
+            found["names"] = save(account_names(pairs), "account_names")
+            found["accounts"] = save(lowest_accounts(pairs, found["names"]), "accounts")
+            entries["names"] = found["names"].count()
+            if only:
+                listed.append(found["accounts"].select("cpcode"))
+        if vmns is not None:
+            rows = save(vmn_table(vmns), "vmn_rows")
+            entries["vmns"] = rows.count()
+            found["vmns"] = save(rows.groupBy("vcd", "map", "network").agg(
+                F.max_by("label", "id").alias("label"), F.max("id").alias("id")), "vmns")
+        if arls is not None:
+            found["arls"] = save(arl_table(arls), "arls")
+        if listed:
+            every = listed[0] if len(listed) == 1 else listed[0].union(listed[1]).distinct()
+            found["listed"] = save(every, "listed")
+        return cls(**found, entries=entries)
+
+    @classmethod
+    def read(cls, spark: SparkSession, cpcodes: str | None = None, accounts: str | None = None,
+             vmns: str | None = None, arls: str | None = None, only: Sequence[str] | None = None) -> Lists:
+        """From files."""
+        paths = {"cpcodes": cpcodes, "accounts": accounts, "vmns": vmns, "arls": arls}
+        return cls.of(**{k: config_lines(spark, p) for k, p in paths.items() if p}, only=only)
+
+    def labels(self, split_by: str, both: bool) -> DataFrame | None:
+        """``shard label`` of the shards of a split, and of their miss copies."""
+        if split_by == "cpcode":
+            rows = self.cpcodes.select(F.col("position").alias("shard"), F.col("cpcode").cast("string").alias("label"))
+        elif split_by == "account":
+            rows = self.names.select(F.col("account_id").alias("shard"), F.col("account").alias("label"))
+        elif split_by == "vmn":
+            rows = self.vmns.select(F.col("id").alias("shard"), "label")
+        else:
+            return None
+        if both:
+            base = self.split_size(split_by)
+            rows = rows.union(rows.select(F.col("shard") + base, F.concat("label", F.lit("^miss"))))
+        return rows
+
+    def split_size(self, split_by: str | None) -> int:
+        """Entries of the list that a split numbers its shards by."""
+        return self.entries.get({"cpcode": "cpcodes", "account": "names", "vmn": "vmns"}.get(split_by), 0)
