@@ -7,19 +7,24 @@ shard, and a curve has at most one row per second of the horizon.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cachecurve.config import SIZE_UNIT, TRAFFIC_BUCKET_S, FootprintConfig
 from cachecurve.functions.columns import shortfall
+from cachecurve.operators.distance import wide_sum
 from cachecurve.operators.filters import add_sample_buckets
 from cachecurve.operators.route import add_labels, label_map_network
 from cachecurve.operators.sequence import add_facts, copy_side
 
 _WIDE = "decimal(38,0)"
+#: Seconds of a block of a curve, as a power of two.
+RATE_BLOCK_BITS = 12
 
 
 def _sum_if(condition: Column, value: Column) -> Column:
@@ -142,16 +147,15 @@ def reuse_histogram(linked: DataFrame, parts: DataFrame) -> DataFrame:
     requests = linked.where("t is not null").select(
         "shard", "t", F.lit(1).cast("bigint").alias("requests"),
         F.col("stale").cast("bigint").alias("stale"), "bytes", "inflation",
-        zero.alias("dist_objects"), zero.alias("dist_bytes"))
+        zero.alias("dist_objects"), zero.alias("hi"), zero.alias("lo"))
     distances = parts.where("t >= 0").select(
         "shard", "t", zero.alias("requests"), zero.alias("stale"), zero.alias("bytes"),
-        zero.alias("inflation"), F.col("objects").alias("dist_objects"),
-        F.col("bytes").alias("dist_bytes"))
+        zero.alias("inflation"), F.col("objects").alias("dist_objects"), "hi", "lo")
     return requests.unionByName(distances).groupBy("shard", "t").agg(
         F.sum("requests").alias("requests"), F.sum("stale").alias("stale"),
         F.sum("bytes").alias("bytes"), F.sum("inflation").alias("inflation"),
         F.sum("dist_objects").alias("dist_objects"),
-        F.sum(F.col("dist_bytes").cast(_WIDE)).cast(_WIDE).alias("dist_bytes"))
+        wide_sum(F.col("hi"), F.col("lo")).cast(_WIDE).alias("dist_bytes"))
 
 
 def mean_distance(histogram: DataFrame) -> DataFrame:
@@ -180,77 +184,183 @@ def raw_curve(histogram: DataFrame, transitions: DataFrame | None,
 
 
 def hit_rate_curve(curve: DataFrame, totals: DataFrame) -> DataFrame:
-    """Request and byte hit rates in percent when objects are kept for ``t`` seconds."""
-    upto = Window.partitionBy("shard").orderBy("t") \
+    """Request and byte hit rates in percent when objects are kept for ``t`` seconds.
+
+    Sums run within blocks of seconds, so that a long curve spreads over tasks; what lies
+    before a block comes from the few sums of the blocks of its shard.
+    """
+    rows = curve.select("shard", "t", "requests", "bytes",
+                        F.shiftright("t", RATE_BLOCK_BITS).alias("_block"))
+    earlier = Window.partitionBy("shard").orderBy("_block") \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    blocks = rows.groupBy("shard", "_block").agg(F.sum("requests").alias("n"), F.sum("bytes").alias("b"))
+    zero = F.lit(0).cast("bigint")
+    before = blocks.select("shard", "_block", F.coalesce(F.sum("n").over(earlier), zero).alias("_n_before"),
+                           F.coalesce(F.sum("b").over(earlier), zero).alias("_b_before"))
+    before = before.join(totals.select("shard", F.col("requests").alias("_n"),
+                                       F.col("bytes").alias("_b")), "shard")
+    upto = Window.partitionBy("shard", "_block").orderBy("t") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    share = curve.join(totals.select("shard", F.col("requests").alias("_n"),
-                                     F.col("bytes").alias("_b")), "shard")
-    return share.select(
-        "shard", "t",
-        F.try_divide(F.sum("requests").over(upto) * 100.0, F.col("_n")).alias("request_hit_pct"),
-        F.try_divide(F.sum("bytes").over(upto) * 100.0, F.col("_b")).alias("byte_hit_pct"))
+
+    def share(column: str, start: str, whole: str) -> Column:
+        return F.try_divide((F.sum(column).over(upto) + F.col(start)) * 100.0, F.col(whole))
+
+    return rows.join(before, ["shard", "_block"]).select(
+        "shard", "t", share("requests", "_n_before", "_n").alias("request_hit_pct"),
+        share("bytes", "_b_before", "_b").alias("byte_hit_pct"))
 
 
 _CARRIED = ["requests", "bytes", "transition_bytes", "transition_requests"]
+_CURVE_COLUMNS = ["shard", "t", "std_mib", "std_objects", *_CARRIED]
+_CURVE_SCHEMA = "shard int, t int, " + ", ".join(f"{c} bigint" for c in _CURVE_COLUMNS[2:])
+#: Rows after a kept one that are looked at one by one before a search by ever longer steps.
+_NEAR_ROWS = 6
 
 
-def _thin(jump: float):
-    """Walk sorted curve rows in Arrow batches, keeping only the open row's state."""
+def _first_that(passes: Callable[[int], bool], fails: int, guess: int) -> int:
+    """The least number above ``fails`` that passes a test which all greater ones pass too."""
+    if guess > fails and passes(guess):
+        if not passes(guess - 1):
+            return guess
+        low, high = fails, guess
+    else:
+        low, high = max(guess, fails), max(guess, fails) + 1
+        while not passes(high):
+            low, high = high, 2 * high - fails + 1
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (low, middle) if passes(middle) else (middle, high)
+    return high
+
+
+def print_bounds(t: int, size: int, jump: float) -> tuple[int, int, int]:
+    """What a row must reach to be kept after a kept row: the seconds, or the size from above,
+    or the size from below (-1: it cannot)."""
+    late = t + 1
+    if t:
+        late = _first_that(lambda v: (v - t) * 100.0 / t > jump, t, t + int(t * jump / 100.0) + 1)
+    if not size:
+        return late, 1, -1
+    step = math.ceil(size * jump / 100.0)
+    large = _first_that(lambda v: (v - size) * 100.0 / size >= jump, size, size + step)
+    small = -1
+    if 100.0 >= jump:
+        small = size - _first_that(lambda v: v * 100.0 / size >= jump, 0, min(step, size))
+    return late, large, small
+
+
+def _next_kept(t: np.ndarray, size: np.ndarray, start: int, bounds: tuple[int, int, int]) -> int:
+    """The first row from ``start`` on that reaches a bound, or the end. Seconds rise, so theirs is
+    found by bisection; sizes before it are searched in steps that grow."""
+    late, large, small = bounds
+    stop = start + int(np.searchsorted(t[start:], late))
+    at = min(start + _NEAR_ROWS, stop)
+    for k, value in enumerate(size[start:at].tolist(), start):
+        if value >= large or value <= small:
+            return k
+    step = 64
+    while at < stop:
+        part = size[at:min(at + step, stop)]
+        reached = (part >= large) | (part <= small)
+        k = int(reached.argmax())
+        if reached[k]:
+            return at + k
+        at, step = at + step, 4 * step
+    return stop
+
+
+class _Thinner:
+    """Walks the sorted rows of shards from kept row to kept row; between batches it holds the
+    last kept row, the last row and the sums since."""
+
+    def __init__(self, jump: float):
+        self.jump = jump
+        self.shard = None
+        self.reset()
+
+    def reset(self) -> None:
+        self.bounds: tuple[int, int, int] | None = None
+        self.last: tuple[int, ...] | None = None
+        self.pending = np.zeros(len(_CARRIED), np.int64)
+
+    def rest(self) -> list[np.ndarray]:
+        """The last row of a shard, if anything has come since the kept one."""
+        if self.last is None or self.pending[0] <= 0:
+            return []
+        return [np.array([[self.shard, *self.last, *self.pending]], np.int64)]
+
+    def kept_rows(self, t: np.ndarray, size: np.ndarray) -> list[int]:
+        found, at = [], 0
+        if self.bounds is None:
+            if 100.0 < self.jump:
+                return []
+            found.append(0)
+        else:
+            at = _next_kept(t, size, 0, self.bounds)
+            if at == len(t):
+                return []
+            found.append(at)
+        while True:
+            k = found[-1]
+            self.bounds = print_bounds(int(t[k]), int(size[k]), self.jump)
+            at = _next_kept(t, size, k + 1, self.bounds)
+            if at == len(t):
+                return found
+            found.append(at)
+
+    def run(self, rows: np.ndarray) -> list[np.ndarray]:
+        """Kept rows of neighbouring rows of one shard, with the sums since the kept one before."""
+        kept = self.kept_rows(rows[:, 1], rows[:, 2])
+        sums = np.concatenate((np.zeros((1, len(_CARRIED)), np.int64), np.cumsum(rows[:, 4:], axis=0)))
+        marks = sums[[0, *(k + 1 for k in kept), len(rows)]]
+        between = np.diff(marks, axis=0)
+        between[0] += self.pending
+        self.pending = between[-1]
+        self.last = tuple(rows[-1, 1:4].tolist())
+        return [np.column_stack((rows[kept, :4], between[:-1]))] if kept else []
+
+    def batch(self, rows: np.ndarray) -> list[np.ndarray]:
+        out = []
+        borders = np.flatnonzero(np.diff(rows[:, 0])) + 1
+        for part in np.split(rows, borders):
+            if part[0, 0] != self.shard:
+                out += self.rest()
+                self.shard = int(part[0, 0])
+                self.reset()
+            out += self.run(part)
+        return out
 
-    def change(now: int, before: int) -> float:
-        if before:
-            return abs((now - before) * 100.0 / before)
-        return float("inf") if now else 0.0
 
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shard = printed = last = None
-        pending = [0, 0, 0, 0]
-        out: list[tuple] = []
+def _thin(jump: float):
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        thinner = _Thinner(jump)
 
-        def flush():
-            if last is not None and pending[0] > 0:
-                out.append((*last, *pending))
+        def made(parts: list[np.ndarray]) -> pa.RecordBatch:
+            rows = np.concatenate([np.empty((0, len(_CURVE_COLUMNS)), np.int64), *parts])
+            kinds = [pa.int32(), pa.int32(), *[pa.int64()] * (len(_CURVE_COLUMNS) - 2)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(rows[:, k]).cast(kind) for k, kind in enumerate(kinds)], _CURVE_COLUMNS)
 
         for batch in batches:
-            out = []
-            for row in batch.itertuples(index=False):
-                if row.shard != shard:
-                    flush()
-                    shard, printed, last, pending = row.shard, None, None, [0, 0, 0, 0]
-                pending = [p + getattr(row, c) for p, c in zip(pending, _CARRIED)]
-                last = (shard, row.t, row.std_mib, row.std_objects)
-                if printed is None:
-                    prints = 100.0 >= jump
-                else:
-                    prints = (printed[0] == 0 or change(row.t, printed[0]) > jump
-                              or (bool(printed[1] or row.std_mib)
-                                  and change(row.std_mib, printed[1]) >= jump))
-                if prints:
-                    out.append((*last, *pending))
-                    printed, pending = (row.t, row.std_mib), [0, 0, 0, 0]
-            yield pd.DataFrame(out, columns=_CURVE_COLUMNS)
-        out = []
-        flush()
-        yield pd.DataFrame(out, columns=_CURVE_COLUMNS)
+            if batch.num_rows:
+                yield made(thinner.batch(np.column_stack(
+                    [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns])))
+        yield made(thinner.rest())
 
     return walk
 
 
-_CURVE_COLUMNS = ["shard", "t", "std_mib", "std_objects", *_CARRIED]
-_CURVE_SCHEMA = "shard int, t int, " + ", ".join(f"{c} bigint" for c in _CURVE_COLUMNS[2:])
-
-
 def thin_curve(curve: DataFrame, jump: float) -> DataFrame:
     """Drop rows that change little against the last kept one; what they held goes
     to the next kept row, and the last row of a shard keeps the remainder.
 
     The walk is sequential by definition. It reads aggregated curves, sorted within
-    a task, and holds one row per shard.
+    a task, goes from kept row to kept row, and holds one row per shard.
     """
     if jump <= 0:
         return curve.select(*_CURVE_COLUMNS)
     return curve.select(*_CURVE_COLUMNS).repartition("shard").sortWithinPartitions("shard", "t") \
-        .mapInPandas(_thin(jump), _CURVE_SCHEMA)
+        .mapInArrow(_thin(jump), _CURVE_SCHEMA)
 
 
 # --- shard rows, scaling and output -----------------------------------------------------

@@ -16,11 +16,13 @@ slice (``q`` = slice of p, ``s`` = slice of the access):
 3. j in an earlier slice, p(j) in a later slice than q: a sum over (q, s) cells.
 
 1 and 2 work on one slice at a time, at most ``slice_rows`` rows, and the slice reads
-3 from its cells. 3 works on the counts per cell: every cell is added to the binary
-blocks of slices that hold its s, summed per (block, q), summed over q from the right,
-and read back by the cells.
+3 from its cells. 3 works on the counts per cell: all cells of all slices are laid out, those without rows as
+zeros, and summed over the earlier s of each q and then over the later q of each s.
+Slices grow with the square root of the rows, so cells stay far fewer than rows.
+
 All parts are additive, so a histogram can sum them without bringing the parts of
-one request together.
+one request together. Byte sums over many slices pass 2**63, so they are kept in two
+halves, ``hi * 2**32 + lo``; only a distance itself must fit a bigint.
 """
 
 from __future__ import annotations
@@ -29,21 +31,23 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cachecurve.config import FootprintConfig
 from cachecurve.operators.sequence import slice_bits
 from cachecurve.scratch import save
 
-_PART_SCHEMA = "at bigint, shard int, t int, objects bigint, bytes bigint"
+_PART_SCHEMA = "at bigint, shard int, t int, objects bigint, hi bigint, lo bigint"
 _NONE = -1
+_LOW = (1 << 32) - 1
 
 
 def nested_before(values: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each element, number and weight of the earlier elements of greater value.
 
-    Values are distinct. Indexes, padded to a power of two, are taken by falling value
+    Values are distinct; ``weights`` has a row for each kind of weight, and so has the
+    result. Indexes, padded to a power of two, are taken by falling value
     and split by their bits, highest first. Each block then holds one aligned range of
     indexes, its lower half precedes its upper half in the input, and what stands before
     an upper index within the block is greater.
@@ -52,9 +56,9 @@ def nested_before(values: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray,
     bits = max(n - 1, 0).bit_length()
     width = 1 << bits
     order = np.concatenate((np.argsort(values)[::-1], np.arange(n, width)))
-    weights = np.concatenate((weights, np.zeros(width - n, np.int64)))
+    weights = np.concatenate((weights, np.zeros((len(weights), width - n), np.int64)), axis=1)
     counts = np.zeros(width, np.int64)
-    sums = np.zeros(width, np.int64)
+    sums = np.zeros((len(weights), width), np.int64)
     for bit in range(bits - 1, -1, -1):
         half = 1 << bit
         blocks = width >> (bit + 1)
@@ -62,114 +66,136 @@ def nested_before(values: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray,
         at = np.flatnonzero(is_upper)
         upper, lower = order[at], order[~is_upper]
         greater = (at & (2 * half - 1)) - (np.arange(len(at)) & (half - 1))
-        running = np.zeros((blocks, half + 1), np.int64)
-        np.cumsum(weights[lower].reshape(blocks, half), axis=1, out=running[:, 1:])
         counts[upper] += greater
-        sums[upper] += running.ravel()[np.repeat(np.arange(blocks) * (half + 1), half) + greater]
+        running = np.zeros((blocks, half + 1), np.int64)
+        for weight, total in zip(weights, sums):
+            np.cumsum(weight[lower].reshape(blocks, half), axis=1, out=running[:, 1:])
+            total[upper] += running.ravel()[np.repeat(np.arange(blocks) * (half + 1), half) + greater]
         order = np.concatenate((lower.reshape(blocks, half), upper.reshape(blocks, half)),
                                axis=1).ravel()
-    return counts[:n], sums[:n]
+    return counts[:n], sums[:, :n]
+
+
+def limbs(weights: np.ndarray) -> np.ndarray:
+    """The weights as rows whose sums over all of them fit 64 bits: themselves, or their lower
+    and upper 32 bits."""
+    if len(weights) * int(weights.max(initial=0)) < 1 << 62:
+        return weights[None, :]
+    return np.stack((weights & _LOW, weights >> 32))
+
+
+def halves(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Upper and lower half of sums of ``limbs``."""
+    high = sums[0] >> 32
+    return high if len(sums) == 1 else high + sums[1], sums[0] & _LOW
 
 
 def _slice_parts(bits: int) -> Callable[..., pd.DataFrame]:
-    def parts(rows: pd.DataFrame, cells: pd.DataFrame | None = None) -> pd.DataFrame:
+    def parts(rows: pd.DataFrame, cells: pd.DataFrame) -> pd.DataFrame:
+        if not len(rows):
+            return pd.DataFrame([], columns=["at", "shard", "t", "objects", "hi", "lo"])
         rows = rows.sort_values("pos")
         pos, prev, nxt, weight, shard, t, next_t = (
             rows[c].to_numpy() for c in ("pos", "prev", "nxt", "w", "shard", "t", "next_t"))
-        running = np.cumsum(weight)
+        weight = limbs(weight)
+        running = np.cumsum(weight, axis=1)
         first = (pos[0] >> bits) << bits
 
         # Accesses of this slice that look back.
         back = np.flatnonzero(prev != _NONE)
-        i, p, own_weight = pos[back], prev[back], weight[back]
+        i, p, own_weight = pos[back], prev[back], weight[:, back]
         inner, inner_w = nested_before(p, own_weight)
         apart = i != p + 1
         objects = i - p - 1 - inner + apart
-        size = running[back] - own_weight - inner_w + apart * own_weight
+        size = running[:, back] - own_weight - inner_w + apart * own_weight
         here = np.flatnonzero(p >= first)
-        size[here] -= running[np.searchsorted(pos, p[here])]
+        size[:, here] -= running[:, np.searchsorted(pos, p[here])]
+        high, low = halves(size)
         far = np.flatnonzero(p < first)
         if len(far):
             cells = cells.sort_values("q")
             cell = np.searchsorted(cells["q"].to_numpy(), p[far] >> bits)
             objects[far] += cells["objects"].to_numpy()[cell]
-            size[far] += cells["bytes"].to_numpy()[cell]
+            high[far] += cells["hi"].to_numpy()[cell]
+            low[far] += cells["lo"].to_numpy()[cell]
         own = pd.DataFrame({"at": i, "shard": shard[back], "t": t[back], "objects": objects,
-                            "bytes": size})
+                            "hi": high, "lo": low})
 
         # Accesses of this slice that are looked back to from a later slice.
         if (nxt >> bits).max() <= first >> bits:
             return own
         ahead = np.flatnonzero(nxt != _NONE)
         ahead = ahead[np.lexsort((pos[ahead], nxt[ahead] >> bits))]
-        outer, outer_w = nested_before(pos[ahead], weight[ahead])
+        outer, outer_w = nested_before(pos[ahead], weight[:, ahead])
         leaves = (nxt[ahead] >> bits) > (first >> bits)
         k = ahead[leaves]
-        passed = pd.DataFrame({
-            "at": nxt[k], "shard": shard[k], "t": next_t[k],
-            "objects": -outer[leaves], "bytes": -outer_w[leaves] - running[k]})
+        high, low = halves(-outer_w[:, leaves] - running[:, k])
+        passed = pd.DataFrame({"at": nxt[k], "shard": shard[k], "t": next_t[k],
+                               "objects": -outer[leaves], "hi": high, "lo": low})
         return pd.concat([own, passed], ignore_index=True)
 
     return parts
 
 
-#: Sums over all slices pass 2**63; only their differences are put back into a bigint.
-_WIDE = "decimal(38,0)"
+def high_half(column: str) -> Column:
+    return F.shiftright(column, 32)
+
+
+def low_half(column: str) -> Column:
+    return F.col(column).bitwiseAND(F.lit(_LOW))
+
+
+def carried(rows: DataFrame, high: str, low: str) -> DataFrame:
+    """The same numbers with a lower half of 32 bits, so that sums of it have room."""
+    return rows.withColumns({high: F.col(high) + high_half(low), low: low_half(low)})
+
+
+def wide_sum(high: Column, low: Column) -> Column:
+    """A sum of halves as a decimal of any size."""
+    return F.sum(high).cast("decimal(38,0)") * F.lit(1 << 32).cast("decimal(10,0)") + F.sum(low).cast("decimal(38,0)")
 
 
 def _cells(linked: DataFrame, bits: int) -> DataFrame:
-    """Re-references per (slice of the previous access, slice of the access)."""
-    return linked.where("prev_pos is not null") \
-        .groupBy(F.shiftright("prev_pos", bits).alias("q"), F.col("slice").alias("s")) \
-        .agg(F.count("*").alias("n"), F.sum(F.col("obj_size").cast(_WIDE)).alias("w"))
-
-
-def _cell_sums(cells: DataFrame, levels: int) -> DataFrame:
-    """For each cell (q, s) with q < s: count and weight of the cells that lie in
-    later q and earlier s. Work per cell is the bit length of the slice number."""
-    level = F.explode(F.sequence(F.lit(0), F.lit(levels - 1))).alias("level")
-    spread = cells.select("q", "s", "n", "w", level) \
-        .withColumns({"upper": F.expr("shiftright(s, level) & 1 = 1"),
-                      "block": F.expr("shiftright(s, level + 1)")})
-    asks = spread.where("upper and q < s").select("level", "block", "q", "s")
-    nodes = spread.groupBy("level", "block", "q").agg(
-        F.sum(F.when(~F.col("upper"), F.col("n")).otherwise(0)).alias("n"),
-        F.sum(F.when(~F.col("upper"), F.col("w")).otherwise(0)).alias("w"))
-    # At most one row per slice in a block.
-    later = Window.partitionBy("level", "block").orderBy(F.desc("q")) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    nodes = nodes.select("level", "block", "q", F.coalesce(F.sum("n").over(later), F.lit(0))
-                         .alias("n"), F.coalesce(F.sum("w").over(later), F.lit(0)).alias("w"))
-    return asks.join(nodes, ["level", "block", "q"]).groupBy("q", "s") \
-        .agg(F.sum("n").alias("n"), F.sum("w").alias("w"))
-
-
-def cell_base(linked: DataFrame, cfg: FootprintConfig, slices: int) -> DataFrame:
+    """Requests and weight per (slice of the previous access, slice of the access); first
+    accesses have no ``q``, so the weight of a slice is the sum over all its ``q``."""
+    cells = linked.groupBy(F.shiftright("prev_pos", bits).alias("q"), F.col("slice").alias("s")).agg(
+        F.count("*").alias("n"), F.sum(high_half("obj_size")).alias("hi"),
+        F.sum(low_half("obj_size")).alias("lo"))
+    return save(carried(cells, "hi", "lo"), "cells")
+
+
+def cell_base(linked: DataFrame, cfg: FootprintConfig) -> DataFrame:
     """What every re-reference of a cell (q, s), q < s, has in common: the weight of
-    slices q to s - 1 and, taken off, the sums of part 3. Cells and slice weights are
-    saved, as each is read more than once and is far smaller than the accesses."""
-    weights = linked.groupBy(F.col("slice").alias("_slice")) \
-        .agg(F.sum(F.col("obj_size").cast(_WIDE)).alias("_w"))
-    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    prefix = save(weights.select("_slice", F.coalesce(F.sum("_w").over(before), F.lit(0))
-                                 .alias("_pw")), "slice_weights")  # one row per slice
-    at_q = prefix.select(F.col("_slice").alias("q"), F.col("_pw").alias("_pq"))
-    at_s = prefix.select(F.col("_slice").alias("s"), F.col("_pw").alias("_ps"))
-    cells = save(_cells(linked, slice_bits(cfg)), "cells")
-    sums = _cell_sums(cells, max(slices - 1, 1).bit_length())
-    crossing = cells.where("q < s").select("q", "s").join(at_q, "q").join(at_s, "s")
-    return crossing.join(sums, ["q", "s"], "left").select(
-        F.col("s").alias("slice"), F.col("q"),
-        (-F.coalesce("n", F.lit(0))).alias("objects"),
-        (F.col("_ps") - F.col("_pq") - F.coalesce("w", F.lit(0))).cast("bigint").alias("bytes"))
-
-
-def distance_parts(linked: DataFrame, cells: DataFrame | None, cfg: FootprintConfig) -> DataFrame:
+    slices q to s - 1 and, taken off, the sums of part 3.
+
+    Two windows over the laid-out cells, each over as many rows as there are slices. The cells are read twice and saved,
+    being far smaller than the accesses.
+    """
+    cells = _cells(linked, slice_bits(cfg))
+    weights = carried(cells.groupBy("s").agg(F.sum("hi").alias("whi"), F.sum("lo").alias("wlo")), "whi", "wlo")
+    zero = F.lit(0).cast("bigint")
+    laid = weights.select(F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("s"))).alias("q"), "s",
+                          zero.alias("n"), zero.alias("hi"), zero.alias("lo"), "whi", "wlo")
+    taken = cells.where("q is not null").select("q", "s", "n", "hi", "lo", zero.alias("whi"), zero.alias("wlo"))
+    names = ("n", "hi", "lo", "whi", "wlo")
+    grid = laid.unionByName(taken).repartition("q").groupBy("q", "s").agg(*[F.sum(c).alias(c) for c in names])
+
+    earlier = Window.partitionBy("q").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    grid = grid.select("q", "s", (F.col("n") > 0).alias("met"),
+                       *[F.coalesce(F.sum(c).over(earlier), zero).alias(c) for c in names])
+    later = Window.partitionBy("s").orderBy(F.desc("q")).rowsBetween(Window.unboundedPreceding, -1)
+    sums = [F.coalesce(F.sum(c).over(later), zero).alias(f"{c}_later") for c in ("n", "hi", "lo")]
+    return carried(grid, "hi", "lo").select("q", "s", "met", "whi", "wlo", *sums) \
+        .where("met and q < s").select(
+        F.col("s").alias("slice"), "q", (-F.col("n_later")).alias("objects"),
+        (F.col("whi") - F.col("hi_later")).alias("hi"), (F.col("wlo") - F.col("lo_later")).alias("lo"))
+
+
+def distance_parts(linked: DataFrame, cfg: FootprintConfig) -> DataFrame:
     """Additive parts of the distances: the sum over ``at`` (the position of the
-    re-reference) of ``objects`` and ``bytes`` is its stack distance.
+    re-reference) of ``objects``, and of ``hi`` and ``lo``, is its stack distance.
 
-    ``cells`` is the ``cell_base``, needed with more than one slice. A slice meets at
-    most as many cells as it has accesses.
+    A slice meets at most as many cells as it has accesses.
     """
 
     def known(name: str):
@@ -179,14 +205,15 @@ def distance_parts(linked: DataFrame, cells: DataFrame | None, cfg: FootprintCon
         "slice", "pos", known("prev_pos").alias("prev"), known("next_pos").alias("nxt"),
         F.col("obj_size").alias("w"), "shard", known("t").alias("t"),
         known("next_t").alias("next_t")).groupBy("slice")
-    parts = _slice_parts(slice_bits(cfg))
-    if cells is None:
-        return per_slice.applyInPandas(lambda rows: parts(rows), _PART_SCHEMA)
-    return per_slice.cogroup(cells.groupBy("slice")).applyInPandas(
-        lambda rows, base: parts(rows, base), _PART_SCHEMA)
+    return per_slice.cogroup(cell_base(linked, cfg).groupBy("slice")) \
+        .applyInPandas(_slice_parts(slice_bits(cfg)), _PART_SCHEMA)
 
 
 def stack_distance(parts: DataFrame) -> DataFrame:
     """Distance of every re-reference, counted in the statistics or not."""
-    return parts.groupBy(F.col("at").alias("pos")).agg(
-        F.sum("objects").alias("dist_objects"), F.sum("bytes").alias("dist_bytes"))
+    sums = carried(parts.groupBy(F.col("at").alias("pos")).agg(
+        F.sum("objects").alias("dist_objects"), F.sum("hi").alias("hi"), F.sum("lo").alias("lo")), "hi", "lo")
+    fits = F.col("hi").between(-(1 << 31), (1 << 31) - 1)
+    too_large = F.raise_error(F.lit("a byte distance exceeds 64 bits")).cast("bigint")
+    return sums.select("pos", "dist_objects", F.when(
+        fits, F.shiftleft("hi", 32).bitwiseOR(F.col("lo"))).otherwise(too_large).alias("dist_bytes"))

@@ -20,6 +20,7 @@ from cachecurve.operators.route import add_labels, label_map_network
 from cachecurve.scratch import save
 
 _ROW_BITS = 33  # rows of a partition in monotonically_increasing_id
+PIECE_BITS = 17  # positions of a piece of the sequence
 
 
 def slice_bits(cfg: FootprintConfig) -> int:
@@ -89,11 +90,6 @@ def order_requests(routed: DataFrame, cfg: FootprintConfig, tiebreak: tuple[str,
     return global_positions(rows, order, "ordered", columns, cfg.partitions)
 
 
-def stack_request_count(ordered: DataFrame) -> int:
-    """Number of requests that reach the stack; reads one boolean column."""
-    return ordered.where("access").count()
-
-
 def compute_start(cfg: FootprintConfig) -> Column:
     """Second at which a shard's statistics start, from its ``first_ts``."""
     first = F.col("first_ts").cast("bigint")
@@ -102,16 +98,39 @@ def compute_start(cfg: FootprintConfig) -> Column:
     return first + cfg.prewarm_s
 
 
-def shard_facts(ordered: DataFrame, cfg: FootprintConfig) -> DataFrame:
+def piece(pos: str = "pos") -> Column:
+    return F.shiftright(pos, PIECE_BITS)
+
+
+def shard_pieces(ordered: DataFrame, cfg: FootprintConfig) -> DataFrame:
+    """Bounds and accesses of every shard within every piece of the sequence. Shards lie end to
+    end, so there is a row for a shard and one more for each piece border inside one."""
+    bounds = [F.min("ts").alias("first"), F.max("ts").alias("last")]
+    if cfg.num_shards:
+        by_order = F.struct("route_key", "ts")
+        bounds = [F.min(by_order).alias("first"), F.max(by_order).alias("last")]
+    return save(ordered.groupBy(piece().alias("piece"), "shard").agg(
+        *bounds, F.min(F.when(F.col("access"), F.col("pos"))).alias("first_pos"),
+        _counted(F.col("access")).alias("accesses")), "pieces")
+
+
+def _counted(condition: Column) -> Column:
+    return F.count(F.when(condition, F.lit(1)))
+
+
+def stack_request_count(pieces: DataFrame) -> int:
+    """Number of requests that reach the stack."""
+    return pieces.agg(F.coalesce(F.sum("accesses"), F.lit(0))).first()[0]
+
+
+def shard_facts(pieces: DataFrame, cfg: FootprintConfig) -> DataFrame:
     """Per shard: time bounds of all its requests, first access position, start of
     statistics and the periods derived from them."""
-    first_ts, last_ts = F.min("ts"), F.max("ts")
+    first_ts, last_ts = F.min("first"), F.max("last")
     if cfg.num_shards:
-        by_order = F.struct("route_key", "ts")
-        first_ts, last_ts = F.min(by_order)["ts"], F.max(by_order)["ts"]
-    facts = ordered.groupBy("shard").agg(
-        first_ts.alias("first_ts"), last_ts.alias("last_ts"),
-        F.min(F.when(F.col("access"), F.col("pos"))).alias("first_pos"))
+        first_ts, last_ts = first_ts["ts"], last_ts["ts"]
+    facts = pieces.groupBy("shard").agg(
+        first_ts.alias("first_ts"), last_ts.alias("last_ts"), F.min("first_pos").alias("first_pos"))
     facts = facts.withColumn("compute_start", compute_start(cfg))
     last = F.col("last_ts")
     return facts.withColumns({
@@ -123,6 +142,11 @@ def shard_facts(ordered: DataFrame, cfg: FootprintConfig) -> DataFrame:
     })
 
 
+def piece_facts(pieces: DataFrame, facts: DataFrame) -> DataFrame:
+    """The facts of a shard on each of its pieces."""
+    return pieces.select("piece", "shard").join(facts, "shard")
+
+
 def configured_periods(cfg: FootprintConfig) -> dict[str, int]:
     return {
         "configured_start": cfg.start_s,
@@ -136,9 +160,10 @@ def configured_periods(cfg: FootprintConfig) -> dict[str, int]:
 
 def add_facts(rows: DataFrame, facts: DataFrame, cfg: FootprintConfig,
               *columns: str) -> DataFrame:
-    """``compute_start`` and further ``columns`` of each row's shard.
+    """``compute_start`` and further ``columns`` of each row's shard, from ``piece_facts``.
 
-    Without a prewarm period no row precedes its shard's start, and a start taken
+    Rows meet them by piece and shard, at most ``2 ** PIECE_BITS`` rows a key, so that a shard is spread
+    over tasks where Spark does not broadcast. Without a prewarm period no row precedes its shard's start, and a start taken
     from the configuration is a constant for this test; then only ``columns`` need
     the per-shard join.
     """
@@ -150,8 +175,9 @@ def add_facts(rows: DataFrame, facts: DataFrame, cfg: FootprintConfig,
     else:
         columns = (*columns, "compute_start")
     if columns:
-        table = facts.select(F.col("shard").alias("_shard"), *columns)
-        rows = rows.join(table, F.col("shard") == F.col("_shard")).drop("_shard")
+        table = facts.select(F.col("piece").alias("_piece"), F.col("shard").alias("_shard"), *columns)
+        rows = rows.join(table, (piece() == F.col("_piece")) & (F.col("shard") == F.col("_shard"))) \
+            .drop("_piece", "_shard")
     return rows if constant is None else \
         rows.withColumn("compute_start", F.lit(constant).cast("bigint"))
 
@@ -201,36 +227,33 @@ def stack_positions(admitted: DataFrame, cfg: FootprintConfig) -> DataFrame:
 
 
 def hot_objects(rows: DataFrame, cfg: FootprintConfig) -> DataFrame:
-    """Objects with more accesses in a shard than a slice has rows; there are at most
+    """Objects with more accesses in a shard than a slice has rows, saved; there are at most
     as many of them as slices. Counts are combined before the shuffle."""
-    return rows.groupBy("shard", "obj").agg(F.count("*").alias("_n")) \
-        .where(F.col("_n") > cfg.slice_rows) \
-        .select("shard", "obj", F.lit(True).alias("_hot"))
+    counts = rows.groupBy("shard", "obj").agg(F.count("*").alias("_n"))
+    return save(counts.where(F.col("_n") > cfg.slice_rows).select("shard", "obj", F.lit(True).alias("_hot")),
+                "hot_objects")
 
 
-def link_accesses(rows: DataFrame, cfg: FootprintConfig, hot: DataFrame | None) -> DataFrame:
+def link_accesses(rows: DataFrame, cfg: FootprintConfig) -> DataFrame:
     """Previous and next access of the same object, and its sticky size.
 
     Adds ``prev_pos``, ``prev_ts``, ``next_pos``, ``next_ts`` and ``obj_size`` (the
     object's first accepted size). Accesses of an object are brought together, but
-    those of ``hot`` objects slice by slice, so that no group exceeds ``slice_rows``;
+    those of hot objects slice by slice, so that no group exceeds ``slice_rows``;
     one row per hot object and slice carries the ends across.
     """
     rows = rows.drop("first_ts", "bypass", "prewarm") \
         .withColumn("slice", F.shiftright("pos", slice_bits(cfg)))
-    keys = ["shard", "obj"]
-    if hot is not None:
-        keys.append("_run")
-        rows = rows.join(hot, ["shard", "obj"], "left") \
-            .withColumn("_run", F.when(F.col("_hot"), F.col("slice")).otherwise(-1)).drop("_hot")
+    hot = hot_objects(rows, cfg)
+    keys = ["shard", "obj", "_run"]
+    rows = rows.join(hot, ["shard", "obj"], "left") \
+        .withColumn("_run", F.when(F.col("_hot"), F.col("slice")).otherwise(-1)).drop("_hot")
     within = Window.partitionBy(*keys).orderBy("pos")
     so_far = (Window.unboundedPreceding, Window.currentRow)
     linked = rows.withColumns({
         "prev_pos": F.lag("pos").over(within), "prev_ts": F.lag("ts").over(within),
         "next_pos": F.lead("pos").over(within), "next_ts": F.lead("ts").over(within),
         "obj_size": F.first("size").over(within.rowsBetween(*so_far))})
-    if hot is None:
-        return linked
     runs = rows.where("_run >= 0").groupBy(*keys).agg(
         F.min("pos").alias("_first_pos"), F.min_by("ts", "pos").alias("_first_ts"),
         F.max("pos").alias("_last_pos"), F.max_by("ts", "pos").alias("_last_ts"),

@@ -45,46 +45,39 @@ class Footprint:
         routed = save(self.routed, "routed") if self.cfg.stage_routed else self.routed
         return sequence.order_requests(routed, self.cfg, self.tiebreak, self.keep)
 
+    @cached_property
+    def pieces(self) -> DataFrame:
+        return sequence.shard_pieces(self.ordered, self.cfg)
+
     @cached_property
     def facts(self) -> DataFrame:
-        return save(sequence.shard_facts(self.ordered, self.cfg), "facts")
+        return save(sequence.shard_facts(self.pieces, self.cfg), "facts")
+
+    @cached_property
+    def piece_facts(self) -> DataFrame:
+        return save(sequence.piece_facts(self.pieces, self.facts), "piece_facts")
 
     @cached_property
     def requests(self) -> DataFrame:
         """Stack requests with ``seq``, ``prewarm`` and ``bypass``."""
-        rows = sequence.accesses(self.ordered, self.facts, self.cfg)
+        rows = sequence.accesses(self.ordered, self.piece_facts, self.cfg)
         admitted = sequence.admit(rows, self.sliced)
         return admitted if self.cfg.admission_pct >= 100 else save(admitted, "admitted")
 
     @cached_property
     def linked(self) -> DataFrame:
         stacked = sequence.stack_positions(self.requests, self.sliced)
-        hot = None
-        if self.slices > 1:
-            hot = save(sequence.hot_objects(stacked, self.sliced), "hot_objects")
-            hot = None if hot.isEmpty() else hot
-        linked = save(sequence.link_accesses(stacked, self.sliced, hot), "linked")
+        linked = save(sequence.link_accesses(stacked, self.sliced), "linked")
         return sequence.sampled_links(linked, self.cfg)
 
-    @cached_property
-    def stack_requests(self) -> int:
-        return sequence.stack_request_count(self.ordered)
-
     @cached_property
     def sliced(self) -> FootprintConfig:
         """The options with the slice size settled."""
-        return self.cfg.sliced(self.stack_requests)
-
-    @property
-    def slices(self) -> int:
-        return max(-(-self.stack_requests // self.sliced.slice_rows), 1)
+        return self.cfg.sliced(sequence.stack_request_count(self.pieces))
 
     @cached_property
     def distance_parts(self) -> DataFrame:
-        cells = None
-        if self.slices > 1:
-            cells = save(distance.cell_base(self.linked, self.sliced, self.slices), "cell_base")
-        return distance.distance_parts(self.linked, cells, self.sliced)
+        return distance.distance_parts(self.linked, self.sliced)
 
     @cached_property
     def distances(self) -> DataFrame:
@@ -92,7 +85,8 @@ class Footprint:
 
     @cached_property
     def histogram(self) -> DataFrame:
-        return describe.reuse_histogram(self.linked, self.distance_parts)
+        """One row per shard and second, saved for the curve and the hit rates."""
+        return save(describe.reuse_histogram(self.linked, self.distance_parts), "histogram")
 
     @cached_property
     def object_intervals(self) -> DataFrame:
@@ -105,7 +99,7 @@ class Footprint:
     @cached_property
     def summary(self) -> DataFrame:
         objects = None if self.cfg.prewarm_s > 0 else describe.distinct_objects(self.ordered)
-        skipped = describe.skipped_totals(self.ordered, self.facts, self.cfg) \
+        skipped = describe.skipped_totals(self.ordered, self.piece_facts, self.cfg) \
             if self.cfg.sample_at == "reduce" else None
         return save(describe.shard_summary(
             self.facts, self.totals, describe.stack_totals(self.linked),

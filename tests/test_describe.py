@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -39,6 +40,57 @@ def test_thinning_equals_the_scan(spark, jump):
         assert got == {s: k for s, c in curves.items() if (k := thin(c, jump))}
 
 
+@pytest.mark.parametrize("jump", [0.5, 5, 50, 100, 150])
+@pytest.mark.parametrize("batch", [1, 7, 64, 10_000])
+def test_walk_from_kept_row_to_kept_row(jump, batch):
+    """Long runs, steps and noise, across batch borders; sizes up to 2 ** 61."""
+    rng = random.Random(jump)
+    curves = {}
+    for shard in range(8):
+        size, rows = rng.choice([0, 1, 1000, 1 << 55]), []
+        for t in sorted(rng.sample(range(5000), rng.choice([1, 3, 300, 1200]))):
+            size = rng.choice([size] * 30 + [size * 2, size // 2, size + 1, max(size - 1, 0), size * 105 // 100, 0, 7])
+            rows.append((t, min(size, 1 << 61), rng.randint(0, 9), rng.randint(0, 3), 5, 1, rng.randint(0, 2)))
+        curves[shard] = rows
+    table = np.array([(s, *r) for s, c in curves.items() for r in c], np.int64)
+    thinner, parts = describe._Thinner(jump), []
+    for k in range(0, len(table), batch):
+        parts += thinner.batch(table[k:k + batch])
+    got = {}
+    for r in np.concatenate([np.empty((0, 8), np.int64), *parts, *thinner.rest()]).tolist():
+        got.setdefault(r[0], []).append(tuple(r[1:]))
+    assert got == {s: k for s, c in curves.items() if (k := thin(c, jump))}
+
+
+@pytest.mark.parametrize("jump", [0.1, 3, 5, 33.3, 100, 250])
+def test_bounds_are_those_of_the_rule(jump):
+    rng = random.Random(3)
+    for base in [1, 2, 3, 19, 20, 21, 400, 10**6, 2**53 + 1, 2**60 + 12345, *(rng.randrange(1, 1 << 45) for _ in range(200))]:
+        late, large, small = describe.print_bounds(base, base, jump)
+        def change(v):
+            return abs((v - base) * 100.0 / base)
+        assert change(late) > jump and not change(late - 1) > jump
+        assert change(large) >= jump and not change(large - 1) >= jump
+        assert small < 0 or change(small) >= jump
+        assert small + 1 >= base or not change(small + 1) >= jump
+    assert describe.print_bounds(0, 0, jump) == (1, 1, -1)
+
+
+def test_rates_run_over_blocks(spark):
+    rng = random.Random(8)
+    rows = [(s, t, rng.randint(0, 5), rng.randint(0, 90)) for s in (1, 2, 3)
+            for t in sorted(rng.sample(range(30_000), 40))]
+    curve = spark.createDataFrame(rows, "shard int, t int, requests bigint, bytes bigint")
+    totals = spark.createDataFrame([(1, 200, 9000), (2, 0, 0), (3, 500, 4500)], "shard int, requests bigint, bytes bigint")
+    whole = {r.shard: r for r in totals.collect()}
+    got = {(r.shard, r.t): (r.request_hit_pct, r.byte_hit_pct) for r in describe.hit_rate_curve(curve, totals).collect()}
+    for s, t, _, _ in rows:
+        n, b = (sum(r[k] for r in rows if r[0] == s and r[1] <= t) for k in (2, 3))
+        want = (n * 100.0 / whole[s].requests, b * 100.0 / whole[s].bytes) if s != 2 else (None, None)
+        assert got[s, t] == want
+    assert len(got) == len(rows)
+
+
 def test_thinning_keeps_sums(spark):
     rows = [(s, *r) for s, curve in _curves(9).items() for r in curve]
     df = spark.createDataFrame(rows, CURVE).where("requests > 0")

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cachecurve.config import FootprintConfig
-from cachecurve.operators.distance import nested_before
+from cachecurve.operators.distance import halves, limbs, nested_before, wide_sum
 from cachecurve.plans.footprint import Footprint
 from tests.lru_model import LruList, digest
 
@@ -39,12 +39,40 @@ def expected(rows, start=None):
 def test_nested_before_against_pairs(n):
     rng = np.random.default_rng(n)
     values = rng.permutation(3 * n)[:n]
-    weights = rng.integers(0, 1 << 40, n)
+    weights = rng.integers(0, 1 << 40, (2, n))
     counts, sums = nested_before(values, weights)
     for i in range(n):
         greater = values[:i] > values[i]
         assert counts[i] == greater.sum()
-        assert sums[i] == weights[:i][greater].sum()
+        assert (sums[:, i] == weights[:, :i][:, greater].sum(axis=1)).all()
+
+
+@pytest.mark.parametrize("slice_rows", [2, 16, 64, 128, 512, 1024, None])
+def test_sizes_whose_sums_exceed_64_bits(spark, slice_rows):
+    """1,000 requests of up to 2 ** 54 bytes weigh 2 ** 64 together, one slice of 512 of them 2 ** 63."""
+    rows = [(i, 1, i, f"o{i % 90}", (1 << 54) - i % 3) for i in range(1000)]
+    assert distances(spark, rows, slice_rows=slice_rows) == expected(rows)
+    rng = random.Random(slice_rows or 0)
+    mixed = [(k, s, ts, o, rng.choice([1, 1 << 31, (1 << 32) - 1, 1 << 54])) for k, s, ts, o, _ in
+             _random_trace(9, 500, 3, 40, 0.4)]
+    assert distances(spark, mixed, slice_rows=slice_rows) == expected(mixed)
+
+
+def test_a_distance_beyond_64_bits_is_an_error(spark):
+    rows = [(i, 1, i, f"o{i % 600}", 1 << 54) for i in range(1200)]
+    with pytest.raises(Exception, match="exceeds 64 bits"):
+        distances(spark, rows, slice_rows=64)
+    f = Footprint(requests_df(spark, rows), FootprintConfig(slice_rows=64), ("key",), ("key",))
+    whole = f.distance_parts.agg(wide_sum(F.col("hi"), F.col("lo")).alias("sum")).first()["sum"]
+    assert whole == 600 * (600 << 54)
+
+
+def test_halves():
+    weights = np.array([(1 << 62) + 5, 1, (1 << 40) + 7], np.int64)
+    high, low = halves(np.cumsum(limbs(weights), axis=1))
+    assert [(int(h) << 32) + int(v) for h, v in zip(high, low)] == \
+        [(1 << 62) + 5, (1 << 62) + 6, (1 << 62) + (1 << 40) + 13]
+    assert len(limbs(np.array([1, 2, 3]))) == 1 and len(limbs(np.array([], np.int64))) == 1
 
 
 @pytest.mark.parametrize("trace", ["AA", "ABA", "ABBA", "ABCBA", "ABCABC", "AAABAA"])
@@ -73,10 +101,10 @@ def _random_trace(seed, n, shards, objects, hot):
     return rows
 
 
-@pytest.mark.parametrize("slice_rows", [2, 16, 64, 1 << 20])
+@pytest.mark.parametrize("slice_rows", [2, 16, 64, 1 << 20, None])
 def test_random_traces_in_slices(spark, slice_rows):
     """Hot shard, hot object, tied timestamps; most re-references cross many slices."""
-    rows = _random_trace(slice_rows, 700, 4, 60, 0.4)
+    rows = _random_trace(slice_rows or 3, 700, 4, 60, 0.4)
     assert distances(spark, rows, slice_rows=slice_rows) == expected(rows)
 
 

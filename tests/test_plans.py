@@ -5,7 +5,7 @@ import re
 import pytest
 
 from cachecurve.config import FootprintConfig
-from cachecurve.operators import filters, profile
+from cachecurve.operators import describe, filters, profile, sequence
 from cachecurve.plans.footprint import Footprint
 from tests.test_distance import _random_trace, requests_df
 
@@ -29,12 +29,37 @@ def test_no_cross_joins_and_no_single_task(job, table):
 
 
 def test_histogram_shuffles_slices_and_sums_only(job):
-    physical = plan(job.histogram).split("== Physical Plan ==")[1]
+    built = describe.reuse_histogram(job.linked, job.distance_parts)
+    physical = plan(built).split("== Physical Plan ==")[1]
     keys = re.findall(r"Exchange hashpartitioning\(([a-z_]+)", physical)
-    assert sorted(keys) == ["shard", "slice", "slice"]
+    # the cells: laid out by q, summed by s, which is the slice they go to
+    assert sorted(keys) == ["q", "s", "s", "shard", "slice"]
     assert "partial_sum" in physical
 
 
+def test_curve_and_hit_rates_share_one_histogram(job):
+    assert "CoGroup" in plan(describe.reuse_histogram(job.linked, job.distance_parts))
+    for table in (job.curve, job.hit_rates, job.raw_curve):
+        assert "CoGroup" not in plan(table)
+
+
+def test_requests_meet_the_facts_of_their_shard_by_pieces(spark, job):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = sequence.add_facts(job.ordered, job.piece_facts, job.cfg, "first_pos")
+        physical = plan(rows).split("== Physical Plan ==")[1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", physical)
+    assert keys and not any(k.startswith("shard") for k in keys)
+
+
+def test_pieces_hold_each_shard_once_a_piece(job):
+    rows = job.pieces.collect()
+    assert len({(r.piece, r.shard) for r in rows}) == len(rows)
+    assert sum(r.accesses for r in rows) == job.ordered.where("access").count()
+
+
 def test_heads_are_cut_before_the_shuffle(job):
     for df in (profile.head_per_shard(job.ordered), profile.recency_rank(job.linked, 3)):
         assert "WindowGroupLimit" in plan(df)
