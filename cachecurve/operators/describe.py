@@ -20,7 +20,7 @@ from cachecurve.functions.columns import shortfall
 from cachecurve.operators.distance import wide_sum
 from cachecurve.operators.filters import add_sample_buckets
 from cachecurve.operators.route import add_labels, label_map_network
-from cachecurve.operators.sequence import add_facts, copy_side
+from cachecurve.operators.sequence import copy_side
 
 _WIDE = "decimal(38,0)"
 #: Seconds of a block of a curve, as a power of two.
@@ -76,17 +76,16 @@ def stack_totals(linked: DataFrame) -> DataFrame:
         _count_if(sampled).alias("rereferences"))
 
 
-def skipped_totals(ordered: DataFrame, facts: DataFrame, cfg: FootprintConfig) -> DataFrame:
+def skipped_totals(ordered: DataFrame) -> DataFrame:
     """Requests and bytes sampled out at this stage, after prewarm."""
-    rows = add_facts(ordered.where("sampled_out and size > 0"), facts, cfg)
+    rows = ordered.where("sampled_out and size > 0")
     return rows.where(F.col("ts").cast("bigint") >= F.col("compute_start")).groupBy("shard").agg(
         F.count("*").alias("skipped_requests"), F.sum("bytes").alias("skipped_bytes"))
 
 
-def distinct_objects(ordered: DataFrame) -> DataFrame:
+def distinct_objects(objects: DataFrame) -> DataFrame:
     """Distinct digests of a shard over all its requests, empty ones included."""
-    return ordered.select("shard", "obj").distinct().groupBy("shard") \
-        .agg(F.count("*").alias("distinct_objects"))
+    return objects.groupBy("shard").agg(F.count("*").alias("distinct_objects"))
 
 
 def serial_info(requests: DataFrame, linked: DataFrame) -> DataFrame:

@@ -6,19 +6,30 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def replica_counts(records: DataFrame, order: tuple[str, ...] = ("ts",)) -> DataFrame:
-    """Servers per (shard, object); the size is that of the object's first record.
-
-    Two combining aggregations: a hot object is reduced to one row per server before
-    it is shuffled by object.
-    """
+def server_rows(records: DataFrame, order: tuple[str, ...] = ("ts",)) -> DataFrame:
+    """A row for each server of an object, with the size and the place in ``order`` of its first
+    record there. A hot object is reduced to its servers before it is shuffled."""
     key = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    per_server = records.groupBy("shard", "obj", "ip").agg(
+    return records.groupBy("shard", "obj", "ip").agg(
         F.min(key).alias("first"), F.min_by("size", key).alias("size"))
-    return per_server.groupBy("shard", "obj").agg(
+
+
+def merged_servers(rows: DataFrame) -> DataFrame:
+    """One row for each server of an object from the rows of several parts."""
+    return rows.groupBy("shard", "obj", "ip").agg(
+        F.min("first").alias("first"), F.min_by("size", "first").alias("size"))
+
+
+def counts_of(servers: DataFrame) -> DataFrame:
+    """Servers per (shard, object); the size is that of the object's first record."""
+    return servers.groupBy("shard", "obj").agg(
         F.count("*").alias("copies"), F.min_by("size", "first").alias("size"))
 
 
+def replica_counts(records: DataFrame, order: tuple[str, ...] = ("ts",)) -> DataFrame:
+    return counts_of(server_rows(records, order))
+
+
 def replication_by_shard(counts: DataFrame) -> DataFrame:
     return counts.groupBy("shard", "copies").agg(
         F.count("*").alias("objects"), F.sum("size").alias("bytes"))

@@ -20,20 +20,19 @@ from cachecurve.operators.route import add_labels, label_map_network
 from cachecurve.scratch import save
 
 _ROW_BITS = 33  # rows of a partition in monotonically_increasing_id
-PIECE_BITS = 17  # positions of a piece of the sequence
 
 
 def slice_bits(cfg: FootprintConfig) -> int:
     return cfg.slice_rows.bit_length() - 1
 
 
-def global_positions(df: DataFrame, order: list[Column], name: str,
-                     columns: list[str | Column] | None = None,
-                     partitions: int | None = None) -> DataFrame:
-    """Save ``df`` in a total order with a dense global ``pos`` from 0.
+def number_rows(df: DataFrame, order: list[Column], name: str,
+                columns: list[str | Column] | None = None,
+                partitions: int | None = None) -> DataFrame:
+    """Save ``df`` in a total order with ``_part``, the number of its range, and ``_inside``, the
+    place in it.
 
-    Range partitioning splits hot shards at timestamps; the only unpartitioned
-    window runs over one row per partition. ``columns`` are what is saved; they are
+    Range partitioning splits hot shards at timestamps. ``columns`` are what is saved; they are
     computed behind the shuffle, and so not again while Spark samples range bounds.
     """
     if partitions:
@@ -42,15 +41,24 @@ def global_positions(df: DataFrame, order: list[Column], name: str,
         ranged = df.repartitionByRange(*order)
     numbered = save(ranged.sortWithinPartitions(*order).select(
         *(columns or df.columns), F.monotonically_increasing_id().alias("_rid")), name)
-    part = F.shiftright("_rid", _ROW_BITS)
-    sizes = numbered.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
+    return numbered.withColumns({
+        "_part": F.shiftright("_rid", _ROW_BITS),
+        "_inside": F.col("_rid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))}).drop("_rid")
+
+
+def global_positions(df: DataFrame, order: list[Column], name: str,
+                     columns: list[str | Column] | None = None,
+                     partitions: int | None = None) -> DataFrame:
+    """Save ``df`` in a total order with a dense global ``pos`` from 0. The only unpartitioned
+    window runs over one row per partition."""
+    numbered = number_rows(df, order, name, columns, partitions)
+    sizes = numbered.groupBy("_part").agg(F.count("*").alias("_rows"))
     # Saved so that its real size is known: a small table is then broadcast and the
     # numbered rows are not shuffled again.
     starts = save(running_starts(sizes, "_part"), "partition_starts")
-    inside = F.col("_rid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return numbered.join(starts, part == F.col("_part")) \
-        .withColumn("pos", F.col("_start") + inside) \
-        .drop("_rid", "_part", "_start")
+    return numbered.join(starts, "_part") \
+        .withColumn("pos", F.col("_start") + F.col("_inside")) \
+        .drop("_inside", "_part", "_start")
 
 
 def running_starts(sizes: DataFrame, key: str) -> DataFrame:
@@ -61,8 +69,9 @@ def running_starts(sizes: DataFrame, key: str) -> DataFrame:
 
 
 def order_requests(routed: DataFrame, cfg: FootprintConfig, tiebreak: tuple[str, ...] = (),
-                   keep: tuple[str, ...] = ()) -> DataFrame:
-    """Requests with ``obj``, ``access`` and ``pos``.
+                   keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """Requests with ``obj``, ``access``, ``pos`` and the facts of their shard, and the pieces
+    that these came from.
 
     ``access`` marks requests that reach the stack: positive size and not sampled
     out. They hold the positions from 0 on in (shard, ts, record text, tiebreak)
@@ -87,7 +96,16 @@ def order_requests(routed: DataFrame, cfg: FootprintConfig, tiebreak: tuple[str,
              F.col("ts"), F.col("md5"), record_tail(), *[F.col(c) for c in tiebreak]]
     kept = ["shard", "ts", "size", "bytes", "true_serial", "max_age", "sampled_out", "access"]
     columns = [*dict.fromkeys([*kept, *route_key, *keep]), object_id(F.col("md5")).alias("obj")]
-    return global_positions(rows, order, "ordered", columns, cfg.partitions)
+    numbered = number_rows(rows, order, "ordered", columns, cfg.partitions)
+    pieces = shard_pieces(numbered, cfg)
+    facts = pieces.select("_part", "shard", "_start", *SHARD_FACTS)
+    ordered = numbered.join(facts, ["_part", "shard"]) \
+        .withColumn("pos", F.col("_start") + F.col("_inside")).drop("_part", "_inside", "_start")
+    return ordered, pieces
+
+
+#: What requests are given of their shard.
+SHARD_FACTS = ("first_pos", "first_ts", "compute_start")
 
 
 def compute_start(cfg: FootprintConfig) -> Column:
@@ -98,24 +116,31 @@ def compute_start(cfg: FootprintConfig) -> Column:
     return first + cfg.prewarm_s
 
 
-def piece(pos: str = "pos") -> Column:
-    return F.shiftright(pos, PIECE_BITS)
+def shard_pieces(numbered: DataFrame, cfg: FootprintConfig) -> DataFrame:
+    """A row for every shard in every range of the order, saved: where the range starts, its
+    ``accesses`` and the facts of the whole shard; ``lead`` marks one row of a shard.
 
-
-def shard_pieces(ordered: DataFrame, cfg: FootprintConfig) -> DataFrame:
-    """Bounds and accesses of every shard within every piece of the sequence. Shards lie end to
-    end, so there is a row for a shard and one more for each piece border inside one."""
-    bounds = [F.min("ts").alias("first"), F.max("ts").alias("last")]
+    Shards lie end to end, so there are as many rows as shards and ranges together. Requests meet the
+    facts by range and shard, which bounds the rows of a key by a range; no shuffle is by shard alone.
+    """
+    bounds = [F.min("ts").alias("_first"), F.max("ts").alias("_last")]
     if cfg.num_shards:
         by_order = F.struct("route_key", "ts")
-        bounds = [F.min(by_order).alias("first"), F.max(by_order).alias("last")]
-    return save(ordered.groupBy(piece().alias("piece"), "shard").agg(
-        *bounds, F.min(F.when(F.col("access"), F.col("pos"))).alias("first_pos"),
-        _counted(F.col("access")).alias("accesses")), "pieces")
-
-
-def _counted(condition: Column) -> Column:
-    return F.count(F.when(condition, F.lit(1)))
+        bounds = [F.min(by_order).alias("_first"), F.max(by_order).alias("_last")]
+    pieces = numbered.groupBy("_part", "shard").agg(
+        *bounds, F.count("*").alias("_rows"), F.count(F.when(F.col("access"), 1)).alias("accesses"),
+        F.min(F.when(F.col("access"), F.col("_inside"))).alias("_access"))
+    pieces = save(pieces, "pieces")
+    starts = running_starts(pieces.groupBy("_part").agg(F.sum("_rows").alias("_rows")), "_part")
+    shard = Window.partitionBy("shard")
+    first_ts, last_ts = F.min("_first").over(shard), F.max("_last").over(shard)
+    if cfg.num_shards:
+        first_ts, last_ts = first_ts["ts"], last_ts["ts"]
+    found = pieces.join(starts, "_part").select(
+        "_part", "shard", "_start", "accesses", first_ts.alias("first_ts"), last_ts.alias("last_ts"),
+        F.min(F.col("_start") + F.col("_access")).over(shard).alias("first_pos"),
+        (F.col("_part") == F.min("_part").over(shard)).alias("lead"))
+    return save(found.withColumn("compute_start", compute_start(cfg)), "shard_pieces")
 
 
 def stack_request_count(pieces: DataFrame) -> int:
@@ -123,15 +148,10 @@ def stack_request_count(pieces: DataFrame) -> int:
     return pieces.agg(F.coalesce(F.sum("accesses"), F.lit(0))).first()[0]
 
 
-def shard_facts(pieces: DataFrame, cfg: FootprintConfig) -> DataFrame:
+def shard_facts(pieces: DataFrame) -> DataFrame:
     """Per shard: time bounds of all its requests, first access position, start of
     statistics and the periods derived from them."""
-    first_ts, last_ts = F.min("first"), F.max("last")
-    if cfg.num_shards:
-        first_ts, last_ts = first_ts["ts"], last_ts["ts"]
-    facts = pieces.groupBy("shard").agg(
-        first_ts.alias("first_ts"), last_ts.alias("last_ts"), F.min("first_pos").alias("first_pos"))
-    facts = facts.withColumn("compute_start", compute_start(cfg))
+    facts = pieces.where("lead").select("shard", "first_ts", "last_ts", "first_pos", "compute_start")
     last = F.col("last_ts")
     return facts.withColumns({
         "actual_start": F.col("first_ts").cast("bigint"),
@@ -142,11 +162,6 @@ def shard_facts(pieces: DataFrame, cfg: FootprintConfig) -> DataFrame:
     })
 
 
-def piece_facts(pieces: DataFrame, facts: DataFrame) -> DataFrame:
-    """The facts of a shard on each of its pieces."""
-    return pieces.select("piece", "shard").join(facts, "shard")
-
-
 def configured_periods(cfg: FootprintConfig) -> dict[str, int]:
     return {
         "configured_start": cfg.start_s,
@@ -158,34 +173,9 @@ def configured_periods(cfg: FootprintConfig) -> dict[str, int]:
     }
 
 
-def add_facts(rows: DataFrame, facts: DataFrame, cfg: FootprintConfig,
-              *columns: str) -> DataFrame:
-    """``compute_start`` and further ``columns`` of each row's shard, from ``piece_facts``.
-
-    Rows meet them by piece and shard, at most ``2 ** PIECE_BITS`` rows a key, so that a shard is spread
-    over tasks where Spark does not broadcast. Without a prewarm period no row precedes its shard's start, and a start taken
-    from the configuration is a constant for this test; then only ``columns`` need
-    the per-shard join.
-    """
-    constant = None
-    if cfg.prewarm_from_config:
-        constant = cfg.start_s + cfg.prewarm_s
-    elif cfg.prewarm_s == 0:
-        constant = -MAX_TIME_S
-    else:
-        columns = (*columns, "compute_start")
-    if columns:
-        table = facts.select(F.col("piece").alias("_piece"), F.col("shard").alias("_shard"), *columns)
-        rows = rows.join(table, (piece() == F.col("_piece")) & (F.col("shard") == F.col("_shard"))) \
-            .drop("_piece", "_shard")
-    return rows if constant is None else \
-        rows.withColumn("compute_start", F.lit(constant).cast("bigint"))
-
-
-def accesses(ordered: DataFrame, facts: DataFrame, cfg: FootprintConfig) -> DataFrame:
+def accesses(ordered: DataFrame) -> DataFrame:
     """Stack requests with request number ``seq`` (1.. per shard) and ``prewarm``."""
-    rows = add_facts(ordered.where("access"), facts, cfg, "first_pos", "first_ts")
-    return rows.withColumns({
+    return ordered.where("access").withColumns({
         "seq": F.col("pos") - F.col("first_pos") + 1,
         "prewarm": F.col("ts").cast("bigint") < F.col("compute_start"),
     }).drop("first_pos", "sampled_out", "access")
@@ -226,26 +216,27 @@ def stack_positions(admitted: DataFrame, cfg: FootprintConfig) -> DataFrame:
         .drop("slice", "_start", "_inside")
 
 
-def hot_objects(rows: DataFrame, cfg: FootprintConfig) -> DataFrame:
-    """Objects with more accesses in a shard than a slice has rows, saved; there are at most
-    as many of them as slices. Counts are combined before the shuffle."""
-    counts = rows.groupBy("shard", "obj").agg(F.count("*").alias("_n"))
-    return save(counts.where(F.col("_n") > cfg.slice_rows).select("shard", "obj", F.lit(True).alias("_hot")),
-                "hot_objects")
+def shard_objects(ordered: DataFrame) -> DataFrame:
+    """Digests of every shard over all its requests with their accesses, saved. Counts are
+    combined before the shuffle."""
+    return save(ordered.groupBy("shard", "obj").agg(F.count(F.when(F.col("access"), 1)).alias("accesses")),
+                "shard_objects")
 
 
-def link_accesses(rows: DataFrame, cfg: FootprintConfig) -> DataFrame:
+def link_accesses(rows: DataFrame, objects: DataFrame, cfg: FootprintConfig) -> DataFrame:
     """Previous and next access of the same object, and its sticky size.
 
     Adds ``prev_pos``, ``prev_ts``, ``next_pos``, ``next_ts`` and ``obj_size`` (the
-    object's first accepted size). Accesses of an object are brought together, but
-    those of hot objects slice by slice, so that no group exceeds ``slice_rows``;
-    one row per hot object and slice carries the ends across.
+    object's first accepted size). Accesses of an object are brought together, but those of a hot
+    object, which has more than a slice has rows, slice by slice, so that no group exceeds ``slice_rows``;
+    one row per hot object and slice carries the ends across. There are at most as many hot
+    objects as slices.
     """
     rows = rows.drop("first_ts", "bypass", "prewarm") \
         .withColumn("slice", F.shiftright("pos", slice_bits(cfg)))
-    hot = hot_objects(rows, cfg)
+    hot = objects.where(F.col("accesses") > cfg.slice_rows).select("shard", "obj", F.lit(True).alias("_hot"))
     keys = ["shard", "obj", "_run"]
+    hot_rows = rows.join(hot, ["shard", "obj"]).withColumn("_run", F.col("slice"))
     rows = rows.join(hot, ["shard", "obj"], "left") \
         .withColumn("_run", F.when(F.col("_hot"), F.col("slice")).otherwise(-1)).drop("_hot")
     within = Window.partitionBy(*keys).orderBy("pos")
@@ -254,7 +245,7 @@ def link_accesses(rows: DataFrame, cfg: FootprintConfig) -> DataFrame:
         "prev_pos": F.lag("pos").over(within), "prev_ts": F.lag("ts").over(within),
         "next_pos": F.lead("pos").over(within), "next_ts": F.lead("ts").over(within),
         "obj_size": F.first("size").over(within.rowsBetween(*so_far))})
-    runs = rows.where("_run >= 0").groupBy(*keys).agg(
+    runs = hot_rows.groupBy(*keys).agg(
         F.min("pos").alias("_first_pos"), F.min_by("ts", "pos").alias("_first_ts"),
         F.max("pos").alias("_last_pos"), F.max_by("ts", "pos").alias("_last_ts"),
         F.min_by("size", "pos").alias("_size"))

@@ -13,8 +13,17 @@ from cachecurve.operators import describe, distance, filters, route, sequence
 from cachecurve.scratch import save
 
 
+def check_options(requests: DataFrame, cfg: FootprintConfig) -> None:
+    """Options about lines, which parsed requests cannot follow any more, are an error here."""
+    if cfg.sample_pct < 100:
+        raise ValueError("sample_pct samples lines: run a FootprintJob or use sample_lines")
+    if cfg.servers and "server_index" not in requests.columns:
+        raise ValueError("servers needs the server of each line: run a FootprintJob or use keep_servers")
+
+
 def routed_requests(requests: DataFrame, cfg: FootprintConfig) -> DataFrame:
     """Classify, filter, sample and route parsed requests; all of it before a shuffle."""
+    check_options(requests, cfg)
     if "reject_reason" in requests.columns:
         requests = requests.where("reject_reason is null").drop("reject_reason")
     return route.route(filters.keep(filters.prepare(requests, cfg), cfg), cfg)
@@ -41,33 +50,36 @@ class Footprint:
             self.tiebreak = ("line_no",) if "line_no" in self.routed.columns else ()
 
     @cached_property
-    def ordered(self) -> DataFrame:
+    def _sequence(self) -> tuple[DataFrame, DataFrame]:
         routed = save(self.routed, "routed") if self.cfg.stage_routed else self.routed
         return sequence.order_requests(routed, self.cfg, self.tiebreak, self.keep)
 
-    @cached_property
+    @property
+    def ordered(self) -> DataFrame:
+        return self._sequence[0]
+
+    @property
     def pieces(self) -> DataFrame:
-        return sequence.shard_pieces(self.ordered, self.cfg)
+        return self._sequence[1]
 
     @cached_property
     def facts(self) -> DataFrame:
-        return save(sequence.shard_facts(self.pieces, self.cfg), "facts")
+        return sequence.shard_facts(self.pieces)
 
     @cached_property
-    def piece_facts(self) -> DataFrame:
-        return save(sequence.piece_facts(self.pieces, self.facts), "piece_facts")
+    def objects(self) -> DataFrame:
+        return sequence.shard_objects(self.ordered)
 
     @cached_property
     def requests(self) -> DataFrame:
         """Stack requests with ``seq``, ``prewarm`` and ``bypass``."""
-        rows = sequence.accesses(self.ordered, self.piece_facts, self.cfg)
-        admitted = sequence.admit(rows, self.sliced)
+        admitted = sequence.admit(sequence.accesses(self.ordered), self.sliced)
         return admitted if self.cfg.admission_pct >= 100 else save(admitted, "admitted")
 
     @cached_property
     def linked(self) -> DataFrame:
         stacked = sequence.stack_positions(self.requests, self.sliced)
-        linked = save(sequence.link_accesses(stacked, self.sliced), "linked")
+        linked = save(sequence.link_accesses(stacked, self.objects, self.sliced), "linked")
         return sequence.sampled_links(linked, self.cfg)
 
     @cached_property
@@ -98,8 +110,8 @@ class Footprint:
 
     @cached_property
     def summary(self) -> DataFrame:
-        objects = None if self.cfg.prewarm_s > 0 else describe.distinct_objects(self.ordered)
-        skipped = describe.skipped_totals(self.ordered, self.piece_facts, self.cfg) \
+        objects = None if self.cfg.prewarm_s > 0 else describe.distinct_objects(self.objects)
+        skipped = describe.skipped_totals(self.ordered) \
             if self.cfg.sample_at == "reduce" else None
         return save(describe.shard_summary(
             self.facts, self.totals, describe.stack_totals(self.linked),

@@ -38,13 +38,21 @@ def replication_records(requests: DataFrame, cfg: ReplicationConfig) -> DataFram
         {"shard": replication_shard(cfg), "obj": object_id(F.col("md5"))})
 
 
+def record_order(requests: DataFrame) -> tuple[str, ...]:
+    """What settles whose size an object has: time, then the place in the logs or,
+    without one, all other columns, so that equal times give no choice."""
+    place = [c for c in ("file", "block_start", "line_no") if c in requests.columns]
+    return ("ts", *(place or sorted(c for c in requests.columns
+                                    if c not in ("ts", "raw_ts", "reject_reason"))))
+
+
 def replication(requests: DataFrame, cfg: ReplicationConfig,
                 order: tuple[str, ...] | None = None) -> Replication:
-    """``order`` settles whose size an object has; by default time, then the place in the logs or,
-    without one, all other columns, so that equal times give no choice."""
-    if order is None:
-        place = [c for c in ("file", "block_start", "line_no") if c in requests.columns]
-        order = ("ts", *(place or sorted(c for c in requests.columns
-                                         if c not in ("ts", "raw_ts", "reject_reason"))))
-    counts = ops.replica_counts(replication_records(requests, cfg), order)
+    """Replication of parsed requests, whose ``ip`` is the server (``logs.add_server``)."""
+    if "ip" not in requests.columns:
+        raise ValueError("requests have no server: run a ReplicationJob or use add_server")
+    return from_counts(ops.replica_counts(replication_records(requests, cfg), order or record_order(requests)))
+
+
+def from_counts(counts: DataFrame) -> Replication:
     return Replication(counts, save(ops.replication_by_shard(counts), "replication"))

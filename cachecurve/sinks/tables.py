@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cachecurve.functions.columns import record_text
@@ -46,6 +46,7 @@ def replication_text(summary: DataFrame, dist: DataFrame) -> DataFrame:
     def two(name: str):
         return F.format_string("%.2f", name)
 
+    # The titles of the report.
     titles = [
         (0, "uniqueCount, totalCount, countReplFactor, uniqueSize, totalSize, sizeReplFactor"),
         (2, "CopyCount objectCount countFraction uniqueFootprintSize sizeFraction")]
@@ -58,6 +59,23 @@ def replication_text(summary: DataFrame, dist: DataFrame) -> DataFrame:
     return heads.unionByName(factors).unionByName(rows)
 
 
+def replication_shard_text(by_shard: DataFrame) -> DataFrame:
+    """The distribution of every shard, as ``copies objects bytes`` lines for ``write_text``."""
+    return by_shard.select(F.col("shard").cast("string").alias("label"), F.col("copies").alias("line_no"),
+                           F.concat_ws(" ", "copies", "objects", "bytes").alias("line"))
+
+
+def read_shard_text(spark: SparkSession, *paths: str) -> DataFrame:
+    """``shard copies objects bytes`` from files of ``replication_shard_text``; other lines fail."""
+    lines = spark.read.option("basePath", paths[0]).text(paths[0])
+    for path in paths[1:]:
+        lines = lines.unionByName(spark.read.option("basePath", path).text(path))
+    fields = F.split(F.trim("value"), r"\s+")
+    typed = [F.get(fields, F.lit(k)).cast("bigint").alias(name)
+             for k, name in enumerate(("copies", "objects", "bytes"))]
+    return lines.select(F.col("label").cast("int").alias("shard"), *typed)
+
+
 def routed_text(routed: DataFrame) -> DataFrame:
     """Routed records as text, for inspection and for a later run."""
     return routed.select("shard", record_text().alias("value"))

@@ -5,7 +5,7 @@ import re
 import pytest
 
 from cachecurve.config import FootprintConfig
-from cachecurve.operators import describe, filters, profile, sequence
+from cachecurve.operators import describe, filters, profile
 from cachecurve.plans.footprint import Footprint
 from tests.test_distance import _random_trace, requests_df
 
@@ -43,21 +43,21 @@ def test_curve_and_hit_rates_share_one_histogram(job):
         assert "CoGroup" not in plan(table)
 
 
-def test_requests_meet_the_facts_of_their_shard_by_pieces(spark, job):
+def test_requests_meet_the_facts_of_their_shard_by_ranges(spark, job):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        rows = sequence.add_facts(job.ordered, job.piece_facts, job.cfg, "first_pos")
-        physical = plan(rows).split("== Physical Plan ==")[1]
+        physical = plan(job.requests.select("pos", "seq", "prewarm", "size")).split("== Physical Plan ==")[1]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", physical)
-    assert keys and not any(k.startswith("shard") for k in keys)
+    assert keys and all(k.startswith("_part") for k in keys)
 
 
-def test_pieces_hold_each_shard_once_a_piece(job):
+def test_pieces_hold_each_shard_once_a_range(job):
     rows = job.pieces.collect()
-    assert len({(r.piece, r.shard) for r in rows}) == len(rows)
+    assert len({(r["_part"], r.shard) for r in rows}) == len(rows)
     assert sum(r.accesses for r in rows) == job.ordered.where("access").count()
+    assert sum(r.lead for r in rows) == len({r.shard for r in rows})
 
 
 def test_heads_are_cut_before_the_shuffle(job):
