@@ -7,9 +7,9 @@ tokens they expand to. The template is::
 
     <|im_start|>{role}\\n{content}<|im_end|>\\n
 
-Inside roles and contents a backslash gets a second one and the ``<|`` that opens a control
-string gets a backslash after its first sign, so that no text can contain a control string;
-``\\n`` in a role becomes a backslash and ``n``. Unescaping is the exact inverse.
+Inside roles and contents a backslash gets a second one and every ``<`` gets a backslash after it,
+whatever follows, so that no text holds a control string, nor do texts of parts that stand next to each other; a
+line break in a role becomes ``<n``. Unescaping reads from left to right and is the exact inverse, part by part.
 
 The loss mask covers the text parts of assistant messages. Its spans are kept as (turn,
 offset in that turn's formatted text, length), which stays exact and cheap to read however
@@ -18,7 +18,7 @@ long a conversation is.
 Results: turns are ordered by turn number, equal numbers by role and content, null first. A null role
 or text is empty; a conversation of empty messages keeps its turns; rows whose
 conversation id is null form one conversation. Repeated rows stay repeated turns. An empty
-table gives no conversations. A conversation is one row by definition; nothing larger is
+table gives no conversations. Extra columns of any name are not read. A conversation is one row by definition; nothing larger is
 collected.
 """
 
@@ -34,22 +34,20 @@ PART_TYPE = "struct<kind:string,text:string,ref:string,tokens:bigint>"
 
 
 def escape(text: Column) -> Column:
-    return F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("<|"), F.lit("<\\|"))
+    return F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("<"), F.lit("<\\"))
 
 
 def unescape(text: Column) -> Column:
-    return F.regexp_replace(text, r"\\([\\|])", "$1")
+    return F.regexp_replace(text, r"(<)\\|\\(\\)", "$1$2")
 
 
 def escape_role(role: Column) -> Column:
-    return F.replace(escape(role), F.lit("\n"), F.lit("\\n"))
+    return F.replace(escape(role), F.lit("\n"), F.lit("<n"))
 
 
 def unescape_role(role: Column) -> Column:
-    """Undoes :func:`escape_role`; the doubled backslash is set aside while ``\\n`` is read."""
-    parts = F.split(role, r"\\\\", -1)
-    return F.array_join(F.transform(parts, lambda p: F.replace(
-        F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\|"), F.lit("|"))), "\\")
+    """Undoes :func:`escape_role`; after a ``<`` there is a backslash or the ``n`` of a line break."""
+    return unescape(F.replace(role, F.lit("<n"), F.lit("\n")))
 
 
 def text_part(text: Column) -> Column:
