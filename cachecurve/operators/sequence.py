@@ -128,10 +128,9 @@ def shard_pieces(numbered: DataFrame, cfg: FootprintConfig) -> DataFrame:
         by_order = F.struct("route_key", "ts")
         bounds = [F.min(by_order).alias("_first"), F.max(by_order).alias("_last")]
     pieces = numbered.groupBy("_part", "shard").agg(
-        *bounds, F.count("*").alias("_rows"), F.count(F.when(F.col("access"), 1)).alias("accesses"),
+        *bounds, F.count(F.when(F.col("access"), 1)).alias("accesses"),
         F.min(F.when(F.col("access"), F.col("_inside"))).alias("_access"))
-    pieces = save(pieces, "pieces")
-    starts = running_starts(pieces.groupBy("_part").agg(F.sum("_rows").alias("_rows")), "_part")
+    starts = running_starts(numbered.groupBy("_part").agg(F.count("*").alias("_rows")), "_part")
     shard = Window.partitionBy("shard")
     first_ts, last_ts = F.min("_first").over(shard), F.max("_last").over(shard)
     if cfg.num_shards:
@@ -216,29 +215,34 @@ def stack_positions(admitted: DataFrame, cfg: FootprintConfig) -> DataFrame:
         .drop("slice", "_start", "_inside")
 
 
-def shard_objects(ordered: DataFrame) -> DataFrame:
-    """Digests of every shard over all its requests with their accesses, saved. Counts are
-    combined before the shuffle."""
-    return save(ordered.groupBy("shard", "obj").agg(F.count(F.when(F.col("access"), 1)).alias("accesses")),
-                "shard_objects")
+def hot_buckets(rows: DataFrame, cfg: FootprintConfig, slices: int) -> DataFrame:
+    """Hash buckets of objects with more rows than a slice has, saved. Every object with more
+    accesses than that is in one; with 16 buckets a slice, at most a sixteenth of the buckets are hot."""
+    bucket = object_bucket(slices)
+    counts = rows.groupBy(bucket.alias("_bucket")).agg(F.count("*").alias("_n"))
+    return save(counts.where(F.col("_n") > cfg.slice_rows).select("_bucket", F.lit(True).alias("_hot")),
+                "hot_buckets")
 
 
-def link_accesses(rows: DataFrame, objects: DataFrame, cfg: FootprintConfig) -> DataFrame:
+def object_bucket(slices: int) -> Column:
+    return F.pmod(F.xxhash64("shard", "obj"), F.lit(16 * slices)).cast("bigint")
+
+
+def link_accesses(rows: DataFrame, cfg: FootprintConfig, slices: int) -> DataFrame:
     """Previous and next access of the same object, and its sticky size.
 
     Adds ``prev_pos``, ``prev_ts``, ``next_pos``, ``next_ts`` and ``obj_size`` (the
-    object's first accepted size). Accesses of an object are brought together, but those of a hot
-    object, which has more than a slice has rows, slice by slice, so that no group exceeds ``slice_rows``;
-    one row per hot object and slice carries the ends across. There are at most as many hot
-    objects as slices.
+    object's first accepted size). Accesses of an object are brought together, but those of an object in a
+    hot bucket slice by slice, so that no group exceeds ``slice_rows``; one row per such object and slice
+    carries the ends across.
     """
     rows = rows.drop("first_ts", "bypass", "prewarm") \
-        .withColumn("slice", F.shiftright("pos", slice_bits(cfg)))
-    hot = objects.where(F.col("accesses") > cfg.slice_rows).select("shard", "obj", F.lit(True).alias("_hot"))
+        .withColumns({"slice": F.shiftright("pos", slice_bits(cfg)), "_bucket": object_bucket(slices)})
+    hot = hot_buckets(rows, cfg, slices)
+    hot_rows = rows.join(hot, "_bucket").withColumn("_run", F.col("slice"))
+    rows = rows.join(hot, "_bucket", "left") \
+        .withColumn("_run", F.when(F.col("_hot"), F.col("slice")).otherwise(-1)).drop("_hot", "_bucket")
     keys = ["shard", "obj", "_run"]
-    hot_rows = rows.join(hot, ["shard", "obj"]).withColumn("_run", F.col("slice"))
-    rows = rows.join(hot, ["shard", "obj"], "left") \
-        .withColumn("_run", F.when(F.col("_hot"), F.col("slice")).otherwise(-1)).drop("_hot")
     within = Window.partitionBy(*keys).orderBy("pos")
     so_far = (Window.unboundedPreceding, Window.currentRow)
     linked = rows.withColumns({

@@ -66,10 +66,6 @@ class Footprint:
     def facts(self) -> DataFrame:
         return sequence.shard_facts(self.pieces)
 
-    @cached_property
-    def objects(self) -> DataFrame:
-        return sequence.shard_objects(self.ordered)
-
     @cached_property
     def requests(self) -> DataFrame:
         """Stack requests with ``seq``, ``prewarm`` and ``bypass``."""
@@ -79,13 +75,21 @@ class Footprint:
     @cached_property
     def linked(self) -> DataFrame:
         stacked = sequence.stack_positions(self.requests, self.sliced)
-        linked = save(sequence.link_accesses(stacked, self.objects, self.sliced), "linked")
+        linked = save(sequence.link_accesses(stacked, self.sliced, self.slices), "linked")
         return sequence.sampled_links(linked, self.cfg)
 
     @cached_property
+    def stack_requests(self) -> int:
+        return sequence.stack_request_count(self.pieces)
+
+    @property
     def sliced(self) -> FootprintConfig:
         """The options with the slice size settled."""
-        return self.cfg.sliced(sequence.stack_request_count(self.pieces))
+        return self.cfg.sliced(self.stack_requests)
+
+    @property
+    def slices(self) -> int:
+        return max(-(-self.stack_requests // self.sliced.slice_rows), 1)
 
     @cached_property
     def distance_parts(self) -> DataFrame:
@@ -110,7 +114,7 @@ class Footprint:
 
     @cached_property
     def summary(self) -> DataFrame:
-        objects = None if self.cfg.prewarm_s > 0 else describe.distinct_objects(self.objects)
+        objects = None if self.cfg.prewarm_s > 0 else describe.distinct_objects(self.ordered)
         skipped = describe.skipped_totals(self.ordered) \
             if self.cfg.sample_at == "reduce" else None
         return save(describe.shard_summary(
