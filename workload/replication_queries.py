@@ -64,3 +64,26 @@ def replication_by_serial(spark, sf_dir):
     cfg = ReplicationConfig(cpcodes="1000,1001", start_s=1704500000, end_s=1705500000)
     return run(spark, sf_dir, cfg).counts.select(
         "shard", object_hex(F.col("obj")).alias("md5"), "copies")
+
+
+@query("replication_wrapped", f"""WITH {REQUESTS_SQL},
+far AS (SELECT * REPLACE (CAST(1 + event_id * 37 % 9000 AS INTEGER) AS serial) FROM requests)
+SELECT serial % 2039 AS shard, md5, count(DISTINCT ip) AS copies FROM far GROUP BY ALL""")
+def replication_wrapped(spark, sf_dir):
+    """Serials above the modulus."""
+    requests = event_requests(spark, sf_dir).withColumn("serial", F.expr("cast(1 + event_id * 37 % 9000 as int)"))
+    return replication(requests, ReplicationConfig(), ("ts", "event_id")).counts.select(
+        "shard", object_hex(F.col("obj")).alias("md5"), "copies")
+
+
+@query("replication_ties", f"""WITH {REQUESTS_SQL},
+tied AS (SELECT * REPLACE (floor(ts / 86400) AS ts, size + event_id % 5 AS size) FROM requests)
+SELECT CAST(('0x' || substr(md5, 1, 4))::BIGINT % 5 AS INTEGER) AS shard, md5,
+  count(DISTINCT ip) AS copies, min_by(size, (ts, event_id)) AS size FROM tied GROUP BY ALL""")
+def replication_ties(spark, sf_dir):
+    """Many first records at one time; the line order settles whose size counts."""
+    tied = event_requests(spark, sf_dir).withColumns({
+        "ts": F.floor(F.col("ts") / 86400).cast("double"), "size": F.expr("size + event_id % 5"),
+        "file": F.lit("x"), "block_start": F.lit(0), "line_no": F.col("event_id")})
+    return replication(tied, CFG).counts.select(
+        "shard", object_hex(F.col("obj")).alias("md5"), "copies", "size")

@@ -239,9 +239,36 @@ def filter_exclusions(spark, sf_dir):
     return kept(spark, sf_dir, cfg).select("event_id")
 
 
-@query("or_without_filters", with_requests("SELECT event_id FROM requests WHERE false"))
+@query("or_without_filters", with_requests("""
+SELECT event_id, 'filter' AS unset, CASE WHEN cpcode = 1003 OR region = 2 THEN 'ok' ELSE 'filter' END AS reason
+FROM requests"""))
 def or_without_filters(spark, sf_dir):
-    return kept(spark, sf_dir, replace(BASE, combine="OR")).select("event_id")
+    """OR takes an unset filter as false, so that all requests go if none is set."""
+    def reasons(**options):
+        cfg = replace(BASE, combine="OR", **options)
+        return rejected(filters.classify(filters.prepare(event_requests(spark, sf_dir), cfg), cfg))
+
+    return reasons().withColumnRenamed("reason", "unset").join(reasons(cpcodes="1003", regions="2"), "event_id")
+
+
+_NEAR = "{base} + (event_id % 9 - 4) * 0.00025"
+
+
+@query("time_bounds", with_requests(f"""
+SELECT event_id, round(near, 3) AS ts FROM (
+  SELECT event_id, CAST(printf('%.5f', CAST(CASE WHEN event_id % 2 = 0 THEN {_NEAR.format(base=START)}
+                                                 ELSE {_NEAR.format(base=END)} END AS DOUBLE)) AS DOUBLE) AS near
+  FROM requests)
+WHERE near BETWEEN {START} AND {END}"""))
+def time_bounds(spark, sf_dir):
+    """Times within a millisecond of the range: tested as they stand in the line, rounded in the record."""
+    text = "concat('m1:1:', format_string('%.5f', cast({near} as double)), ':', md5, ':', size, ':', bytes, ':', cpcode)"
+    lines = event_requests(spark, sf_dir).select("event_id", F.when(
+        F.expr("event_id % 2 = 0"), F.expr(text.format(near=_NEAR.format(base=START))))
+        .otherwise(F.expr(text.format(near=_NEAR.format(base=END)))).alias("value"))
+    cfg = replace(BASE, start_s=START, end_s=END)
+    requests = parse.parse_requests(lines).where("reject_reason is null")
+    return filters.keep(filters.prepare(requests, cfg), cfg).select("event_id", "ts")
 
 
 HASH_SQL = "('0x' || substr(md5, 9, 8))::BIGINT"

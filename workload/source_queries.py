@@ -210,12 +210,12 @@ def comment_servers(spark, sf_dir):
 
 
 @query("debug_stage_text", with_requests("""
-SELECT serial AS shard, count(*) AS lines FROM requests GROUP BY serial"""))
+SELECT serial AS shard, ts, md5, size, bytes, cpcode, serial AS true_serial, max_age FROM requests"""))
 def debug_stage_text(spark, sf_dir):
     from cachecurve.sinks.tables import routed_text
     from workload.views import routed_events
 
     path = f"{scratch_root(spark)}/cachecurve/{uuid.uuid4().hex}/routed"
     routed_text(routed_events(spark, sf_dir)).select("value").write.text(path)
-    return parse.parse_routed(logs.read_lines(spark, path)).groupBy("shard") \
-        .agg(F.count("*").alias("lines"))
+    return parse.parse_routed(logs.read_lines(spark, path)).select(
+        "shard", "ts", "md5", "size", "bytes", "cpcode", "true_serial", "max_age")

@@ -465,6 +465,64 @@ def spatial_sample_reduce(spark, sf_dir):
     return events(spark, sf_dir, replace(PLAIN, sample_at="reduce", sample_buckets=3)).header
 
 
+GUARDED = REQUESTS_SQL + """,
+routed AS (SELECT r.*, CAST(user_id % 300 AS INTEGER) AS shard, serial AS true_serial, event_id AS tie1, 0 AS tie2,
+             ('0x' || substr(md5, 9, 8))::BIGINT % 4 <> 0 AS sampled_out FROM requests r JOIN ev USING (event_id))"""
+
+
+@query("sampling_guard", stack(GUARDED) + SUMMARY + """,
+skipped AS (
+  SELECT shard, count(*) AS skipped_requests, CAST(sum(bytes) AS BIGINT) AS skipped_bytes
+  FROM routed WHERE sampled_out AND size > 0 GROUP BY shard),
+scaled AS (
+  SELECT *, (coalesce(skipped_requests, 0) + requests) // requests AS cs, (coalesce(skipped_bytes, 0) + bytes) // bytes AS bs
+  FROM summary LEFT JOIN skipped USING (shard)
+  WHERE skipped_requests IS NULL OR CAST(bytes AS DOUBLE) / (bytes + skipped_bytes) > 0.7 / 4)
+SELECT shard, requests * cs AS requests, bytes * bs AS bytes, distinct_objects * cs AS footprint_objects FROM scaled""")
+def sampling_guard(spark, sf_dir):
+    """Small shards, of which sampling leaves too little of some."""
+    def split(requests):
+        users = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+            "event_id", F.expr("cast(user_id % 300 as int)").alias("_user"))
+        return requests.join(users, "event_id").withColumn("shard", F.col("_user")).drop("_user")
+
+    cfg = replace(PLAIN, sample_at="reduce", sample_buckets=4)
+    return events(spark, sf_dir, cfg, split).header.select("shard", "requests", "bytes", "footprint_objects")
+
+
+VARYING = ROUTED_EVENTS.replace("SELECT *, serial AS shard", """SELECT * REPLACE (
+  CASE WHEN size = 0 THEN 0 ELSE 1000000 * (1 + (event_id * 7) % 23) END AS size), serial AS shard""")
+
+
+def vary(requests):
+    return requests.withColumn("size", F.expr(
+        "if(size = 0, 0L, 1000000 * (1 + (event_id * 7) % 23))"))
+
+
+@query("varying_sizes", stack(VARYING) + SUMMARY + header_sql())
+def varying_sizes(spark, sf_dir):
+    """Objects whose size changes with every request: the first one sticks."""
+    return events(spark, sf_dir, prepare=vary).header
+
+
+@query("varying_sizes_curve", stack(VARYING) + CURVE + SUMMARY + CURVE_OUT)
+def varying_sizes_curve(spark, sf_dir):
+    return events(spark, sf_dir, prepare=vary).curve
+
+
+LARGE = ROUTED_EVENTS.replace("SELECT *, serial AS shard", """SELECT * REPLACE (
+  CAST(18014398509481984 - event_id % 3 AS BIGINT) AS size), serial AS shard""")
+
+
+@query("large_sizes", stack(LARGE) + DIST + """
+SELECT tie1 AS event_id, dist_objects, dist_bytes FROM dist""")
+def large_sizes(spark, sf_dir):
+    """Sizes of 2 ** 54: what the requests of a slice weigh together needs more than 64 bits."""
+    f = events(spark, sf_dir, replace(PLAIN, slice_rows=512), lambda requests: requests.withColumn(
+        "size", F.expr("18014398509481984L - event_id % 3")))
+    return f.distances.join(f.linked, "pos").select("event_id", "dist_objects", "dist_bytes")
+
+
 MAP_SAMPLED = ROUTED_EVENTS.replace(
     "FROM requests)", "FROM requests WHERE ('0x' || substr(md5, 9, 8))::BIGINT % 2 = 0)")
 
