@@ -110,18 +110,19 @@ class FootprintJob:
         _ = self.routed
         return self.spark.createDataFrame(list(self.counters.items()), "reason string, lines bigint")
 
-    def write(self, out: str) -> None:
-        """Tables of header, curve, serials, hit rates, periods and counters, and the text
-        forms of the descriptor and of the serials."""
+    def write(self, out: str, serials: bool = True) -> None:
+        """Tables of header, curve, hit rates, periods and counters and the text form of the
+        descriptor, and if wanted table and text of the serials."""
         found = self.footprint
         tables.write_table(found.header, f"{out}/header")
         tables.write_table(found.curve, f"{out}/curve")
-        tables.write_table(found.serial_info, f"{out}/serials")
         for name in ("hit_rates", "periods"):
             getattr(found, name).write.mode("overwrite").parquet(f"{out}/{name}")
         self.counter_table().coalesce(1).write.mode("overwrite").parquet(f"{out}/counters")
         tables.write_text(tables.descriptor_text(found.header, found.curve), f"{out}/descriptor")
-        tables.write_text(tables.serial_text(found.serial_info), f"{out}/serial_text")
+        if serials:
+            tables.write_table(found.serial_info, f"{out}/serials")
+            tables.write_text(tables.serial_text(found.serial_info), f"{out}/serial_text")
 
 
 @dataclass

@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 from cachecurve.config import FootprintConfig, PathFilter, ReplicationConfig
 from cachecurve.functions.columns import object_hex
 from cachecurve.plans.jobs import FootprintJob, LogFiles, ReplicationJob, merged_parts
+from cachecurve.plans.options import footprint_job, parse_options
 from cachecurve.plans.replication import replication
 from cachecurve.scratch import scratch_root
 from cachecurve.sinks import tables
-from workload.registry import query
+from workload.registry import ORACLES, query
 from workload.replication_queries import CFG, COUNTS
 from workload.request_queries import _line, with_requests
 from workload.stack_queries import SUMMARY, header_sql, stack
-from workload.views import REQUESTS_SQL, event_requests
+from workload.views import REQUESTS_SQL, VMN_LABELS, event_requests
 
 SERVERS = ("10.0.0.2", "10.0.0.0")
 PATHS = {"day": "concat('2024-01-0', 1 + event_id % 3)", "arl": "10 + event_id % 2",
@@ -136,3 +137,52 @@ def replication_job(spark, sf_dir):
     path = scratch(spark, "part")
     ReplicationJob(spark, files, ReplicationConfig(ip_from="filename")).write_part(path)
     return merged_parts(spark, path).counts.select("shard", object_hex(F.col("obj")).alias("md5"), "copies")
+
+
+# --- jobs from option strings -----------------------------------------------------------------
+
+_FULL_LINE = ("concat_ws(':', map, serial, format_string('%.3f', ts), md5, size, bytes, cpcode, if(objstatus = '', '-', objstatus),"
+              " arlid, network, mapname, region, vcd, product)")
+
+
+def write_logs(spark, sf_dir):
+    out = scratch(spark, "full logs")
+    event_requests(spark, sf_dir).select(F.expr(_FULL_LINE)).repartition(3).write.option("compression", "gzip").text(out)
+    return out
+
+
+def write_list(spark, name, *lines):
+    out = scratch(spark, name)
+    spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(out)
+    return out
+
+
+@query("options_standard_job", ORACLES["standard_job"])
+def options_standard_job(spark, sf_dir):
+    """The standard run from option lines over log files."""
+    options = parse_options("""NETWORK=FF
+START_TIME=1704067200
+END_TIME=1706000000
+PREWARM_CONFIG_RELATIVE=1
+URL_BUCKET=5
+SAMPLE_ON_ATTEMPT=0
+SAMPLE_BUCKETS=2
+THINNING_PCT_JUMP=5
+""")
+    job, _, _ = footprint_job(spark, write_logs(spark, sf_dir), options)
+    return job.footprint.curve
+
+
+@query("options_expansion_job", ORACLES["expansion_job"])
+def options_expansion_job(spark, sf_dir):
+    """The expansion run: labels from a file, served and missed copies, overrides."""
+    labels = write_list(spark, "labels", "# vcd map network label", *(" ".join(map(str, row)) for row in VMN_LABELS))
+    out = scratch(spark, "expansion")
+    options = {
+        "START_TIME": "1704067200", "END_TIME": "1706700000", "PREWARM_CONFIG_RELATIVE": "true",
+        "SPLIT_BY_VCD_MAP_NETWORK": "true", "VCD_MAP_NETWORK_FILE": labels, "COMPUTE_BOTH_SERVED_AND_MISS_FDS": "true",
+        "IGNORE_PREFETCH_LINES": "true", "IGNORE_PREFETCH_OVERRIDE": "101:f:false", "SAMPLE_ON_ATTEMPT": "0",
+        "SAMPLE_BUCKETS": "2", "SAMPLE_BUCKETS_OVERRIDE": "m1:f:1:4", "OUTPUT_DIR": out, "WRITE_SERIAL_INFO_FILE": "true"}
+    job, folder, serials = footprint_job(spark, write_logs(spark, sf_dir), {f"JOB_{k}": v for k, v in options.items()}, "JOB_")
+    job.write(folder, serials)
+    return spark.read.parquet(f"{folder}/header")
