@@ -34,7 +34,7 @@ def base(tmp_path_factory):
                     n += 1
                     rows.append(line(maps[n % 3], 1 + n % 4, 1000 + n * 7 % 900 + 0.25, f"o{n % 17}", 10 + n % 3, 1000 + n % 3,
                                      flags[n % 5], 1 + n % 2, n % 3, 10 + n % 2))
-                path = top / day / str(arl) / metro / f"fd_storelog_10.0.0.{server}_{n}.gz{('', '.key2')[n % 2]}"
+                path = top / day / str(arl) / metro / f"fd_storelog_10.0.0.{server}_{n}.gz{('', '.key2')[server % 2]}"
                 path.parent.mkdir(parents=True, exist_ok=True)
                 with gzip.open(path, "wt") as out:
                     out.write("".join(f"{r}\n" for r in rows))
@@ -78,6 +78,23 @@ def test_every_option_is_listed():
     assert {f.name for f in fields(FootprintConfig)} == set(CHANGES) | LATER
 
 
+class ReadLines(LogFiles):
+    """Lines that are read already."""
+
+    read = None
+
+    def lines(self, spark, servers=()):
+        return logs.keep_servers(self.read, list(servers))
+
+
+@pytest.fixture(scope="module")
+def read(spark, base):
+    files = ReadLines(base)
+    files.read = logs.read_logs(spark, base).coalesce(1).cache()
+    yield files
+    files.read.unpersist()
+
+
 @pytest.fixture(scope="module")
 def known():
     """Rows by options, as most options are compared with the same ones."""
@@ -85,12 +102,12 @@ def known():
 
 
 @pytest.mark.parametrize("option", sorted(CHANGES))
-def test_every_option_shows(spark, base, known, option):
+def test_every_option_shows(spark, base, read, known, option):
     value, others = CHANGES[option]
     cfg = replace(PLAIN, **others)
     if repr(cfg) not in known:
-        known[repr(cfg)] = routed_rows(spark, base, cfg)[0]
-    assert routed_rows(spark, base, replace(cfg, **{option: value}))[0] != known[repr(cfg)]
+        known[repr(cfg)] = routed_rows(spark, base, cfg, read)[0]
+    assert routed_rows(spark, base, replace(cfg, **{option: value}), read)[0] != known[repr(cfg)]
 
 
 @pytest.mark.parametrize("option, value, others, table", [
@@ -98,9 +115,9 @@ def test_every_option_shows(spark, base, known, option):
     ("consider_ttl", True, {}, "curve"), ("admission_pct", 30, {}, "header"), ("thinning_pct", 150.0, dict(url_buckets=1), "curve"),
     ("label_rehashed_serial", True, dict(rehash_serials="1-5", rehash_only=True, rehash_buckets=1, rehash_from_zero=True), "header"),
 ])
-def test_every_later_option_shows(spark, base, option, value, others, table):
+def test_every_later_option_shows(read, option, value, others, table):
     def rows(cfg):
-        requests = parse.parse_requests(logs.read_logs(spark, base))
+        requests = parse.parse_requests(read.read)
         if option == "consider_ttl":
             requests = requests.withColumn("max_age", F.lit(20))
         return sorted(map(str, getattr(footprint(requests, cfg), table).collect()))
