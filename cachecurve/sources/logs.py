@@ -48,11 +48,12 @@ def read_lines(spark: SparkSession, *paths: str, glob: str | None = None,
 
 def spread(df: DataFrame, *keys: str, tasks: int | None = None) -> DataFrame:
     """Deal an input that comes in few partitions, such as a few large gzip files, to ``tasks``
-    tasks, by default the shuffle partitions. Leave it out where the input fills the cluster.
+    tasks, by default as many as the cluster runs at once. Leave it out where the input fills the cluster.
 
-    ``keys`` that tell rows apart save the sort of a round-robin shuffle.
+    ``keys`` that tell rows apart save the sort of a round-robin shuffle. The number is given, as adaptive
+    execution would merge small partitions into one task again.
     """
-    return df.repartition(tasks, *keys) if tasks else df.repartition(*keys or [F.rand(0)])
+    return df.repartition(tasks or df.sparkSession.sparkContext.defaultParallelism, *keys)
 
 
 def read_gzip_lines(files: DataFrame) -> DataFrame:
