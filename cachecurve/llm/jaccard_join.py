@@ -1,22 +1,30 @@
 """Jaccard self-join on word shingles by token-combination prefixes, as link classes.
 
 A document's set holds the 64-bit hashes of its distinct runs of ``gram`` words. Two sets
-link when ``100 * shared >= percent * union``. A set of n may then lack at most
+link when ``100 * shared >= percent * union`` (80 or more). A set of n may then lack at most
 ``e = n - ceil(percent * n / 100)`` tokens of a partner, which is what a prefix has to outlast.
-
-Signatures. Tokens are in one global order: rare tokens before frequent ones, by hash within a class.
-A token's class comes from how often its cell (of a fixed number of cells) is among the short
-prefixes of all documents. A prefix takes tokens until its *units* exceed e: a rare token is a
-unit and a signature by itself; frequent tokens are split by hash into small subclasses, and c of
+Equal sets are one node from the start.
+
+Sifting. The *zone* of a set is its tokens below a fixed share of the hash space, twice the share
+that a set may lack. All zones together tell exactly which of their tokens only one node has. A
+node with more than e of these has no partner and goes, and so do its tokens: what it shared
+may then be alone elsewhere, so a second pass sifts the rest. Most documents without copies end
+here, shared passages or not. Grouping by token combines on the map side, so a hot token is no large group.
+
+Signatures. Tokens of the rest are in one global order: those alone, then rare ones (few nodes
+have them), then frequent ones, in two classes, by hash within a class; tokens outside the zone are in the
+first frequent class. A prefix takes tokens until its *units* exceed e: a token that is alone is a unit without a
+signature, a rare token a unit and a signature by itself; frequent tokens are split by hash into small subclasses, and c of
 them in a subclass of k-token combinations give ``c - k + 1`` units and all their combinations as
 signatures. To take every combination of a subclass from a partner one must take that many of
 its tokens, so linked sets share a signature; extending the prefix is what pays for the rarer
 combinations. The number of subclasses follows the size of a set in steps of about 15 %; a set
-makes combinations for its own step and the next, so that linked sets meet in one step.
+makes combinations for its own step and the next, so that linked sets meet in one step. Subclasses are
+large enough for the units of any set to suffice, whatever the classes of its tokens.
 
-Links. Equal sets are one node from the start. For each signature all nodes meet its least node
+Links. Signatures with the same nodes are one. For each signature all nodes meet its least node
 first; those pairs are verified exactly and joined into components. Before token sets are
-fetched, a parity sketch of each set (512 bits, every token flips one) drops pairs that cannot link:
+joined, a parity sketch of each set (512 bits, every token flips one) drops pairs that cannot link:
 bits in which two sketches differ are at most the tokens that the sets do not share. Signatures
 whose nodes are by then in one component need nothing more: that is what becomes of a large
 group of near copies, at one pair a node instead of all pairs. The rest goes through two more such rounds with
@@ -26,9 +34,10 @@ the classes, so no link between different texts is lost.
 
 Results: one row a document: ``doc_id n_shingles component_id``. Fewer words than ``gram`` are
 one shingle; null, empty and blank texts have none and link with nothing. Repeated rows
-are equal sets. Null ids sort last and are named only if nothing else is in the class. An
-empty table gives an empty result. Two different sets are taken for equal, or two shingles,
-with odds of 2**-64 a pair.
+are equal sets. Null ids sort last and are named only if nothing else is in the class. Columns
+other than ``doc_id text`` are not read, whatever their names. An
+empty table gives an empty result. Two different sets are taken for equal, two shingles, or two
+signatures' nodes, with odds of 2**-64 a pair.
 """
 
 from __future__ import annotations
@@ -45,11 +54,12 @@ from pyspark.sql import functions as F
 
 from cachecurve.scratch import save
 
-CELLS = 1 << 20
+#: Nodes that may have a rare token; the second frequent class has fifty times as many.
+RARE, TRIPLES = 64, 50 * 64
 #: Tokens of a subclass on average, for combinations of two and of three tokens.
-SUBCLASS = {2: 3, 3: 4}
-#: Sets below this size have no combinations: their prefixes are short anyway.
-LEAST_COMBINED = 64
+SUBCLASS = {2: 4, 3: 6}
+#: Passes that drop nodes with too many tokens of their own.
+SIFTS = 2
 ROUNDS = 3
 #: Rows of two numbers that are few enough to broadcast.
 BROADCAST_ROWS = 500_000
@@ -102,24 +112,20 @@ def step_size(step: int, percent: int) -> int:
     return max(1, int((percent / 100 - 1e-3) ** -step))
 
 
-def prefix(tokens: np.ndarray, percent: int, heavy: np.ndarray) -> tuple[list[int], bool]:
-    """Signatures of a set of sorted hashes, and whether its units suffice.
+def zone_end(percent: int) -> np.uint64:
+    """The hash below which a token is in the zone."""
+    return np.uint64((1 << 64) * 2 * (100 - percent) // 100)
 
-    ``heavy`` has the combination length of each cell's tokens (1, 2 or 3).
-    """
-    n = len(tokens)
-    need = allowed(n, percent) + 1
-    if n < LEAST_COMBINED:
-        return tokens[:need].tolist(), True
-    level = heavy[(tokens % np.uint64(CELLS)).astype(np.int64)]
+
+def prefix(tokens: np.ndarray, level: np.ndarray, percent: int) -> list[int]:
+    """Signatures of a set of sorted hashes. ``level`` of a token: 0 alone, 1 rare, else the length
+    of its combinations."""
+    need = allowed(len(tokens), percent) + 1 - int((level == 0).sum())
     rare = tokens[level == 1]
-    found = rare[:need].tolist()
-    if n * percent < LEAST_COMBINED * 100:  # partners may be below that size: meet in their order
-        found = list(dict.fromkeys([*found, *tokens[:need].tolist()]))
+    found = rare[:max(need, 0)].tolist()
     if len(rare) >= need:
-        return found, True
-    step = size_step(n, percent)
-    enough = True
+        return found
+    step = size_step(len(tokens), percent)
     for own in (step, step + 1):
         size = step_size(own, percent)
         units = len(rare)
@@ -146,8 +152,9 @@ def prefix(tokens: np.ndarray, percent: int, heavy: np.ndarray) -> tuple[list[in
                 for column in np.array(sets, np.uint64).T:
                     mixed = mix(mixed * _MIX + column)
                 found += mixed.tolist()
-        enough &= units >= need
-    return found, enough
+        if units < need:
+            raise ValueError("the units of a prefix do not suffice")
+    return found
 
 
 def set_key(tokens: np.ndarray) -> int:
@@ -166,71 +173,89 @@ def _signed(values) -> pa.Array:
     return pa.array(np.asarray(values, np.uint64).view(np.int64), pa.int64())
 
 
-def describe_sets(docs: DataFrame, gram: int, percent: int) -> tuple[DataFrame, np.ndarray]:
-    """``doc_id node n`` and the sketch of every document, and the combination length of every cell."""
+def describe_sets(docs: DataFrame, gram: int, percent: int) -> DataFrame:
+    """``doc_id node n zone`` and the sketch of every document; ``zone`` is null where a task has seen the
+    set before, and for sets so small that only equal ones would link."""
+    end = zone_end(percent)
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingler(gram)
+        shingles, seen = Shingler(gram), set()
         for batch in batches:
             sets = [shingles(t) for t in batch.column(1).to_pylist()]
-            short = [s[:allowed(len(s), percent) + 1] for s in sets]
-            cells = np.concatenate([np.empty(0, np.uint64), *short]) % np.uint64(CELLS)
-            used, times = np.unique(cells.astype(np.int64), return_counts=True)
+            keys, zones = [set_key(s) for s in sets], []
+            for key, tokens in zip(keys, sets):
+                new = key not in seen and len(tokens) * (100 - percent) >= percent
+                zones.append(tokens[:np.searchsorted(tokens, end)].view(np.int64) if new else None)
+                seen.add(key)
+            if len(seen) > 1_000_000:
+                seen.clear()
             sketches = np.array([parity_sketch(s) for s in sets], np.int64).reshape(-1, len(SKETCH))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), _signed([set_key(s) for s in sets]),
-                 pa.array([len(s) for s in sets], pa.int64()), *map(pa.array, sketches.T.copy()),
-                 pa.array([used] + [None] * (len(sets) - 1), pa.list_(pa.int64())),
-                 pa.array([times] + [None] * (len(sets) - 1), pa.list_(pa.int64()))],
-                ["doc_id", "node", "n", *SKETCH, "cells", "times"])
+                [batch.column(0), _signed(keys), pa.array([len(s) for s in sets], pa.int64()),
+                 *map(pa.array, sketches.T.copy()), pa.array(zones, pa.list_(pa.int64()))],
+                ["doc_id", "node", "n", *SKETCH, "zone"])
 
     sketch = "".join(f"{c} bigint, " for c in SKETCH)
-    rows = save(docs.mapInArrow(described, f"doc_id bigint, node bigint, n bigint, {sketch}"
-                                           "cells array<bigint>, times array<bigint>"), "sets")
-    counts = rows.where("cells is not null").select(F.inline(F.arrays_zip("cells", "times"))) \
-        .groupBy("cells").agg(F.sum("times").alias("times"))
-    total = counts.agg(F.sum("times")).first()[0] or 0
-    often = 16 + 3 * total / CELLS  # well above what a cell of rare tokens holds
-    heavy = np.ones(CELLS, np.uint8)
-    for row in counts.where(F.col("times") > often).toLocalIterator():  # at most a third of the cells
-        heavy[row.cells] = 2 if row.times <= 50 * often else 3
-    return rows.drop("cells", "times"), heavy
-
-
-def make_postings(docs: DataFrame, gram: int, percent: int, heavy: np.ndarray) -> DataFrame:
-    """``sig node n`` (a row for a set that a task has not just seen), ``sig`` null where the
-    units of a set do not suffice."""
-    shared = docs.sparkSession.sparkContext.broadcast(heavy)  # CELLS bytes
+    return save(docs.mapInArrow(described, f"doc_id bigint, node bigint, n bigint, {sketch}"
+                                           "zone array<bigint>"), "sets")
+
+
+def sift(nodes: DataFrame, zones: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The nodes, and their zones, that do not have more tokens to themselves than a linked set may."""
+    for _ in range(SIFTS):
+        alone = zones.select("node", F.explode("zone").alias("token")) \
+            .groupBy("token").agg(F.min("node").alias("node"), F.max("node").alias("high")) \
+            .where("node = high").groupBy("node").agg(F.count("*").alias("alone"))
+        nodes = save(nodes.join(alone, "node", "left")
+                     .where(f"coalesce(alone, 0) <= n * {100 - percent} div 100").drop("alone"), "nodes")
+        zones = save(zones.join(nodes.select("node"), "node", "left_semi"), "zones")
+    return nodes, zones
+
+
+def token_counts(zones: DataFrame) -> DataFrame:
+    """``node listed``: the zone's tokens that other nodes have too, and how many nodes have them."""
+    tokens = zones.dropDuplicates(["node"]).select("node", F.explode("zone").alias("token"))
+    times = tokens.groupBy("token").agg(F.count("*").alias("times")).where("times > 1")
+    return tokens.join(times, "token").groupBy("node").agg(
+        F.collect_list(F.struct("token", "times")).alias("listed"))
+
+
+def make_postings(sets: DataFrame, listed: DataFrame, percent: int) -> DataFrame:
+    """``sig node`` of every set."""
+    end = zone_end(percent)
 
     def posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, seen = Shingler(gram), set()
         for batch in batches:
-            sigs, nodes, sizes, loose = [], [], [], []
-            for text in batch.column(1).to_pylist():
-                tokens = shingles(text)
-                node = set_key(tokens)
-                if not node or node in seen:
-                    continue
-                seen.add(node)
-                found, enough = prefix(tokens, percent, shared.value)
-                sigs.append(np.array(found, np.uint64))
-                nodes.append(np.full(len(found), node, np.uint64))
-                sizes.append(np.full(len(found), len(tokens), np.int64))
-                if not enough:
-                    loose.append(node)
-            if len(seen) > 1_000_000:
-                seen.clear()
-            empty = np.empty(0, np.uint64)
+            sigs, nodes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+            for i, node in enumerate(batch.column(0).to_pylist()):
+                tokens = batch.column(1)[i].values.to_numpy(zero_copy_only=False).view(np.uint64)
+                level = np.where(tokens < end, 0, 2)
+                shared, times = batch.column(2)[i], batch.column(3)[i]
+                if shared.is_valid:
+                    times = times.values.to_numpy(zero_copy_only=False)
+                    places = np.searchsorted(tokens, shared.values.to_numpy(zero_copy_only=False).view(np.uint64))
+                    level[places] = 1 + (times > RARE) + (times > TRIPLES)
+                found = np.array(prefix(tokens, level, percent), np.uint64)
+                sigs.append(found)
+                nodes.append(np.full(len(found), node, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [_signed(np.concatenate([empty, *sigs])), _signed(np.concatenate([empty, *nodes])),
-                 pa.array(np.concatenate([np.empty(0, np.int64), *sizes]), pa.int64())],
-                ["sig", "node", "n"])
-            if loose:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(len(loose), pa.int64()), _signed(loose),
-                     pa.nulls(len(loose), pa.int64())], ["sig", "node", "n"])
+                [_signed(np.concatenate(sigs)), pa.array(np.concatenate(nodes))], ["sig", "node"])
+
+    return sets.join(listed, "node", "left").select("node", "tokens", "listed.token", "listed.times") \
+        .mapInArrow(posted, "sig bigint, node bigint")
+
 
-    return save(docs.mapInArrow(posted, "sig bigint, node bigint, n bigint"), "postings")
+def meet_nodes(postings: DataFrame) -> DataFrame:
+    """``sig low node``: the nodes of each signature and the least of them, without signatures of one
+    node and with one signature for each set of nodes."""
+    postings = save(postings, "postings")
+    code = F.xxhash64("node")
+    lists = postings.groupBy("sig").agg(
+        F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("times"),
+        F.sum(F.shiftrightunsigned(code, 32)).alias("upper"),
+        F.sum(code.bitwiseAND(F.lit(0xFFFFFFFF))).alias("lower")).where("low < high")
+    first = lists.groupBy("low", "high", "times", "upper", "lower").agg(F.min("sig").alias("sig"))
+    return save(postings.join(first.select("sig", "low"), "sig").distinct(), "lists")
 
 
 def node_sets(docs: DataFrame, nodes: DataFrame, gram: int) -> DataFrame:
@@ -255,10 +280,12 @@ def node_sets(docs: DataFrame, nodes: DataFrame, gram: int) -> DataFrame:
 
 
 def near_sketches(x: str, y: str, percent: int) -> Column:
-    """Whether sketches differ in no more bits than linked sets differ in tokens. The columns of a
+    """Whether sketches differ in no more bits than linked sets differ in tokens, and sizes as
+    little. The columns of a
     set are ``n`` and those of its sketch, with ``x`` or ``y`` added to their names."""
     differ = sum((F.bit_count(F.col(c + x).bitwiseXOR(F.col(c + y))) for c in SKETCH), F.lit(0))
-    return differ * (100 + percent) <= (F.col("n" + x) + F.col("n" + y)) * (100 - percent)
+    near = differ * (100 + percent) <= (F.col("n" + x) + F.col("n" + y)) * (100 - percent)
+    return near & (F.least("n" + x, "n" + y) * 100 >= F.greatest("n" + x, "n" + y) * percent)
 
 
 def may_link(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -304,58 +331,53 @@ def components(edges: DataFrame, spark: SparkSession) -> DataFrame:
 
 def link_classes(docs: DataFrame, gram: int = 4, percent: int = 85) -> DataFrame:
     """``doc_id n_shingles component_id`` of every row of ``doc_id text``."""
+    if not 80 <= percent <= 100:
+        raise ValueError("percent is 80 to 100")
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                        F.coalesce("text", F.lit("")).alias("text"))
-    rows, heavy = describe_sets(docs, gram, percent)
-    postings = make_postings(docs, gram, percent, heavy)
-    if not postings.where("sig is null").isEmpty():  # cannot outlast e with combinations: none then
-        postings = make_postings(docs, gram, percent, np.ones(CELLS, np.uint8))
-    # a signature met once links nothing; what is left is a small part, copies in several tasks included
-    shared = postings.groupBy("sig").agg(F.count("*").alias("times")).where("times > 1").select("sig")
-    postings = save(postings.join(shared, "sig").distinct(), "shared_postings")
-    nodes = save(rows.where("n > 0").groupBy("node", "n").agg(
-        F.min("doc_id").alias("least_doc"), *(F.min(c).alias(c) for c in SKETCH)), "nodes")
+    rows = describe_sets(docs, gram, percent)
+    nodes = rows.where(f"n * {100 - percent} >= {percent}").groupBy("node", "n").agg(
+        F.min("doc_id").alias("least_doc"), *(F.min(c).alias(c) for c in SKETCH))
+    nodes, zones = sift(nodes, rows.where("zone is not null").select("node", "zone"), percent)
+    sets = save(node_sets(docs, nodes.select("node", "least_doc"), gram), "tokens")
+    lists = meet_nodes(make_postings(sets, token_counts(zones), percent))
     labels = spark.createDataFrame([], "node bigint, comp bigint")
     links = done = None
-    sets = spark.createDataFrame([], "node bigint, tokens array<bigint>")
 
     for turn in range(ROUNDS + 1):
-        placed = postings.join(labels, "node", "left") \
-            .withColumn("comp", F.coalesce("comp", "node"))
-        open_sigs = placed.groupBy("sig").agg(
-            F.min("comp").alias("low"), F.max("comp").alias("high"),
-            F.min_by(F.struct("node", "n", "comp"),
-                     F.col("node") if not turn else F.xxhash64("node", F.lit(turn))).alias("meet")) \
-            .where("low < high")
-        if turn < ROUNDS:
-            met = placed.join(open_sigs.select("sig", "meet"), "sig").select(
-                F.col("meet.node").alias("x"), F.col("meet.n").alias("nx"), F.col("meet.comp").alias("cx"),
-                F.col("node").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("cy"))
+        if not turn:
+            met = lists.select(F.col("low").alias("x"), F.col("node").alias("y")).where("x <> y")
         else:
-            # sketches travel with the postings, so that only pairs that may link leave the join
-            rest = placed.join(open_sigs.select("sig"), "sig", "left_semi") \
-                .join(nodes.select("node", *SKETCH), "node")
-            one, two = (rest.select("sig", F.col("node").alias(side), F.col("comp").alias("c" + side),
-                                    *(F.col(c).alias(c + side) for c in ("n", *SKETCH))) for side in "xy")
-            met = one.join(two, (one["sig"] == two["sig"]) & (F.col("x") < F.col("y"))
-                           & (F.col("cx") != F.col("cy")) & near_sketches("x", "y", percent))
-        pairs = met.where((F.col("cx") != F.col("cy"))
-                          & (F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent)) \
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+            known = nodes.select("node", "n").join(labels, "node", "left") \
+                .withColumn("comp", F.coalesce("comp", "node"))
+            placed = lists.select("sig", "node").join(known, "node")
+            open_sigs = placed.groupBy("sig").agg(
+                F.min("comp").alias("low"), F.max("comp").alias("high"),
+                F.min_by(F.struct("node", "n", "comp"), F.xxhash64("node", F.lit(turn))).alias("meet")) \
+                .where("low < high").select("sig", "meet")
+            lists = save(placed.join(open_sigs, "sig"), "lists")  # what is closed stays so
+            if turn < ROUNDS:
+                met = lists.select(
+                    F.col("meet.node").alias("x"), F.col("meet.n").alias("nx"), F.col("meet.comp").alias("cx"),
+                    F.col("node").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("cy"))
+            else:
+                # sketches travel with the postings, so that only pairs that may link leave the join
+                rest = lists.join(nodes.select("node", *SKETCH), "node")
+                one, two = (rest.select("sig", F.col("node").alias(side), F.col("comp").alias("c" + side),
+                                        *(F.col(c).alias(c + side) for c in ("n", *SKETCH))) for side in "xy")
+                met = one.join(two, (one["sig"] == two["sig"]) & (F.col("x") < F.col("y"))
+                               & (F.col("cx") != F.col("cy")) & near_sketches("x", "y", percent))
+            met = met.where((F.col("cx") != F.col("cy"))
+                            & (F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent))
+        pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = save(may_link(pairs, nodes, percent), "pairs")
         if pairs.isEmpty():
             # an empty round says nothing of pairs that did not meet: only the last takes all of them
-            if turn == ROUNDS or open_sigs.isEmpty():
-                break
             continue
         done = pairs if done is None else done.unionByName(pairs)
-        wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))) \
-            .distinct().join(sets.select("node"), "node", "left_anti") \
-            .join(nodes.select("node", "least_doc"), "node")
-        sets = sets.unionByName(save(node_sets(docs, wanted, gram), "tokens"))
         found = save(verify(pairs, sets, percent), "links")
         links = found if links is None else links.unionByName(found)
         labels = components(links, spark)

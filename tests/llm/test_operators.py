@@ -267,15 +267,25 @@ def test_jaccard(docs, rows, nothing):
 
 def test_jaccard_with_combinations(docs, rows, monkeypatch):
     """All tokens count as frequent, so that pairs and triples have to find every link."""
-    for k in (2, 3):
-        heavy = np.full(jaccard_join.CELLS, k, np.uint8)
-        described = jaccard_join.describe_sets
-        monkeypatch.setattr(jaccard_join, "describe_sets", lambda *a, h=heavy: (described(*a)[0], h))
+    for triples in (1 << 40, 0):
+        monkeypatch.setattr(jaccard_join, "RARE", 0)
+        monkeypatch.setattr(jaccard_join, "TRIPLES", triples)
         found = by_id(jaccard_join.link_classes(docs), "n_shingles", "component_id")
-        monkeypatch.setattr(jaccard_join, "describe_sets", described)
         assert found == brute.link_classes(rows, 4, 85)
 
 
+def test_units_suffice_for_any_classes():
+    rng = np.random.default_rng(4)
+    for percent in (80, 85, 95):
+        for n in [*range(1, 130), 400, 3000]:
+            tokens = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+            if len(tokens) * (100 - percent) < percent:
+                continue  # only equal sets would link
+            for share in (0, .25, .33, .5, 1):
+                level = np.where(rng.random(len(tokens)) < share, 2, 3)
+                assert jaccard_join.prefix(tokens, level, percent)
+
+
 def test_sketches_differ_in_no_more_bits_than_sets_in_tokens():
     rng = np.random.default_rng(2)
     for n in (0, 1, 5, 80, 900, 6000):
@@ -295,9 +305,14 @@ def test_linked_sets_share_a_signature():
         y = np.unique(np.concatenate((rng.permutation(x)[drop:], rng.integers(0, 1 << 63, drop, dtype=np.uint64))))
         shared = len(np.intersect1d(x, y))
         if 100 * shared >= 85 * (len(x) + len(y) - shared):
-            heavy = rng.choice(np.array([1, 2, 3], np.uint8), jaccard_join.CELLS, p=rng.dirichlet([.3, 1, 1]))
-            (a, enough_a), (b, enough_b) = (jaccard_join.prefix(s, 85, heavy) for s in (x, y))
-            assert not (enough_a and enough_b) or set(a) & set(b)
+            odds = np.cumsum(rng.dirichlet([.3, 1, 1]))
+            classes = dict(zip(np.union1d(x, y).tolist(), 1 + np.searchsorted(odds[:2], rng.random(len(x) + len(y)))))
+            own = [np.setdiff1d(x, y), np.setdiff1d(y, x)]
+            a, b = (jaccard_join.prefix(s, np.array([0 if t in alone else classes[t] for t in s.tolist()]), 85)
+                    for s, alone in ((x, set(own[0].tolist())), (y, set(own[1].tolist()))))
+            assert set(a) & set(b)
+            a, b = (jaccard_join.prefix(s, np.array([classes[t] for t in s.tolist()]), 85) for s in (x, y))
+            assert set(a) & set(b)
 
 
 def test_chat_round_trip(spark):
