@@ -58,6 +58,8 @@ from cachecurve.scratch import save
 RARE, TRIPLES = 64, 50 * 64
 #: Tokens of a subclass on average, for combinations of two and of three tokens.
 SUBCLASS = {2: 4, 3: 6}
+#: Share of the hash space in the zone, as a multiple of the share of tokens that a set may lack.
+ZONE = 2.0
 #: Passes that drop nodes with too many tokens of their own.
 SIFTS = 2
 ROUNDS = 3
@@ -114,7 +116,7 @@ def step_size(step: int, percent: int) -> int:
 
 def zone_end(percent: int) -> np.uint64:
     """The hash below which a token is in the zone."""
-    return np.uint64((1 << 64) * 2 * (100 - percent) // 100)
+    return np.uint64(int((1 << 64) * ZONE * (100 - percent) / 100))
 
 
 def prefix(tokens: np.ndarray, level: np.ndarray, percent: int) -> list[int]:
@@ -200,6 +202,11 @@ def describe_sets(docs: DataFrame, gram: int, percent: int) -> DataFrame:
                                            "zone array<bigint>"), "sets")
 
 
+def few(nodes: DataFrame) -> DataFrame:
+    """A saved table of one or two numbers a row, to be broadcast if a count shows that it is small."""
+    return F.broadcast(nodes) if nodes.count() <= BROADCAST_ROWS else nodes
+
+
 def sift(nodes: DataFrame, zones: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """The nodes, and their zones, that do not have more tokens to themselves than a linked set may."""
     for _ in range(SIFTS):
@@ -208,7 +215,7 @@ def sift(nodes: DataFrame, zones: DataFrame, percent: int) -> tuple[DataFrame, D
             .where("node = high").groupBy("node").agg(F.count("*").alias("alone"))
         nodes = save(nodes.join(alone, "node", "left")
                      .where(f"coalesce(alone, 0) <= n * {100 - percent} div 100").drop("alone"), "nodes")
-        zones = save(zones.join(nodes.select("node"), "node", "left_semi"), "zones")
+        zones = save(zones.join(few(nodes.select("node")), "node", "left_semi"), "zones")
     return nodes, zones
 
 
@@ -273,8 +280,7 @@ def node_sets(docs: DataFrame, nodes: DataFrame, gram: int) -> DataFrame:
                          pa.array([tokens.view(np.int64)], pa.list_(pa.int64()))],
                         ["node", "tokens"])
 
-    if nodes.count() <= BROADCAST_ROWS:  # beyond that the texts go to the nodes by id
-        nodes = F.broadcast(nodes)
+    nodes = few(nodes)  # else the texts go to the nodes by id
     wanted = docs.join(nodes, docs["doc_id"].eqNullSafe(nodes["least_doc"])).select("node", "text")
     return wanted.mapInArrow(built, "node bigint, tokens array<bigint>")
 
@@ -297,6 +303,8 @@ def may_link(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (``a b``) of nodes that link, by the exact size of their intersection."""
+    used = save(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "used")
+    sets = sets.join(few(used), "node", "left_semi")
     left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("right"))
     both = pairs.join(left, "a").join(right, "b")
