@@ -5,7 +5,7 @@ link when ``100 * shared >= percent * union`` (80 or more). A set of n may then
 ``e = n - ceil(percent * n / 100)`` tokens of a partner, which is what a prefix has to outlast.
 Equal sets are one node from the start.
 
-Sifting. The *zone* of a set is its tokens below a fixed share of the hash space, twice the share
+Sifting. The *zone* of a set is its tokens below a fixed share of the hash space, 1.6 times the share
 that a set may lack. All zones together tell exactly which of their tokens only one node has. A
 node with more than e of these has no partner and goes, and so do its tokens: what it shared
 may then be alone elsewhere, so a second pass sifts the rest. Most documents without copies end
@@ -59,7 +59,7 @@ RARE, TRIPLES = 64, 50 * 64
 #: Tokens of a subclass on average, for combinations of two and of three tokens.
 SUBCLASS = {2: 4, 3: 6}
 #: Share of the hash space in the zone, as a multiple of the share of tokens that a set may lack.
-ZONE = 2.0
+ZONE = 1.6
 #: Passes that drop nodes with too many tokens of their own.
 SIFTS = 2
 ROUNDS = 3
