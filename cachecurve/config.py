@@ -26,6 +26,8 @@ MAX_TIME_S = 2**31 - 1
 # Rows of a slice of the request sequence, as powers of two.
 MIN_SLICE_BITS = 17
 MAX_SLICE_BITS = 22
+#: Slices whose pairs, half a million, are few whatever the rows are.
+FEW_SLICES = 1024
 
 # Slot -> serial exceptions of the ESSL network.
 SLOT_EXCEPTIONS = {
@@ -246,12 +248,13 @@ class FootprintConfig(RequestFilter):
 
         Pairs of slices are summed up, so slices grow with the square root of the data:
         at about sqrt(8 rows) the pairs stay well below the requests. A slice is one
-        group in a Python worker, which bounds it from above.
+        group in a Python worker, which bounds it from above. Given ``slice_rows`` are kept up to
+        FEW_SLICES slices, and are the least beyond, where pairs would outnumber the requests.
         """
-        if self.slice_rows is not None:
+        if self.slice_rows is not None and rows <= FEW_SLICES * self.slice_rows:
             return self
-        bits = ((8 * max(rows, 1)).bit_length() + 1) // 2
-        return replace(self, slice_rows=1 << min(max(bits, MIN_SLICE_BITS), MAX_SLICE_BITS))
+        bits = min(((8 * max(rows, 1)).bit_length() + 1) // 2, MAX_SLICE_BITS)
+        return replace(self, slice_rows=max(1 << bits, self.slice_rows or 1 << MIN_SLICE_BITS))
 
     def list_of(self, name: str):
         """A list kept as a table, else none."""

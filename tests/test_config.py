@@ -69,6 +69,17 @@ def test_shard_count_check_accepts_enough():
     FootprintConfig(split_by="cpcode", cpcodes="1,2", mode="both", num_shards=4)
 
 
+@pytest.mark.parametrize("slice_rows", [None, 2, 256, 1024, 1 << 20])
+def test_pairs_of_slices_do_not_outgrow_the_requests(slice_rows):
+    for rows in (0, 1000, 600_000, 6_000_000, 36_000_000, 216_000_000):
+        found = FootprintConfig(slice_rows=slice_rows).sliced(rows).slice_rows
+        slices = -(-rows // found)
+        assert found >= (slice_rows or 0) and found & (found - 1) == 0
+        assert slices * (slices + 1) // 2 <= max(rows, 1 << 20)
+    small = FootprintConfig(slice_rows=1024)
+    assert small.sliced(600_000).slice_rows == 1024  # what is given holds while slices are few
+
+
 def test_horizon():
     assert FootprintConfig().horizon_s == 2678401
     assert FootprintConfig(start_s=10).horizon_s == 2678401

@@ -107,6 +107,13 @@ def test_random_traces_in_slices(spark, slice_rows):
     assert distances(spark, rows, slice_rows=slice_rows) == expected(rows)
 
 
+def test_slices_that_grow_give_the_same_distances(spark, monkeypatch):
+    monkeypatch.setattr("cachecurve.config.FEW_SLICES", 4)
+    rows = _random_trace(8, 700, 4, 60, 0.4)
+    assert FootprintConfig(slice_rows=2).sliced(len(rows)).slice_rows > 2
+    assert distances(spark, rows, slice_rows=2) == expected(rows)
+
+
 def test_one_shard_of_distinct_objects_scanned_twice(spark):
     """Largest distances: everything seen lies between two accesses."""
     rows = [(i, 1, i, f"o{i % 150}", 3) for i in range(300)]
