@@ -73,3 +73,13 @@ def test_serial_translation(spark):
         got = df.select(parse.translate_serial(F.col("s"), cfg).alias("t")).collect()
         assert [r.t for r in got] == want
         assert [cfg.translate(s) for s in (2049, 5153, 4095)] == want
+
+
+def test_routed_lines_are_made_and_split_once(spark):
+    lines = spark.range(0, 4, 1, 1).select(F.concat_ws(
+        ":", F.lit(1), F.lit("2.500"), F.lit("A" * 16), "id", "id", F.lit(7)).alias("value"))
+    parsed = parse.parse_routed(lines)
+    assert parsed._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    assert sorted(r.size for r in parsed.collect()) == [0, 1, 2, 3]
+    blank = spark.createDataFrame([(None,), ("",), ("  ",), ("::::::",)], "value string")
+    assert parse.parse_routed(blank).isEmpty()
