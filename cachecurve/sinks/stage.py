@@ -7,6 +7,8 @@ exchange of requests; only their sums are shuffled.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +17,13 @@ from cachecurve.functions.columns import is_digest, object_id, record_tail
 
 BUCKETED = ("shard", "part")
 SORTED = ("shard", "part", "obj", "ts")
+#: Requests of a bucket, which one task writes and one task reads.
+BUCKET_ROWS = 1 << 20
+
+
+def bucket_count(routed: DataFrame, least: int) -> int:
+    """Buckets for the requests: ``least`` times a power of two, so that one holds BUCKET_ROWS of them on average at most."""
+    return least << math.ceil(math.log2(max(1.0, routed.count() / (least * BUCKET_ROWS))))
 
 
 def write_bucketed(routed: DataFrame, table: str, path: str, buckets: int, parts: int = 1024) -> DataFrame:

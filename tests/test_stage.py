@@ -6,7 +6,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from cachecurve.sinks.stage import attach_bucketed, object_totals, reuse_counts, write_bucketed
+from cachecurve.sinks.stage import attach_bucketed, bucket_count, object_totals, reuse_counts, write_bucketed
 from tests.lru_model import digest
 from tests.test_distance import _random_trace, requests_df
 
@@ -63,3 +63,8 @@ def test_a_hot_shard_lies_in_many_buckets(spark, tmp_path):
     assert max(r["count"] for r in sizes) < 400
     empty = stage(spark, tmp_path / "none", [])
     assert reuse_counts(spark.table(empty)).count() == object_totals(spark.table(empty)).count() == 0
+
+
+def test_buckets_grow_with_the_requests(spark, monkeypatch):
+    monkeypatch.setattr("cachecurve.sinks.stage.BUCKET_ROWS", 10)
+    assert [bucket_count(spark.range(n), 8) for n in (0, 80, 81, 160, 1000)] == [8, 8, 16, 16, 128]
