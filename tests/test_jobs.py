@@ -217,3 +217,16 @@ def test_where_the_server_comes_from_shows(spark, base, tmp_path):
         ReplicationJob(spark, LogFiles(base), ReplicationConfig(ip_from=ip_from)).write_part(str(tmp_path / ip_from))
         found.append({r.ip for r in spark.read.parquet(str(tmp_path / ip_from)).collect()})
     assert found == [{"10.0.0.1", "10.0.0.2"}, {"10.9.9.1", "10.9.9.2"}]
+
+
+def test_log_files_of_the_queries_have_bounded_lines(spark, tmp_path, monkeypatch):
+    from workload import job_queries
+
+    spark.range(60).selectExpr(
+        "id as event_id", "id % 7 as user_id", "'view' as event_type", "timestamp_seconds(1704067200 + id) as ts",
+        """concat('{"k": ', id % 5, '}') as props""").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(job_queries, "FILE_LINES", 2)
+    for write in (job_queries.write_tree, job_queries.write_logs):
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(write(spark, str(tmp_path)))
+        sizes = [gzip.decompress(row.content).count(b"\n") for row in found.collect()]
+        assert sum(sizes) == 60 and max(sizes) <= 2

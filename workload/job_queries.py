@@ -23,6 +23,8 @@ SERVERS = ("10.0.0.2", "10.0.0.0")
 PATHS = {"day": "concat('2024-01-0', 1 + event_id % 3)", "arl": "10 + event_id % 2",
          "metro": "if((event_id div 2) % 2 = 0, 'ams', 'fra')", "server": "concat('10.0.0.', (event_id div 4) % 3)"}
 SUFFIXES = (".gz", ".gz.key2", ".gz.key11")
+#: Lines of a log file, which one task unpacks, at most.
+FILE_LINES = 1 << 18
 
 
 def scratch(spark, name):
@@ -34,7 +36,7 @@ def write_tree(spark, sf_dir):
     rows = event_requests(spark, sf_dir).select(
         F.expr(_line("format_string('%.3f', ts)")).alias("value"), *[F.expr(e).alias(c) for c, e in PATHS.items()])
     path, out = scratch(spark, "written"), scratch(spark, "log tree")
-    rows.repartition(*PATHS).write.option("compression", "gzip").partitionBy(*PATHS).text(path)
+    rows.write.option("compression", "gzip").option("maxRecordsPerFile", FILE_LINES).partitionBy(*PATHS).text(path)
     hadoop = spark._jvm.org.apache.hadoop.fs
     store = hadoop.Path(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     for n, status in enumerate(store.globStatus(hadoop.Path(path, "*/*/*/*/part-*"))):
@@ -147,7 +149,8 @@ _FULL_LINE = ("concat_ws(':', map, serial, format_string('%.3f', ts), md5, size,
 
 def write_logs(spark, sf_dir):
     out = scratch(spark, "full logs")
-    event_requests(spark, sf_dir).select(F.expr(_FULL_LINE)).repartition(3).write.option("compression", "gzip").text(out)
+    event_requests(spark, sf_dir).select(F.expr(_FULL_LINE)).write.option("compression", "gzip") \
+        .option("maxRecordsPerFile", FILE_LINES).text(out)
     return out
 
 
