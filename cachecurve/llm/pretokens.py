@@ -28,7 +28,9 @@ LONG_TAILS = ("re", "ve", "ll")
 CONTROL_SPACES = "\t\n\x0b\x0c\r\x85"
 #: A place where every split has a boundary: one blank between two other signs.
 SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
-BATCH_CHARS = 1 << 22
+#: Characters that are split at a time. Their arrays take about 60 bytes a character, and the powers that
+#: a worker process keeps 32 more.
+BATCH_CHARS = 1 << 20
 #: Odd, so that its powers have inverses modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
 
@@ -46,7 +48,7 @@ def char_classes() -> np.ndarray:
 
 
 @functools.cache
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def _powers(n: int = 2 * BATCH_CHARS) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and BASE**-i modulo 2**64 for i < n."""
     up, down = np.full(n, BASE, np.uint64), np.full(n, pow(BASE, -1, 1 << 64), np.uint64)
     up[0] = down[0] = 1
@@ -84,8 +86,8 @@ class Pieces:
         self.starts = edges[opens]
         self.stops = edges[1:][opens[:-1]]
         self.counts = np.diff(np.searchsorted(self.starts, ends), prepend=0)
-        size = 1 << max(16, int(len(codes)).bit_length())
-        up, down = _powers(size) if size <= 2 * BATCH_CHARS else _powers.__wrapped__(size)
+        # one table is kept for all batches; the rare longer text has its own
+        up, down = _powers() if len(codes) <= 2 * BATCH_CHARS else _powers.__wrapped__(len(codes))
         mixed = (codes.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
         mixed ^= mixed >> np.uint64(29)
         sums = np.zeros(len(codes) + 1, np.uint64)

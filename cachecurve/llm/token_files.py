@@ -30,6 +30,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,14 +49,24 @@ DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
 #: Bytes of frames in a block before the next one is begun.
 BLOCK_BYTES = 4 << 20
+#: Documents that are encoded at a time.
+ENCODED_ROWS = 500
 
 BLOCK_SCHEMA = ("part int, block int, data binary, doc_ids array<bigint>, offsets array<bigint>, "
                 "lengths array<bigint>, n_tokens array<bigint>, starts array<bigint>, "
                 "block_tokens bigint, dict_hash string")
 
 
-def merged_ids(path: str, pieces: list[str]) -> list[tuple[int, ...]]:
-    return [tuple(token.id for token in tokens) for tokens in merge(path, pieces)]
+def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of so many rows, so that the Python copies of only one part are held."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
+def merged_ids(path: str, pieces: list[str]) -> list[bytes]:
+    """The ids of each pre-token as 32-bit numbers; a tuple of ints would take four times the memory."""
+    return [array("I", [token.id for token in tokens]).tobytes() for tokens in merge(path, pieces)]
 
 
 class IdEncoder:
@@ -78,8 +89,8 @@ class IdEncoder:
         for first, _, batch in piece_batches(flat):
             pieces = Pieces(batch)
             values = self.cache.of(pieces)
-            sizes = np.fromiter(map(len, values), np.int64, len(values))
-            known = np.fromiter((i for v in values for i in v), np.uint32, int(sizes.sum()))
+            sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
+            known = np.frombuffer(b"".join(values), np.uint32)
             begins = np.cumsum(sizes) - sizes
             lengths = sizes[pieces.inverse]
             stops = np.cumsum(lengths)
@@ -156,7 +167,7 @@ def write_token_files(docs: DataFrame, out: str, path: str, end_id: int) -> None
                 [pa.array(c, f.type) for c, f in zip(columns, _block_schema())],
                 schema=_block_schema())
 
-        for batch in batches:
+        for batch in slices(batches, ENCODED_ROWS):
             encoded = encoder.encode(batch.column(1).to_pylist())
             for doc_id, own in zip(batch.column(0).to_pylist(), encoded):
                 frames.append(compress(np.append(own, end_id).astype(kind).tobytes()))
@@ -241,7 +252,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         decompressor = zstandard.ZstdDecompressor(dict_data=shared)
-        for batch in batches:
+        for batch in slices(batches, 1):
             for row in batch.to_pylist():
                 if row["dict_hash"] != dict_hash:
                     raise ValueError("a block was written with another dictionary")

@@ -241,7 +241,7 @@ def score_toxicity(docs: DataFrame, model: Model, threshold: float = 0.7) -> Dat
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for batch in batches:
-            scores = [scorer(t) for t in batch.column(1).to_pylist()]
+            scores = [scorer(t.as_py()) for t in batch.column(1)]  # one text at a time
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
 

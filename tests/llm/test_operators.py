@@ -474,3 +474,22 @@ def test_hot_anchor_in_small_indexes(monkeypatch):
         gone = chunk.removed(*repeats.answer_contexts(chunk.records, chunk.least, 50))
         got = {d: int(gone[a:b].sum()) for d, (a, b) in enumerate(zip(chunk.starts, chunk.stops))}
         assert got == want
+
+
+def test_encoder_memory():
+    import tracemalloc
+
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = [" the", "qzxvkj", "ß", "x" * 50]
+    want = [[t.id for t in tokens] for tokens in token_counts.merge(path, pieces)]
+    assert [np.frombuffer(b, np.uint32).tolist() for b in token_files.merged_ids(path, pieces)] == want
+    texts = [" ".join(f"word{(i * k) % 1009}" for k in range(60_000)) for i in range(1, 9)]
+    encoder = token_files.IdEncoder(path)
+    pretokens.char_classes()
+    tracemalloc.start()
+    encoder.encode(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 220e6
