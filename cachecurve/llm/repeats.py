@@ -8,7 +8,8 @@ what the chunks and the key ranges tell each other is packed into arrays, one ro
 of chunk and range.
 
 1. Anchors. In each run of ``length`` bytes the 16-byte strings of least hash are anchors, so
-   equal runs have equal anchors at equal places; a text has one about every 18 bytes. Each chunk
+   equal runs have equal anchors at equal places; a text has one about every 18 bytes. They are
+   searched when the chunk is packed, which keeps their places. Each chunk
    names every anchor hash once, and the ranges answer which occur in two documents.
 2. Contexts. Around each such anchor the bytes of all runs that hold it are cut out (34 before its
    start, 50 from it). A chunk sends every distinct context once, with its least document.
@@ -87,42 +88,56 @@ def unpack(blob: bytes, kind) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), kind)
 
 
+def eight_bytes(raw: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as a number."""
+    raw = np.ascontiguousarray(raw)
+    return np.ndarray((max(len(raw) - 7, 0),), "<u8", raw, 0, (1,))
+
+
+def anchor_hashes(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Hashes of the strings of ``ANCHOR`` bytes that begin at the given places."""
+    words = eight_bytes(raw)
+    return mix(words[at] * _A + mix(words[at + 8] + _B))
+
+
+def anchors(raw: np.ndarray, starts: np.ndarray, stops: np.ndarray, length: int) -> np.ndarray:
+    """Places of all anchors of the texts, from overlapping blocks to keep arrays small."""
+    before = length - ANCHOR
+    runs = len(raw) - length + 1  # places where a run begins
+    valid = np.zeros(max(runs, 0) + 1, np.int32)  # runs inside one text
+    whole = stops - starts >= length
+    np.add.at(valid, starts[whole], 1)
+    np.add.at(valid, stops[whole] - length + 1, -1)
+    valid = np.cumsum(valid, out=valid)[:-1] > 0
+    at = [np.empty(0, np.int64)]
+    for begin in range(0, runs, BLOCK):
+        part = raw[begin:begin + BLOCK + length - 1]
+        words = eight_bytes(part)
+        hashes = mix(words[:len(part) - 15] * _A + mix(words[8:] + _B))
+        least = sliding(hashes, before + 1, np.minimum)  # of every run of ``length`` bytes
+        least[~valid[begin:begin + len(least)]] = 0
+        edge = np.zeros(before, np.uint64)
+        most = sliding(np.concatenate((edge, least, edge)), before + 1, np.maximum)
+        at.append(np.flatnonzero((most == hashes) & (hashes > 0)) + begin)
+    return np.unique(np.concatenate(at))  # blocks overlap
+
+
 class Chunk:
-    """Texts of one chunk with their anchors."""
+    """Texts of one chunk with their anchors; ``gaps`` are the places of the anchors as packed with
+    the chunk."""
 
-    def __init__(self, doc_ids: list, sizes: list[int], blob: bytes, length: int):
+    def __init__(self, doc_ids: list, sizes: list[int], blob: bytes, length: int, gaps: bytes | None = None):
         self.length, self.before = length, length - ANCHOR
         self.ids = np.array([_NO_ID if i is None else i for i in doc_ids], np.int64)
         self.raw = unpack(blob, np.uint8)
         self.stops = np.cumsum(np.array(sizes, np.int64))
         self.starts = self.stops - np.array(sizes, np.int64)
-        self.at, self.hashes = self._anchors()
+        self.at = anchors(self.raw, self.starts, self.stops, length) if gaps is None \
+            else np.cumsum(unpack(gaps, np.uint32), dtype=np.int64)
+        self.hashes = anchor_hashes(self.raw, self.at)
         self.doc = np.searchsorted(self.stops, self.at, "right")
         self.distinct, self.inverse = np.unique(self.hashes, return_inverse=True)
 
-    def _anchors(self) -> tuple[np.ndarray, np.ndarray]:
-        """Places and hashes of all anchors, from overlapping blocks to keep arrays small."""
-        runs = len(self.raw) - self.length + 1  # places where a run begins
-        valid = np.zeros(max(runs, 0) + 1, np.int32)  # runs inside one text
-        whole = self.stops - self.starts >= self.length
-        np.add.at(valid, self.starts[whole], 1)
-        np.add.at(valid, self.stops[whole] - self.length + 1, -1)
-        valid = np.cumsum(valid, out=valid)[:-1] > 0
-        at, found = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
-        for begin in range(0, runs, BLOCK):
-            raw = self.raw[begin:begin + BLOCK + self.length - 1]
-            words = np.ndarray((len(raw) - 7,), "<u8", np.ascontiguousarray(raw), 0, (1,))
-            hashes = mix(words[:len(raw) - 15] * _A + mix(words[8:] + _B))
-            least = sliding(hashes, self.before + 1, np.minimum)  # of every run of ``length`` bytes
-            least[~valid[begin:begin + len(least)]] = 0
-            edge = np.zeros(self.before, np.uint64)
-            most = sliding(np.concatenate((edge, least, edge)), self.before + 1, np.maximum)
-            own = np.flatnonzero((most == hashes) & (hashes > 0))
-            at.append(own + begin)
-            found.append(hashes[own])
-        at, first = np.unique(np.concatenate(at), return_index=True)  # blocks overlap
-        return at, np.concatenate(found)[first]
-
     def pieces(self, hashes: np.ndarray, bits: int) -> dict[int, tuple[int, int]]:
         """Where each key range that occurs begins and ends among sorted hashes."""
         ranges = (hashes >> np.uint64(64 - bits) if bits else np.zeros_like(hashes)).astype(np.int64)
@@ -226,15 +241,22 @@ class RunLengthIndex:
                 moved[:, :width - offset] = ranks[:, offset:]
             return moved
 
-        def joined(ranks: np.ndarray, offset: int) -> np.ndarray:
-            return (ranks * (ranks.max() + 1) + at(ranks, offset)).ravel()[keep]
-
-        ranks, depth, equal = rank(key.ravel()[keep]), PACKED, None
-        while depth < width:
-            if 2 * depth >= length and equal is None:  # equal first ``length`` bytes
-                equal = rank(joined(ranks, length - depth)).ravel()[keep]
+        def joined(ranks: np.ndarray, *offsets: int) -> np.ndarray:
+            out, above = ranks, ranks.max() + 1
+            for offset in offsets:
+                out = out * above + at(ranks, offset)
+            return out.ravel()[keep]
+
+        ranks, depth = rank(key.ravel()[keep]), PACKED
+        while depth < length:  # up to three ranks fit one number
+            three = int(ranks.max() + 1) ** 3 < 1 << 63
+            reach = min((3 if three else 2) * depth, length)
+            ranks = rank(joined(ranks, *([min(depth, reach - depth)] if three else []), reach - depth))
+            depth = reach
+        equal = ranks.ravel()[keep]  # equal first ``length`` bytes
+        while 2 * depth < width:
             ranks, depth = rank(joined(ranks, depth)), 2 * depth
-        order = np.argsort(ranks.ravel()[keep], kind="stable")
+        order = np.argsort(joined(ranks, max(width - depth, 0)), kind="stable")
         previous = np.zeros((self.count, width), np.int64)
         previous[:, 1:] = symbols[:, :width - 1]
         last = previous.ravel()[keep][order]
@@ -255,22 +277,21 @@ class RunLengthIndex:
         base = np.repeat(before[group], np.diff(np.append(group, len(ordered))))
         self.rank[by_symbol] = first[ordered] + before - base
 
-    def back(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rows of the suffixes one byte longer, and the runs of the given rows."""
-        run = np.searchsorted(self.begins, rows, "right") - 1
-        return self.rank[run] + rows - self.begins[run], run
-
     def held_before(self, sizes: np.ndarray, numbers: np.ndarray) -> np.ndarray:
         """For each indexed row a bit for each start of a run of ``length`` bytes that a row of
         a smaller number holds. All rows stream backwards in step."""
         held = np.zeros(self.count, np.uint64)
-        rows, active = np.arange(self.count), np.arange(self.count)
-        for step in range(1, int(sizes.max(initial=0)) + 1):
-            active = active[sizes[active] >= step]
-            rows[active], _ = self.back(rows[active])
+        active = np.argsort(-sizes, kind="stable")  # those that end first are the last
+        longer = np.searchsorted(-sizes[active], -np.arange(int(sizes.max(initial=0)) + 1), "right")
+        rows = active
+        run = np.searchsorted(self.begins, rows, "right") - 1
+        for step in range(1, len(longer)):
+            run = run[:longer[step]]
+            rows = self.rank[run] + rows[:longer[step]] - self.begins[run]  # one byte longer
+            run = np.searchsorted(self.begins, rows, "right") - 1
             if step >= self.length:
-                run = np.searchsorted(self.begins, rows[active], "right") - 1
-                smaller = active[self.sample[run] < numbers[active]]
+                own = active[:longer[step]]
+                smaller = own[self.sample[run] < numbers[own]]
                 held[smaller] |= np.uint64(1) << (sizes[smaller] - step).astype(np.uint64)
         return held
 
@@ -349,8 +370,8 @@ def answer_contexts(records: np.ndarray, least: np.ndarray, length: int) -> tupl
     return lowest[inverse], runs[inverse]
 
 
-def pack_chunks(docs: DataFrame) -> DataFrame:
-    """``chunk doc_ids sizes data`` of ``doc_id text``, saved."""
+def pack_chunks(docs: DataFrame, length: int) -> DataFrame:
+    """``chunk doc_ids sizes data gaps`` of ``doc_id text``, saved; ``gaps`` lead from anchor to anchor."""
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number = TaskContext.get().partitionId(), 0
@@ -359,11 +380,14 @@ def pack_chunks(docs: DataFrame) -> DataFrame:
         filled = 0
 
         def chunk() -> pa.RecordBatch:
-            blob = pack(np.frombuffer(b"".join(texts), np.uint8))
+            raw, sizes = np.frombuffer(b"".join(texts), np.uint8), [len(t) for t in texts]
+            stops = np.cumsum(np.array(sizes, np.int64))
+            gaps = np.diff(anchors(raw, stops - sizes, stops, length), prepend=0).astype(np.uint32)
             return pa.RecordBatch.from_arrays(
                 [pa.array([(part << 32) + number], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
-                 pa.array([[len(t) for t in texts]], pa.list_(pa.int64())), pa.array([blob], pa.binary())],
-                ["chunk", "doc_ids", "sizes", "data"])
+                 pa.array([sizes], pa.list_(pa.int64())), pa.array([pack(raw)], pa.binary()),
+                 pa.array([pack(gaps)], pa.binary())],
+                ["chunk", "doc_ids", "sizes", "data", "gaps"])
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0), batch.column(1)):
@@ -379,7 +403,7 @@ def pack_chunks(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                        F.coalesce("text", F.lit("")).alias("text"))
     return save(docs.mapInArrow(packed, "chunk bigint, doc_ids array<bigint>, sizes array<bigint>, "
-                                        "data binary"), "chunks")
+                                        "data binary, gaps binary"), "chunks")
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -391,13 +415,13 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 def repeated_spans(docs: DataFrame, length: int = 50) -> DataFrame:
     """``doc_id n_bytes spans kept``: the removed spans (``start stop`` in bytes) and the bytes that
     are left of every document of ``doc_id text``. ``length`` is 17 to 79."""
-    chunks = pack_chunks(docs)
+    chunks = pack_chunks(docs, length)
     total = chunks.select(F.sum(F.aggregate("sizes", F.lit(0).cast("bigint"), lambda a, b: a + b))).first()[0]
     bits = max(0, math.ceil(math.log2(max(1, (total or 0) / RANGE_BYTES))))
 
     def name_anchors(batches):
         for row in _rows(batches):
-            chunk = Chunk(row["doc_ids"], row["sizes"], row["data"], length)
+            chunk = Chunk(row["doc_ids"], row["sizes"], row["data"], length, row["gaps"])
             several = chunk.several()
             for k, (a, b) in chunk.pieces(chunk.distinct, bits).items():
                 yield pa.RecordBatch.from_arrays(
@@ -424,7 +448,7 @@ def repeated_spans(docs: DataFrame, length: int = 50) -> DataFrame:
                   "shared")
 
     def with_contexts(row: dict) -> Chunk:
-        chunk = Chunk(row["doc_ids"], row["sizes"], row["data"], length)
+        chunk = Chunk(row["doc_ids"], row["sizes"], row["data"], length, row["gaps"])
         pieces = chunk.pieces(chunk.distinct, bits)
         known = np.zeros(len(chunk.distinct), bool)
         for answer in row["shared"] or []:

@@ -476,6 +476,20 @@ def test_hot_anchor_in_small_indexes(monkeypatch):
         assert got == want
 
 
+def test_packed_anchors_and_sorts_of_an_index(spark, monkeypatch):
+    texts = [(i, " ".join(f"w{(i * k * k) % 97}" for k in range(60))) for i in range(30)]
+    for row in repeats.pack_chunks(spark.createDataFrame(texts, "doc_id bigint, text string"), 50).collect():
+        searched = repeats.Chunk(row.doc_ids, row.sizes, bytes(row.data), 50)
+        packed = repeats.Chunk(row.doc_ids, row.sizes, bytes(row.data), 50, bytes(row.gaps))
+        assert len(searched.at) and np.array_equal(searched.at, packed.at)
+        assert np.array_equal(searched.hashes, packed.hashes)
+    sorts, unique = [], np.unique
+    monkeypatch.setattr(repeats.np, "unique", lambda *a, **k: sorts.append(1) or unique(*a, **k))
+    rows = np.frombuffer(" ".join(t for _, t in texts).encode()[:84 * 40], np.uint8).reshape(40, 84)
+    repeats.RunLengthIndex(rows, np.full(40, 84), np.arange(40), 50)
+    assert len(sorts) <= 3  # ranks by 7, 21 and 50 bytes
+
+
 def test_encoder_memory():
     import tracemalloc
 
