@@ -29,7 +29,7 @@ bits in which two sketches differ are at most the tokens that the sets do not sh
 whose nodes are by then in one component need nothing more: that is what becomes of a large
 group of near copies, at one pair a node instead of all pairs. The rest goes through two more such rounds with
 other meeting points, and finally all pairs in different components whose sketches allow a
-link are verified. A pair inside a component cannot change
+link are verified; a pair that shares many signatures is named at the first of them, and hardly again. A pair inside a component cannot change
 the classes, so no link between different texts is lost.
 
 Results: one row a document: ``doc_id n_shingles component_id``. Fewer words than ``gram`` are
@@ -49,7 +49,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cachecurve.scratch import save
@@ -63,6 +63,8 @@ ZONE = 1.6
 #: Passes that drop nodes with too many tokens of their own.
 SIFTS = 2
 ROUNDS = 3
+#: Signatures of a node that are looked back at, to name a pair once and not for each that it shares.
+BEFORE = 8
 #: Rows of two numbers that are few enough to broadcast.
 BROADCAST_ROWS = 500_000
 #: Columns of a parity sketch, of 64 bits each.
@@ -294,6 +296,23 @@ def near_sketches(x: str, y: str, percent: int) -> Column:
     return near & (F.least("n" + x, "n" + y) * 100 >= F.greatest("n" + x, "n" + y) * percent)
 
 
+def all_pairs(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (``x y``, with their sizes and components) of different components that share a signature
+    of ``lists`` (``sig node n comp``) and may link.
+
+    Sets that share a passage share most of its signatures. A pair leaves the join only at
+    signatures before which the two have none in common among the last BEFORE of each: always at the
+    first one that they share, and seldom again. Sketches travel along, so that only pairs that may link leave.
+    """
+    before = F.collect_list("sig").over(Window.partitionBy("node").orderBy("sig").rowsBetween(-BEFORE, -1))
+    rest = lists.join(nodes.select("node", *SKETCH), "node").withColumn("before", before)
+    one, two = (rest.select("sig", F.col("node").alias(side), F.col("comp").alias("c" + side),
+                            *(F.col(c).alias(c + side) for c in ("n", "before", *SKETCH))) for side in "xy")
+    return one.join(two, (one["sig"] == two["sig"]) & (F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy"))
+                    & near_sketches("x", "y", percent) & ~F.arrays_overlap("beforex", "beforey")) \
+        .select("x", "nx", "cx", "y", "ny", "cy")
+
+
 def may_link(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs (``a b``) whose sketches allow a link."""
     left, right = (nodes.select(F.col("node").alias(side), *(F.col(c).alias(c + side) for c in ("n", *SKETCH)))
@@ -314,27 +333,42 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .where(F.col("shared") * 100 >= union * percent).select("a", "b")
 
 
-def components(edges: DataFrame, spark: SparkSession) -> DataFrame:
-    """``node comp`` of all nodes with an edge: the least node of their component.
+def components(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """``node comp`` of all nodes with a link: those of ``labels``, joined by the links (``a b``); ``comp``
+    is one of the nodes.
 
-    Every round sets each node to the least label around it and follows labels to theirs;
-    long chains shrink by a factor each round.
+    Each round merges every vertex into the one of least digest beside it or itself, and
+    what is left are the links between different ones, so rounds shrink by a factor and a large
+    component is not joined with itself again.
     """
-    both = save(edges.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(
-        edges.select(F.col("b").alias("x"), F.col("a").alias("y"))).distinct(), "edges")
-    labels = save(both.groupBy(F.col("x").alias("node")).agg(
-        F.least(F.col("node"), F.min("y")).alias("comp")), "labels")
-    while True:
-        near = both.join(labels, both["y"] == labels["node"]).groupBy("x").agg(F.min("comp").alias("near"))
-        step = labels.join(near, labels["node"] == near["x"], "left") \
-            .select("node", F.col("comp").alias("old"), F.least("comp", F.coalesce("near", "comp")).alias("comp"))
-        up = labels.select(F.col("node").alias("parent"), F.col("comp").alias("grand"))
-        moved = save(step.join(up, step["comp"] == up["parent"], "left")
-                     .select("node", "old", F.least("comp", F.coalesce("grand", "comp")).alias("comp")),
-                     "labels")
-        labels = moved.select("node", "comp")
-        if moved.where("old <> comp").isEmpty():
-            return labels
+    one, two = (labels.select(F.col("node").alias(side), F.col("comp").alias("c" + side)) for side in "ab")
+    ends = links.join(one, "a", "left").join(two, "b", "left") \
+        .select(F.coalesce("ca", "a").alias("x"), F.coalesce("cb", "b").alias("y"))
+    edges = save(ends.unionByName(ends.select(F.col("y").alias("x"), F.col("x").alias("y")))
+                 .where("x <> y").distinct(), "edges")
+    rounds: list[DataFrame] = []
+    while not edges.isEmpty():
+        turn = F.lit(len(rounds))
+        beside = F.min(F.struct(F.xxhash64("y", turn).alias("code"), "y")).alias("beside")
+        merged = save(edges.groupBy("x").agg(beside).select("x", F.least(
+            F.struct(F.xxhash64("x", turn).alias("code"), F.col("x").alias("y")), "beside")["y"].alias("comp")),
+            "merged")
+        rounds.append(merged)
+        left, right = (merged.select(F.col("x").alias(side), F.col("comp").alias("c" + side)) for side in "xy")
+        edges = save(edges.join(left, "x").join(right, "y").where("cx <> cy")
+                     .select(F.col("cx").alias("x"), F.col("cy").alias("y")).distinct(), "edges")
+    if not rounds:
+        return labels
+    named = rounds.pop()
+    while rounds:
+        up = named.select(F.col("x").alias("up"), F.col("comp").alias("top"))
+        own = rounds.pop()
+        named = own.join(up, own["comp"] == up["up"], "left").select("x", F.coalesce("top", "comp").alias("comp"))
+    named = save(named, "named")
+    new = named.join(labels, named["x"] == labels["node"], "left_anti").select(F.col("x").alias("node"), "comp")
+    up = named.select("x", F.col("comp").alias("top"))
+    return save(labels.join(up, labels["comp"] == up["x"], "left")
+                .select("node", F.coalesce("top", "comp").alias("comp")).unionByName(new), "labels")
 
 
 def link_classes(docs: DataFrame, gram: int = 4, percent: int = 85) -> DataFrame:
@@ -351,7 +385,7 @@ def link_classes(docs: DataFrame, gram: int = 4, percent: int = 85) -> DataFrame
     sets = save(node_sets(docs, nodes.select("node", "least_doc"), gram), "tokens")
     lists = meet_nodes(make_postings(sets, token_counts(zones), percent))
     labels = spark.createDataFrame([], "node bigint, comp bigint")
-    links = done = None
+    done = None
 
     for turn in range(ROUNDS + 1):
         if not turn:
@@ -370,12 +404,7 @@ def link_classes(docs: DataFrame, gram: int = 4, percent: int = 85) -> DataFrame
                     F.col("meet.node").alias("x"), F.col("meet.n").alias("nx"), F.col("meet.comp").alias("cx"),
                     F.col("node").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("cy"))
             else:
-                # sketches travel with the postings, so that only pairs that may link leave the join
-                rest = lists.join(nodes.select("node", *SKETCH), "node")
-                one, two = (rest.select("sig", F.col("node").alias(side), F.col("comp").alias("c" + side),
-                                        *(F.col(c).alias(c + side) for c in ("n", *SKETCH))) for side in "xy")
-                met = one.join(two, (one["sig"] == two["sig"]) & (F.col("x") < F.col("y"))
-                               & (F.col("cx") != F.col("cy")) & near_sketches("x", "y", percent))
+                met = all_pairs(lists, nodes, percent)
             met = met.where((F.col("cx") != F.col("cy"))
                             & (F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent))
         pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
@@ -386,9 +415,7 @@ def link_classes(docs: DataFrame, gram: int = 4, percent: int = 85) -> DataFrame
             # an empty round says nothing of pairs that did not meet: only the last takes all of them
             continue
         done = pairs if done is None else done.unionByName(pairs)
-        found = save(verify(pairs, sets, percent), "links")
-        links = found if links is None else links.unionByName(found)
-        labels = components(links, spark)
+        labels = components(save(verify(pairs, sets, percent), "links"), labels)
 
     named = rows.join(labels, "node", "left").withColumn(
         "comp", F.when(F.col("n") > 0, F.coalesce("comp", "node")))

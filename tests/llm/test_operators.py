@@ -507,3 +507,35 @@ def test_encoder_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 220e6
+
+
+def test_components_of_more_and_more_links(spark):
+    rng = np.random.default_rng(5)
+    links = [(i, i + 1) for i in range(60)] + [(200, i) for i in range(201, 260)] \
+        + [tuple(sorted(p)) for p in rng.choice(np.arange(300, 420), (80, 2)).tolist() if p[0] != p[1]]
+    links = [links[i] for i in rng.permutation(len(links))]
+    labels = spark.createDataFrame([], "node bigint, comp bigint")
+    root = list(range(420))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for part in (links[:70], links[70:140], links[140:], links[:5]):
+        labels = jaccard_join.components(spark.createDataFrame(part, "a bigint, b bigint"), labels)
+        for a, b in part:
+            root[find(a)] = find(b)
+        got = {r.node: r.comp for r in labels.collect()}
+        assert labels.count() == len(got) and got.keys() == {x for x in range(420) if find(x) != x or x in root[:x] + root[x + 1:]}
+        assert all((got[x] == got[y]) == (find(x) == find(y)) for x in got for y in got)
+        assert all(got[comp] == comp for comp in got.values())
+
+
+def test_pair_with_many_signatures_is_named_once(spark):
+    sketch = "".join(f", {c} bigint" for c in jaccard_join.SKETCH)
+    nodes = spark.createDataFrame([(x, *[0] * 8) for x in range(6)], "node bigint" + sketch)
+    lists = spark.createDataFrame([(sig, x, 100, x) for x in range(6) for sig in range(x, 300 + 5 * x)],
+                                  "sig bigint, node bigint, n bigint, comp bigint")
+    pairs = [(r.x, r.y) for r in jaccard_join.all_pairs(lists, nodes, 85).collect()]
+    assert set(pairs) == {(x, y) for y in range(6) for x in range(y)} and len(pairs) == 15
