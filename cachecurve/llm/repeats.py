@@ -9,7 +9,8 @@ of chunk and range.
 
 1. Anchors. In each run of ``length`` bytes the 16-byte strings of least hash are anchors, so
    equal runs have equal anchors at equal places; a text has one about every 18 bytes. They are
-   searched when the chunk is packed, which keeps their places. Each chunk
+   searched when the chunk is packed, which keeps their places. Key ranges go by another hash of the
+   string, which the choice does not bias. Each chunk
    names every anchor hash once, and the ranges answer which occur in two documents.
 2. Contexts. Around each such anchor the bytes of all runs that hold it are cut out (34 before its
    start, 50 from it). A chunk sends every distinct context once, with its least document.
@@ -49,9 +50,9 @@ from cachecurve.scratch import save
 
 #: Bytes of text in a chunk, and bytes of all text for each key range.
 CHUNK_BYTES = 1 << 20
-RANGE_BYTES = 8 << 20
+RANGE_BYTES = 16 << 20
 #: Contexts in one index.
-INDEX_CONTEXTS = 8_000
+INDEX_CONTEXTS = 4_000
 ANCHOR = 16
 #: Starts of runs whose anchors are searched at a time.
 BLOCK = 1 << 17
@@ -95,9 +96,10 @@ def eight_bytes(raw: np.ndarray) -> np.ndarray:
 
 
 def anchor_hashes(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Hashes of the strings of ``ANCHOR`` bytes that begin at the given places."""
+    """Hashes of the strings of ``ANCHOR`` bytes that begin at the given places. They are mixed once more:
+    anchors have the least hashes of their runs, so ranges of those would be far from even."""
     words = eight_bytes(raw)
-    return mix(words[at] * _A + mix(words[at + 8] + _B))
+    return mix(mix(words[at] * _A + mix(words[at + 8] + _B)) + _C)
 
 
 def anchors(raw: np.ndarray, starts: np.ndarray, stops: np.ndarray, length: int) -> np.ndarray:

@@ -476,6 +476,15 @@ def test_hot_anchor_in_small_indexes(monkeypatch):
         assert got == want
 
 
+def test_even_key_ranges():
+    """Anchors have the least hashes of their runs; the first key range must not get most of them."""
+    raw = np.random.default_rng(3).integers(97, 123, 200_000, np.uint8)
+    chunk = repeats.Chunk([1], [len(raw)], repeats.pack(raw), 50)
+    assert len(chunk.distinct) > 10_000
+    sizes = [b - a for a, b in chunk.pieces(chunk.distinct, 6).values()]
+    assert len(sizes) == 64 and max(sizes) < 1.5 * len(chunk.distinct) / 64
+
+
 def test_packed_anchors_and_sorts_of_an_index(spark, monkeypatch):
     texts = [(i, " ".join(f"w{(i * k * k) % 97}" for k in range(60))) for i in range(30)]
     for row in repeats.pack_chunks(spark.createDataFrame(texts, "doc_id bigint, text string"), 50).collect():
